@@ -308,3 +308,223 @@ oracle("dim_categories", "SELECT DISTINCT category AS categoria FROM products_cl
 oracle("dim_countries", "SELECT DISTINCT country AS pais FROM customers_clean ORDER BY pais NULLS FIRST")
 oracle("dim_date_range",
        "SELECT min(order_date) AS fecha_inicio, max(order_date) AS fecha_fin FROM orders_clean")
+
+
+# ----------------------------------------------------------------- profile
+RAW_COLS = {
+    "customers": ["customer_id", "name", "country", "segment", "created_at"],
+    "products": ["sku", "category", "cost_cents", "active"],
+    "orders": ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel"],
+}
+DAY = "try_strptime({c}, '%Y-%m-%d')"
+
+
+def _raw(t: str) -> str:
+    return f"{t}_raw"
+
+
+def _union_all(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def _is_null_count(c: str) -> str:
+    return f"sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)"
+
+
+oracle("scan_shape", _union_all([
+    f"SELECT '{t}' AS tabla, CAST(count(*) AS BIGINT) AS filas, {len(cols)} AS columnas FROM {_raw(t)}"
+    for t, cols in RAW_COLS.items()]))
+
+oracle("profile_nulls", _union_all([
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST({_is_null_count(c)} AS BIGINT) AS nulos, "
+    f"round_even(CAST({_is_null_count(c)} AS DOUBLE) / count(*) * 100 * 100, 0) / 100 AS pct FROM {_raw(t)}"
+    for t, cols in RAW_COLS.items() for c in cols]))
+
+oracle("profile_null_rows", """
+SELECT order_id, customer_id, sku, quantity, price_cents, order_date FROM orders_raw WHERE price_cents IS NULL
+""")
+
+
+def _dup_sql(t: str, key: str) -> str:
+    return (f"((SELECT count(*) FROM {_raw(t)}) - "
+            f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM {_raw(t)})))")
+
+
+oracle("profile_dup_counts", _union_all([
+    f"SELECT '{t}' AS tabla, '{k}' AS campo, CAST({_dup_sql(t, k)} AS BIGINT) AS duplicados"
+    for t, k in [("customers", "customer_id"), ("products", "sku"), ("orders", "order_id")]]))
+
+oracle("profile_dup_rows", """
+SELECT * FROM orders_raw WHERE order_id IN (
+  SELECT order_id FROM orders_raw GROUP BY order_id HAVING count(*) > 1)
+""")
+
+oracle("profile_bad_dates", _union_all([
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, "
+    f"CAST(sum(CASE WHEN {DAY.format(c=c)} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS fechas_invalidas "
+    f"FROM {_raw(t)}" for t, c in [("customers", "created_at"), ("orders", "order_date")]]))
+
+oracle("profile_bad_date_rows", f"""
+SELECT order_id, customer_id, sku, order_date, channel FROM orders_raw
+WHERE {DAY.format(c='order_date')} IS NULL
+""")
+
+oracle("profile_date_range", _union_all([
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST(min({DAY.format(c=c)}) AS DATE) AS fecha_min, "
+    f"CAST(max({DAY.format(c=c)}) AS DATE) AS fecha_max FROM {_raw(t)}"
+    for t, c in [("customers", "created_at"), ("orders", "order_date")]]))
+
+oracle("profile_value_counts", _union_all([
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST({c} AS VARCHAR) AS valor, CAST(count(*) AS BIGINT) AS filas "
+    f"FROM {_raw(t)} GROUP BY {c}"
+    for t, cols in [("customers", ["country", "segment"]), ("products", ["category", "active"]),
+                    ("orders", ["channel"])] for c in cols]))
+
+for _t, _c in [("orders", "quantity"), ("orders", "price_cents"), ("products", "cost_cents")]:
+    CTES[f"ranked_{_t}_{_c}"] = (f"SELECT {_c} AS v, row_number() OVER (ORDER BY {_c}) - 1 AS i "
+                                 f"FROM {_raw(_t)} WHERE {_c} IS NOT NULL")
+
+
+def _quantile(t: str, c: str, q: str) -> str:
+    r = f"ranked_{t}_{c}"
+    pos = f"(CAST((SELECT count(*) FROM {r}) - 1 AS DOUBLE) * CAST({q} AS DOUBLE))"
+    lo = f"(SELECT CAST(v AS DOUBLE) FROM {r} WHERE i = floor({pos}))"
+    hi = f"(SELECT CAST(v AS DOUBLE) FROM {r} WHERE i = ceil({pos}))"
+    return (f"(CASE WHEN ceil({pos}) = floor({pos}) OR {lo} = {hi} THEN {lo} "
+            f"ELSE (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} END)")
+
+
+oracle("profile_describe_num", _union_all([
+    f"""SELECT '{t}' AS tabla, '{c}' AS campo, CAST(count({c}) AS BIGINT) AS count,
+       CAST(sum(CAST({c} AS HUGEINT)) AS DOUBLE) / count({c}) AS mean,
+       CASE WHEN count({c}) > 1 THEN sqrt(CAST(sum(CAST({c} AS HUGEINT) * {c}) * count({c})
+            - sum(CAST({c} AS HUGEINT)) * sum(CAST({c} AS HUGEINT)) AS DOUBLE)
+            / CAST(count({c}) * (count({c}) - 1) AS DOUBLE)) END AS std,
+       CAST(min({c}) AS DOUBLE) AS min, {_quantile(t, c, '0.25')} AS p25, {_quantile(t, c, '0.5')} AS p50,
+       {_quantile(t, c, '0.75')} AS p75, CAST(max({c}) AS DOUBLE) AS max
+FROM {_raw(t)}""" for t, c in [("orders", "quantity"), ("orders", "price_cents"), ("products", "cost_cents")]]))
+
+CTES["customers_text_long"] = _union_all([
+    f"SELECT '{c}' AS campo, CAST({c} AS VARCHAR) AS valor FROM customers_raw WHERE {c} IS NOT NULL"
+    for c in RAW_COLS["customers"]])
+
+oracle("profile_describe_text", """
+SELECT 'customers' AS tabla, campo, CAST(sum(f) AS BIGINT) AS count, CAST(count(*) AS BIGINT) AS unique,
+       arg_min(valor, (-f, valor)) AS top, max(f) AS freq
+FROM (SELECT campo, valor, CAST(count(*) AS BIGINT) AS f FROM customers_text_long GROUP BY campo, valor)
+GROUP BY campo
+""")
+
+oracle("profile_head", "SELECT * FROM orders_raw ORDER BY order_id, seq LIMIT 5")
+
+oracle("profile_negative", _union_all([
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negativos "
+    f"FROM {_raw(t)}" for t, c in [("products", "cost_cents"), ("orders", "quantity")]]))
+
+oracle("profile_negative_rows", "SELECT * FROM products_raw WHERE cost_cents < 0")
+
+oracle("profile_zero", """
+SELECT 'orders' AS tabla, 'quantity' AS campo,
+       CAST(sum(CASE WHEN quantity = 0 THEN 1 ELSE 0 END) AS BIGINT) AS ceros,
+       CAST(sum(CASE WHEN quantity <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS no_positivos
+FROM orders_raw
+""")
+
+oracle("profile_abs_in_range", """
+SELECT sku, abs(cost_cents) AS valor_abs,
+       (SELECT min(cost_cents) FROM products_raw WHERE cost_cents > 0) AS min_positivo,
+       (SELECT max(cost_cents) FROM products_raw WHERE cost_cents > 0) AS max_positivo,
+       coalesce(abs(cost_cents) >= (SELECT min(cost_cents) FROM products_raw WHERE cost_cents > 0)
+            AND abs(cost_cents) <= (SELECT max(cost_cents) FROM products_raw WHERE cost_cents > 0), false) AS en_rango
+FROM products_raw WHERE cost_cents < 0
+""")
+
+oracle("profile_inactive", "SELECT * FROM products_raw WHERE NOT active")
+
+oracle("orphan_customers", """
+SELECT order_id, customer_id, sku FROM orders_raw
+WHERE customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM customers_raw WHERE customer_id IS NOT NULL)
+""")
+oracle("orphan_skus", """
+SELECT order_id, customer_id, sku FROM orders_raw
+WHERE sku IS NULL OR sku NOT IN (SELECT sku FROM products_raw WHERE sku IS NOT NULL)
+""")
+oracle("orders_with_inactive", """
+SELECT sku, CAST(count(*) AS BIGINT) AS filas FROM orders_raw
+WHERE sku IN (SELECT sku FROM products_raw WHERE NOT active) GROUP BY sku
+""")
+oracle("price_history_for_nulls", """
+SELECT sku, CAST(sum(CASE WHEN price_cents IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS precios_nulos,
+       CAST(count(price_cents) AS BIGINT) AS n_precios,
+       CASE WHEN count(price_cents) > 0 THEN CAST(sum(price_cents) AS DOUBLE) / count(price_cents) / CAST(100 AS DOUBLE) END
+         AS precio_medio,
+       CASE WHEN count(price_cents) > 0 THEN 'historial' ELSE 'sin historial' END AS estado
+FROM orders_raw GROUP BY sku HAVING sum(CASE WHEN price_cents IS NULL THEN 1 ELSE 0 END) > 0
+""")
+oracle("raw_mean_price", """
+SELECT CAST(sum(price_cents) AS DOUBLE) / count(price_cents) / CAST(100 AS DOUBLE) AS precio_medio_global FROM orders_raw
+""")
+NORM = r"regexp_replace(lower(channel), '^\s+|\s+$', '', 'g')"
+oracle("channel_normalization", f"""
+SELECT coalesce(b.canal, a.canal) AS canal, CAST(coalesce(b.n, 0) AS BIGINT) AS filas_antes,
+       CAST(coalesce(a.n, 0) AS BIGINT) AS filas_despues
+FROM (SELECT channel AS canal, count(*) AS n FROM orders_raw GROUP BY channel) b
+FULL OUTER JOIN (SELECT {NORM} AS canal, count(*) AS n FROM orders_raw GROUP BY 1) a
+  ON b.canal IS NOT DISTINCT FROM a.canal
+""")
+
+
+def _finding(t, campo, problema, count_sql, decision):
+    return (f"SELECT '{t}' AS tabla, '{campo}' AS campo, '{problema}' AS problema, "
+            f"CAST(({count_sql}) AS BIGINT) AS filas_afectadas, '{decision}' AS decision")
+
+
+def _count_where(t, cond):
+    return f"SELECT count(*) FROM {_raw(t)} WHERE {cond}"
+
+
+oracle("quality_findings", _union_all([
+    _finding("customers", "country", "nulos", _count_where("customers", "country IS NULL"), "fillna Unknown"),
+    _finding("customers", "segment", "nulos", _count_where("customers", "segment IS NULL"), "fillna Unknown"),
+    _finding("customers", "customer_id", "duplicados", _dup_sql("customers", "customer_id"), "keep first"),
+    _finding("products", "category", "nulos", _count_where("products", "category IS NULL"), "fillna Uncategorized"),
+    _finding("products", "cost", "negativos", _count_where("products", "cost_cents < 0"), "abs()"),
+    _finding("products", "sku", "duplicados", _dup_sql("products", "sku"), "keep first"),
+    _finding("orders", "unit_price", "nulos", _count_where("orders", "price_cents IS NULL"), "promedio del SKU"),
+    _finding("orders", "quantity", "negativos/cero", _count_where("orders", "quantity <= 0"), "eliminar"),
+    _finding("orders", "order_date", "fechas invalidas", _count_where("orders", f"{DAY.format(c='order_date')} IS NULL"),
+             "eliminar"),
+    _finding("orders", "order_id", "duplicados", _dup_sql("orders", "order_id"), "keep first"),
+    _finding("orders", "channel", "formato", _count_where("orders", f"channel IS DISTINCT FROM {NORM}"),
+             "lower + strip"),
+    _finding("orders", "customer_id", "FK sin match", _count_where(
+        "orders", "customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM customers_raw "
+                  "WHERE customer_id IS NOT NULL)"), "revisar"),
+    _finding("orders", "sku", "FK sin match", _count_where(
+        "orders", "sku IS NULL OR sku NOT IN (SELECT sku FROM products_raw WHERE sku IS NOT NULL)"), "revisar"),
+]))
+
+oracle("drop_impact", f"""
+SELECT CAST(sum(CASE WHEN bd THEN 1 ELSE 0 END) AS BIGINT) AS fechas_invalidas,
+       CAST(sum(CASE WHEN bq THEN 1 ELSE 0 END) AS BIGINT) AS cantidades_invalidas,
+       CAST(sum(CASE WHEN rn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicados,
+       CAST(sum(CASE WHEN bd OR bq OR rn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS total_eliminar,
+       CAST(count(*) AS BIGINT) AS filas_originales,
+       CAST(count(*) - sum(CASE WHEN bd OR bq OR rn > 1 THEN 1 ELSE 0 END) AS BIGINT) AS filas_resultantes,
+       round_even(CAST(count(*) - sum(CASE WHEN bd OR bq OR rn > 1 THEN 1 ELSE 0 END) AS DOUBLE)
+                  / count(*) * 1000, 0) / 10 AS retencion_pct
+FROM (SELECT {DAY.format(c='order_date')} IS NULL AS bd, coalesce(quantity <= 0, false) AS bq,
+             row_number() OVER (PARTITION BY order_id ORDER BY seq) AS rn FROM orders_raw) t
+""")
+
+oracle("profile_counters", f"""
+SELECT CAST(({_count_where('customers', 'country IS NULL')}) AS BIGINT) AS null_country,
+       CAST(({_count_where('customers', 'segment IS NULL')}) AS BIGINT) AS null_segment,
+       CAST(({_count_where('products', 'cost_cents < 0')}) AS BIGINT) AS negative_cost,
+       CAST(({_count_where('products', 'category IS NULL')}) AS BIGINT) AS null_category,
+       CAST(({_count_where('products', 'active = false')}) AS BIGINT) AS inactive,
+       CAST(({_count_where('orders', 'price_cents IS NULL')}) AS BIGINT) AS null_price,
+       CAST(({_count_where('orders', 'quantity < 0')}) AS BIGINT) AS negative_qty,
+       CAST({_dup_sql('orders', 'order_id')} AS BIGINT) AS duplicate_ids,
+       CAST(({_count_where('orders', DAY.format(c='order_date') + ' IS NULL')}) AS BIGINT) AS invalid_dates
+""")

@@ -212,3 +212,172 @@ def q_d3(spark, sf_dir):
 @query("dim_date_range")
 def q_d4(spark, sf_dir):
     return K.dim_date_range(_model(spark, sf_dir).orders)
+
+
+# ----------------------------------------------------------------- profile
+from starledger.operators import profile as P  # noqa: E402
+
+RAW_NUMERIC = {"orders": ["quantity", "price_cents"], "products": ["cost_cents"]}
+CUSTOMER_TEXT = ["customer_id", "name", "country", "segment", "created_at"]
+VALUE_COUNT_COLS = {"customers": ["country", "segment"], "products": ["category", "active"],
+                    "orders": ["channel"]}
+
+
+def _raw_by_name(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return {"customers": r.customers, "products": r.products, "orders": r.orders}
+
+
+def _union(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@query("scan_shape")
+def q_scan_shape(spark, sf_dir):
+    return P.scan_shape(_raw_by_name(spark, sf_dir))
+
+
+@query("profile_nulls")
+def q_profile_nulls(spark, sf_dir):
+    return _union([P.null_profile(df, t) for t, df in _raw_by_name(spark, sf_dir).items()])
+
+
+@query("profile_null_rows")
+def q_profile_null_rows(spark, sf_dir):
+    return P.null_rows(raw_tables(spark, sf_dir).orders, "price_cents",
+                       ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date"])
+
+
+@query("profile_dup_counts")
+def q_profile_dup_counts(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return _union([P.duplicate_profile(r.customers, "customers", "customer_id"),
+                   P.duplicate_profile(r.products, "products", "sku"),
+                   P.duplicate_profile(r.orders, "orders", "order_id")])
+
+
+@query("profile_dup_rows")
+def q_profile_dup_rows(spark, sf_dir):
+    return P.duplicate_rows(raw_tables(spark, sf_dir).orders, "order_id")
+
+
+@query("profile_bad_dates")
+def q_profile_bad_dates(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return _union([P.bad_date_profile(r.customers, "customers", "created_at"),
+                   P.bad_date_profile(r.orders, "orders", "order_date")])
+
+
+@query("profile_bad_date_rows")
+def q_profile_bad_date_rows(spark, sf_dir):
+    return P.bad_date_rows(raw_tables(spark, sf_dir).orders, "order_date",
+                           ["order_id", "customer_id", "sku", "order_date", "channel"])
+
+
+@query("profile_date_range")
+def q_profile_date_range(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return _union([P.date_range(r.customers, "customers", "created_at"),
+                   P.date_range(r.orders, "orders", "order_date")])
+
+
+@query("profile_value_counts")
+def q_profile_value_counts(spark, sf_dir):
+    raw = _raw_by_name(spark, sf_dir)
+    return _union([P.value_counts(raw[t], t, cols) for t, cols in VALUE_COUNT_COLS.items()])
+
+
+@query("profile_describe_num")
+def q_profile_describe_num(spark, sf_dir):
+    raw = _raw_by_name(spark, sf_dir)
+    return _union([P.describe_numeric(raw[t], t, cols) for t, cols in RAW_NUMERIC.items()])
+
+
+@query("profile_describe_text")
+def q_profile_describe_text(spark, sf_dir):
+    return P.describe_text(raw_tables(spark, sf_dir).customers, "customers", CUSTOMER_TEXT)
+
+
+@query("profile_head")
+def q_profile_head(spark, sf_dir):
+    return P.head(raw_tables(spark, sf_dir).orders, ["order_id", "seq"], 5)
+
+
+@query("profile_negative")
+def q_profile_negative(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return _union([P.negative_profile(r.products, "products", "cost_cents"),
+                   P.negative_profile(r.orders, "orders", "quantity")])
+
+
+@query("profile_negative_rows")
+def q_profile_negative_rows(spark, sf_dir):
+    return raw_tables(spark, sf_dir).products.filter(F.col("cost_cents") < 0)
+
+
+@query("profile_zero")
+def q_profile_zero(spark, sf_dir):
+    return P.zero_profile(raw_tables(spark, sf_dir).orders, "orders", "quantity")
+
+
+@query("profile_abs_in_range")
+def q_profile_abs_in_range(spark, sf_dir):
+    return P.abs_in_range(raw_tables(spark, sf_dir).products, "sku", "cost_cents")
+
+
+@query("profile_inactive")
+def q_profile_inactive(spark, sf_dir):
+    return P.inactive_products(raw_tables(spark, sf_dir).products)
+
+
+@query("orphan_customers")
+def q_orphan_customers(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return P.orphans(r.orders, r.customers, "customer_id", ["order_id", "customer_id", "sku"])
+
+
+@query("orphan_skus")
+def q_orphan_skus(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return P.orphans(r.orders, r.products, "sku", ["order_id", "customer_id", "sku"])
+
+
+@query("orders_with_inactive")
+def q_orders_with_inactive(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return P.orders_on_inactive(r.orders, r.products)
+
+
+@query("price_history_for_nulls")
+def q_price_history(spark, sf_dir):
+    return P.price_history_for_nulls(raw_tables(spark, sf_dir).orders)
+
+
+@query("raw_mean_price")
+def q_raw_mean_price(spark, sf_dir):
+    return P.raw_mean_price(raw_tables(spark, sf_dir).orders)
+
+
+@query("channel_normalization")
+def q_channel_normalization(spark, sf_dir):
+    return P.channel_normalization(raw_tables(spark, sf_dir).orders)
+
+
+@query("quality_findings")
+def q_quality_findings(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return P.quality_findings(r.customers, r.products, r.orders)
+
+
+@query("drop_impact")
+def q_drop_impact(spark, sf_dir):
+    return P.drop_impact(raw_tables(spark, sf_dir).orders)
+
+
+@query("profile_counters")
+def q_profile_counters(spark, sf_dir):
+    r = raw_tables(spark, sf_dir)
+    return P.profile_counters(r.customers, r.products, r.orders)
