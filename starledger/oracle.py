@@ -528,3 +528,151 @@ SELECT CAST(({_count_where('customers', 'country IS NULL')}) AS BIGINT) AS null_
        CAST({_dup_sql('orders', 'order_id')} AS BIGINT) AS duplicate_ids,
        CAST(({_count_where('orders', DAY.format(c='order_date') + ' IS NULL')}) AS BIGINT) AS invalid_dates
 """)
+
+
+# ------------------------------------------------------------------ checks
+def _v(t, regla, count_sql, fatal=True):
+    return (f"SELECT '{t}' AS tabla, '{regla}' AS regla, CAST(({count_sql}) AS BIGINT) AS violaciones, "
+            f"{'true' if fatal else 'false'} AS fatal")
+
+
+def _cw(t, cond):
+    return f"SELECT count(*) FROM {t}_clean WHERE {cond}"
+
+
+def _pk(t, key):
+    return (f"(SELECT count({key}) FROM {t}_clean) - "
+            f"(SELECT count(DISTINCT {key}) FROM {t}_clean)")
+
+
+oracle("constraint_violations", _union_all(
+    [_v("customers", f"not null {c}", _cw("customers", f"{c} IS NULL"))
+     for c in ["name", "country", "segment", "created_at"]]
+    + [_v("customers", "primary key customer_id", _pk("customers", "customer_id"))]
+    + [_v("products", f"not null {c}", _cw("products", f"{c} IS NULL"))
+       for c in ["category", "cost_cents", "active"]]
+    + [_v("products", "check cost_cents >= 0", _cw("products", "NOT (cost_cents >= 0)")),
+       _v("products", "primary key sku", _pk("products", "sku"))]
+    + [_v("orders", f"not null {c}", _cw("orders", f"{c} IS NULL"))
+       for c in ["customer_id", "sku", "quantity", "price_cents", "order_date", "channel"]]
+    + [_v("orders", "check quantity > 0", _cw("orders", "NOT (quantity > 0)")),
+       _v("orders", "check price_cents > 0", _cw("orders", "NOT (price_cents > 0)")),
+       _v("orders", "primary key order_id", _pk("orders", "order_id")),
+       _v("orders", "foreign key customer_id -> customers", _cw(
+           "orders", "customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM customers_clean "
+                     "WHERE customer_id IS NOT NULL)"), fatal=False),
+       _v("orders", "foreign key sku -> products", _cw(
+           "orders", "sku IS NOT NULL AND sku NOT IN (SELECT sku FROM products_clean WHERE sku IS NOT NULL)"),
+          fatal=False)]))
+
+# ----------------------------------------------------------------- serving
+oracle("customer_lookup", "SELECT customer_id, name FROM customers_clean ORDER BY name NULLS FIRST, customer_id")
+oracle("customer_list",
+       "SELECT customer_id, name, country, segment FROM customers_clean ORDER BY name NULLS FIRST, customer_id")
+oracle("active_products",
+       f"SELECT sku, category, {money('cost_cents')} AS cost FROM products_clean WHERE active ORDER BY sku")
+CTES["recent"] = f"""
+SELECT o.order_id, o.customer_id, c.name AS customer_name, o.sku, p.category, o.quantity,
+       {money('o.price_cents')} AS unit_price, {money('CAST(o.quantity AS BIGINT) * o.price_cents')} AS total,
+       o.order_date, o.channel
+FROM orders_clean o LEFT JOIN customers_clean c ON o.customer_id = c.customer_id
+LEFT JOIN products_clean p ON o.sku = p.sku
+ORDER BY o.order_date DESC NULLS LAST, o.order_id DESC NULLS LAST LIMIT 20
+"""
+oracle("recent_orders", "SELECT * FROM recent")
+oracle("recent_orders_display", """
+SELECT order_id, coalesce(nullif(customer_name, ''), CAST(customer_id AS VARCHAR)) AS cliente, sku,
+       coalesce(nullif(category, ''), '-') AS categoria, quantity AS cantidad, unit_price AS precio, total,
+       substr(strftime(order_date, '%Y-%m-%d'), 1, 10) AS fecha, channel AS canal
+FROM recent
+""")
+oracle("kpi_panel_display", f"""
+SELECT coalesce({money('sum(CAST(quantity AS BIGINT) * price_cents)')}, 0) AS ventas_totales,
+       coalesce((SELECT {money('sum(coalesce(o.quantity, 0) * (coalesce(o.price_cents, 0) - coalesce(p.cost_cents, 0)))')}
+                 FROM orders_clean o LEFT JOIN products_clean p ON o.sku = p.sku), 0) AS margen,
+       CAST(coalesce(count(DISTINCT order_id), 0) AS BIGINT) AS num_pedidos,
+       coalesce({money(div_half_away('sum(CAST(quantity AS BIGINT) * price_cents)', 'count(DISTINCT order_id)'))}, 0)
+         AS ticket_promedio
+FROM orders_clean
+""")
+oracle("next_order_id", """
+SELECT printf('O%06d', coalesce(max(TRY_CAST(regexp_extract(order_id, '^O([0-9]+)$', 1) AS BIGINT)), 0) + 1)
+       AS next_order_id
+FROM orders_clean
+""")
+
+# ------------------------------------------------------------------ intake
+STRIP = r"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+
+
+def _blank(x):
+    return f"nullif({STRIP.format(x=x)}, '')"
+
+
+CTES["intake_batch"] = r"""
+SELECT CASE WHEN r = 0 THEN '  ' WHEN r = 6 THEN order_id ELSE printf('W%09d', k) END AS order_id,
+       CAST(customer_id AS VARCHAR) AS customer_id, CAST(sku AS VARCHAR) AS sku,
+       CASE WHEN r = 1 THEN 'x' WHEN r = 2 THEN '0' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+       CASE WHEN r = 3 THEN '0' WHEN price_cents IS NULL THEN ''
+            ELSE CAST(price_cents // 100 AS VARCHAR) || '.' || lpad(CAST(price_cents % 100 AS VARCHAR), 2, '0') END
+         AS unit_price,
+       CASE WHEN r = 4 THEN '' WHEN r = 5 THEN '2027-01-15' ELSE order_date END AS order_date,
+       channel, k AS clave, seq AS copia
+FROM (SELECT *, CAST(substr(order_id, 2) AS BIGINT) AS k, (CAST(substr(order_id, 2) AS BIGINT) // 10) % 10 AS r
+      FROM orders_raw) b
+"""
+
+CTES["intake_typed"] = f"""
+SELECT {_blank('order_id')} AS order_id,
+       TRY_CAST({_blank('customer_id')} AS BIGINT) AS customer_id, TRY_CAST({_blank('sku')} AS BIGINT) AS sku,
+       {_blank('quantity')} AS q_text, TRY_CAST({_blank('quantity')} AS INTEGER) AS quantity,
+       CAST(TRY_CAST({_blank('unit_price')} AS DECIMAL(20,2)) * 100 AS BIGINT) AS price_cents,
+       {_blank('order_date')} AS d_text,
+       CAST(try_strptime({_blank('order_date')}, '%Y-%m-%d') AS DATE) AS order_date,
+       channel, clave, copia
+FROM intake_batch
+"""
+
+_ROW_RULES = [
+    "CASE WHEN order_id IS NULL THEN 'Order ID es requerido' END",
+    "CASE WHEN quantity IS NULL THEN 'Cantidad inválida' WHEN quantity <= 0 THEN 'Cantidad debe ser mayor a 0' END",
+    "CASE WHEN price_cents IS NULL THEN 'Precio unitario inválido' "
+    "WHEN price_cents <= 0 THEN 'Precio unitario debe ser mayor a 0' END",
+    "CASE WHEN d_text IS NULL THEN 'Fecha es requerida' WHEN order_date IS NULL THEN 'Fecha inválida' "
+    "WHEN order_date > DATE '2026-06-01' THEN 'La fecha no puede ser futura' END",
+]
+_STRICT_RULES = [
+    "CASE WHEN order_id IS NOT NULL AND NOT regexp_matches(order_id, '^O[0-9]{6}$') "
+    "THEN 'Formato de Order ID inválido' END",
+    "CASE WHEN customer_id IS NULL OR customer_id NOT IN (SELECT customer_id FROM customers_clean "
+    "WHERE customer_id IS NOT NULL) THEN 'Cliente inexistente' END",
+    "CASE WHEN sku IS NULL OR sku NOT IN (SELECT sku FROM products_clean WHERE active AND sku IS NOT NULL) "
+    "THEN 'Producto inexistente o inactivo' END",
+    "CASE WHEN channel IS NULL OR channel NOT IN ('retail', 'ecommerce', 'wholesale', 'export') "
+    "THEN 'Canal inválido' END",
+]
+
+
+def _validated_sql(rules):
+    errs = f"concat_ws(' | ', {', '.join(rules)})"
+    return f"""
+SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price, order_date, channel,
+       clave, copia,
+       CASE WHEN errores IS NULL THEN 'aceptado' ELSE 'rechazado' END AS estado, errores
+FROM (
+  SELECT *, CASE WHEN e <> '' THEN e WHEN rn > 1 THEN 'Order ID repetido en el lote'
+                 WHEN order_id IN (SELECT order_id FROM orders_clean) THEN 'Order ID ya existe' END AS errores
+  FROM (SELECT *, CASE WHEN e = '' THEN row_number() OVER (PARTITION BY order_id, e = ''
+                  ORDER BY clave, copia) END AS rn
+        FROM (SELECT *, {errs} AS e FROM intake_typed) t1) t2) t3
+"""
+
+
+CTES["intake_validated_v"] = _validated_sql(_ROW_RULES)
+oracle("intake_validated", "SELECT * FROM intake_validated_v")
+oracle("intake_accepted", """
+SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel FROM intake_validated_v
+WHERE estado = 'aceptado'
+""")
+oracle("intake_rejects", "SELECT order_id, clave, copia, errores FROM intake_validated_v WHERE estado = 'rechazado'")
+oracle("intake_strict", _validated_sql(_ROW_RULES[:1] + _STRICT_RULES + _ROW_RULES[1:]))

@@ -381,3 +381,89 @@ def q_drop_impact(spark, sf_dir):
 def q_profile_counters(spark, sf_dir):
     r = raw_tables(spark, sf_dir)
     return P.profile_counters(r.customers, r.products, r.orders)
+
+
+# ------------------------------------------------------------------ checks
+from starledger.operators import checks as V  # noqa: E402
+from starledger.operators import intake as I  # noqa: E402
+from starledger.operators import serving as A  # noqa: E402
+from starledger.sources.fixtures import INTAKE_AS_OF, intake_batch  # noqa: E402
+
+
+@query("constraint_violations")
+def q_constraint_violations(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return V.constraint_violations(m.customers, m.products, m.orders)
+
+
+# ----------------------------------------------------------------- serving
+@query("customer_lookup")
+def q_customer_lookup(spark, sf_dir):
+    return A.customer_lookup(_model(spark, sf_dir).customers)
+
+
+@query("customer_list")
+def q_customer_list(spark, sf_dir):
+    return A.customer_list(_model(spark, sf_dir).customers)
+
+
+@query("active_products")
+def q_active_products(spark, sf_dir):
+    return A.active_products(_model(spark, sf_dir).products)
+
+
+@query("recent_orders")
+def q_recent_orders(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return A.recent_orders(m.orders, m.customers, m.products)
+
+
+@query("recent_orders_display")
+def q_recent_orders_display(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return A.recent_orders_display(A.recent_orders(m.orders, m.customers, m.products))
+
+
+@query("kpi_panel_display")
+def q_kpi_panel_display(spark, sf_dir):
+    m = _model(spark, sf_dir)
+    return A.kpi_panel_display(m.orders, m.products)
+
+
+@query("next_order_id")
+def q_next_order_id(spark, sf_dir):
+    return A.next_order_id(_model(spark, sf_dir).orders)
+
+
+# ------------------------------------------------------------------ intake
+def _present_validated(v):
+    return v.select("order_id", "customer_id", "sku", "quantity",
+                    to_money(F.col("price_cents")).alias("unit_price"), "order_date", "channel",
+                    F.col("seq.k").alias("clave"), F.col("seq.s").alias("copia"), "estado", "errores")
+
+
+def _validated(spark, sf_dir, strict=False):
+    m = _model(spark, sf_dir)
+    return I.validate(intake_batch(spark, sf_dir), m.orders, INTAKE_AS_OF,
+                      m.customers, m.products, strict=strict)
+
+
+@query("intake_validated")
+def q_intake_validated(spark, sf_dir):
+    return _present_validated(_validated(spark, sf_dir))
+
+
+@query("intake_accepted")
+def q_intake_accepted(spark, sf_dir):
+    return M.present_orders(I.accepted(_validated(spark, sf_dir)))
+
+
+@query("intake_rejects")
+def q_intake_rejects(spark, sf_dir):
+    return I.rejected(_validated(spark, sf_dir)).select(
+        "order_id", F.col("seq.k").alias("clave"), F.col("seq.s").alias("copia"), "errores")
+
+
+@query("intake_strict")
+def q_intake_strict(spark, sf_dir):
+    return _present_validated(_validated(spark, sf_dir, strict=True))

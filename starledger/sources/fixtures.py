@@ -129,3 +129,41 @@ class RawTables:
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(customers_raw(spark, sf_dir), products_raw(spark, sf_dir),
                      orders_raw(spark, sf_dir))
+
+
+# The intake batch rules (by order key % 10) and the date the
+# batch is validated against.
+INTAKE_AS_OF = "2026-06-01"
+INTAKE_FUTURE_DATE = "2027-01-15"
+
+
+def intake_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of submitted orders as text, one per raw order line.
+
+    By ``order key % 10``: 0 blank id, 1 quantity 'x', 2 quantity '0',
+    3 price '0', 4 blank date, 5 a future date, 6 the line's existing fact
+    id; other rows get a new id ``W<9 digits>``. Raw duplicates of a line
+    share its id, so ids repeat within the batch. ``seq`` = (line number
+    key, raw position) orders the submissions.
+    """
+    o = orders_raw(spark, sf_dir)
+    k = F.substring(F.col("order_id"), 2, 20).cast("bigint")
+    rule = F.call_function("div", k, F.lit(10)) % 10
+    cents = F.col("price_cents")
+    price_text = F.concat(F.call_function("div", cents, F.lit(100)).cast("string"), F.lit("."),
+                          F.lpad((cents % 100).cast("string"), 2, "0"))
+    return o.select(
+        F.when(rule == 0, F.lit("  "))
+         .when(rule == 6, F.col("order_id"))
+         .otherwise(F.format_string("W%09d", k)).alias("order_id"),
+        F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("sku").cast("string").alias("sku"),
+        F.when(rule == 1, F.lit("x")).when(rule == 2, F.lit("0"))
+         .otherwise(F.col("quantity").cast("string")).alias("quantity"),
+        F.when(rule == 3, F.lit("0")).when(cents.isNull(), F.lit(""))
+         .otherwise(price_text).alias("unit_price"),
+        F.when(rule == 4, F.lit("")).when(rule == 5, F.lit(INTAKE_FUTURE_DATE))
+         .otherwise(F.col("order_date")).alias("order_date"),
+        F.col("channel"),
+        F.struct(k.alias("k"), F.col("seq").alias("s")).alias("seq"),
+    )
