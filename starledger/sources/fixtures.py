@@ -47,12 +47,8 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
-    # Stands for file order within a key: keep-first takes seq = 1.
-    order_within_key = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(
-        "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus")
     priority = F.substring("o_orderpriority", 1, 1)
-    return joined.select(
+    lines = joined.select(
         F.format_string("O%09d", F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
         (F.col("o_custkey") + F.when(F.col("l_orderkey") % ORPHAN_CUSTOMER_MOD == 0,
                                      F.lit(ORPHAN_OFFSET)).otherwise(F.lit(0))).alias("customer_id"),
@@ -73,8 +69,19 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(priority == "3", F.lit("wholesale"))
          .when(priority == "5", F.lit("Export"))
          .otherwise(F.lit("retail")).alias("channel"),
-        F.row_number().over(order_within_key).cast("bigint").alias("seq"),
-    )
+        *_SEQ_ORDER)
+    # seq stands for file order within a line (l_orderkey, l_linenumber);
+    # keep-first takes seq = 1. order_id is a one-to-one function of that
+    # pair, so the window is partitioned by order_id: the same groups, and
+    # the dedup on order_id then reuses this partitioning (no second shuffle).
+    within_line = Window.partitionBy("order_id").orderBy(*_SEQ_ORDER)
+    return lines.select(
+        "order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel",
+        F.row_number().over(within_line).cast("bigint").alias("seq"))
+
+
+_SEQ_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+              "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
 def _with_dim_duplicates(df: DataFrame, key: str, text_col: str) -> DataFrame:
