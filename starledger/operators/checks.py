@@ -31,22 +31,27 @@ def _checks_only(name: str) -> list:
 
 
 def table_violations(df: DataFrame, name: str) -> DataFrame:
-    """V1 + V2 + V3 for one table."""
-    not_null = NOT_NULL.get(name, [])
-    checks = _checks_only(name)
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"not null {c}") for c in not_null]
-    aggs += [F.count_if(~F.coalesce(cond, F.lit(True))).alias(f"check {label}") for label, cond in checks]
-    row = df.agg(*aggs) if aggs else None
+    """V1 + V2 + V3 for one table in one pass.
+
+    Rows are grouped by the primary key with every NOT NULL / CHECK counter
+    carried along (map-side partial aggregation), then summed. Key
+    duplicates are ``sum(rows - 1)`` over non-NULL keys: like the reference's
+    SQL store, a NULL key is not a duplicate."""
     key = PRIMARY_KEYS[name]
-    keyed = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    pk = keyed.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v")).select(
-        F.lit(name).alias("tabla"), F.lit(f"primary key {key}").alias("regla"),
-        F.col("v").cast("bigint").alias("violaciones"), F.lit(True).alias("fatal"))
-    if row is None:
-        return pk
-    long = row.unpivot([], row.columns, "regla", "violaciones").select(
-        F.lit(name).alias("tabla"), "regla", F.col("violaciones").cast("bigint"), F.lit(True).alias("fatal"))
-    return long.unionByName(pk)
+    counters = [(f"not null {c}", F.col(c).isNull()) for c in NOT_NULL.get(name, [])]
+    counters += [(f"check {label}", ~F.coalesce(cond, F.lit(True))) for label, cond in _checks_only(name)]
+    per_key = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(counters)])
+    totals = per_key.agg(
+        *[F.sum(f"_c{i}").alias(label) for i, (label, _) in enumerate(counters)],
+        F.sum(F.when(F.col(key).isNotNull(), F.col("_n") - 1).otherwise(F.lit(0)))
+         .alias(f"primary key {key}"))
+    labels = [label for label, _ in counters] + [f"primary key {key}"]
+    return totals.unpivot([], labels, "regla", "violaciones").select(
+        F.lit(name).alias("tabla"), "regla",
+        F.coalesce(F.col("violaciones"), F.lit(0)).cast("bigint").alias("violaciones"),
+        F.lit(True).alias("fatal"))
 
 
 def foreign_key_violations(child: DataFrame, child_name: str, column: str,

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from starledger.functions.dates import parse_day
 from starledger.functions.text import strip_space
-from starledger.operators.dedup import first_flag
 from starledger.schemas import CHANNELS
 
 # Rejection messages, in rule order. The first six are the
@@ -116,16 +115,18 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
             t = t.join(lookup, t[col] == lookup[key], "left").drop(key)
         rules = rules[:1] + extra + rules[1:]
     t = t.withColumn("_row_errors", F.concat_ws(" | ", *rules))
-    ok = t.filter(F.col("_row_errors") == "")
-    ok_flagged = first_flag(ok.select("order_id", "seq"), ["order_id"], "seq", "_first")
-    ids = ok_flagged.filter(F.col("_first")).select(F.col("order_id").alias("_fid"))
-    existing = facts.select(F.col("order_id").alias("_eid")).distinct()
-    clash = ids.join(existing, ids["_fid"] == existing["_eid"], "left_semi").select(
-        F.col("_fid").alias("_xid"), F.lit(True).alias("_exists"))
-    flagged = ok_flagged.join(clash, ok_flagged["order_id"] == clash["_xid"], "left").select(
-        F.col("order_id").alias("_oid"), F.col("seq").alias("_oseq"), "_first",
-        F.coalesce("_exists", F.lit(False)).alias("_exists"))
-    out = t.join(flagged, (t["order_id"] == flagged["_oid"]) & (t["seq"] == flagged["_oseq"]), "left")
+    # First submission of each id among the rows without errors (partial
+    # aggregation), flagged when the fact already has the id. Both sides are
+    # one row per id and hash-partitioned by it.
+    firsts = (t.filter(F.col("_row_errors") == "").groupBy("order_id")
+               .agg(F.min("seq").alias("_fseq")))
+    existing = facts.select(F.col("order_id").alias("_eid")).distinct().withColumn(
+        "_exists", F.lit(True))
+    firsts = firsts.join(existing, firsts["order_id"] == existing["_eid"], "left").select(
+        F.col("order_id").alias("_fid"), "_fseq", F.coalesce("_exists", F.lit(False)).alias("_exists"))
+    # Joined back on (id, position): a hot id spreads over many tasks.
+    out = t.join(firsts, (t["order_id"] == firsts["_fid"]) & (t["seq"] == firsts["_fseq"]), "left")
+    out = out.withColumn("_first", F.col("_fid").isNotNull())
     errores = (F.when(F.col("_row_errors") != "", F.col("_row_errors"))
                 .when(~F.col("_first"), F.lit(MSG_REPEATED))
                 .when(F.col("_exists"), F.lit(MSG_EXISTS)))

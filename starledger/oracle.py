@@ -174,6 +174,8 @@ oracle("clean_customers", "SELECT * FROM customers_clean")
 oracle("clean_products", f"SELECT sku, category, {money('cost_cents')} AS cost, active FROM products_clean")
 oracle("clean_orders", f"""SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price,
                                   order_date, channel FROM orders_clean""")
+oracle("csv_roundtrip", f"""SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price,
+                                   order_date, channel FROM orders_clean""")
 oracle("dedup_customers",
        "SELECT * FROM customers_raw QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY seq) = 1")
 oracle("dedup_products",

@@ -127,6 +127,21 @@ def q_clean_audit(spark, sf_dir):
     return C.clean_audit(r.customers, r.products, r.orders)
 
 
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Export the clean orders as header CSV below the shared checkpoint
+    folder, read them back with an explicit schema and return them."""
+    import hashlib
+    from starledger.session import scratch_path
+    from starledger.sources.sinks import export_csv
+    path = scratch_path(spark, "csv_roundtrip/" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
+    export_csv({"orders": M.present_orders(_model(spark, sf_dir).orders)}, path)
+    schema = ("order_id string, customer_id bigint, sku bigint, quantity int, unit_price double, "
+              "order_date date, channel string")
+    return (spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd")
+            .csv(f"{path}/orders_clean"))
+
+
 # ------------------------------------------------------------------- model
 @query("orders_enriched")
 def q_orders_enriched(spark, sf_dir):
