@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from starledger.functions.dates import parse_day, parse_day_strict
 from starledger.functions.text import normalize_channel
 from starledger.operators.dedup import keep_first
+from starledger.session import materialize
 from starledger.schemas import (
     CUSTOMER_COLS, ORDER_COLS, PRODUCT_COLS, UNCATEGORIZED, UNKNOWN,
 )
@@ -131,10 +132,18 @@ def normalize_channels(df: DataFrame) -> DataFrame:
     return df.withColumn("channel", normalize_channel(F.col("channel")))
 
 
-def clean_orders(df: DataFrame, order_cols: Sequence[str] = ("seq",)) -> DataFrame:
-    """C16 = C9 -> C10 -> C11 -> C12/C13/C14 -> C15."""
-    survivors = valid_quantity(valid_dates(dedup_orders(df, order_cols)))
-    return normalize_channels(impute_prices(survivors.select(*ORDER_COLS))).select(*ORDER_COLS)
+def clean_orders(df: DataFrame, order_cols: Sequence[str] = ("seq",),
+                 materialize_survivors: bool = True) -> DataFrame:
+    """C16 = C9 -> C10 -> C11 -> C12/C13/C14 -> C15.
+
+    The survivors of C9-C11 feed both the per-sku statistics and the fill;
+    they are written once to the checkpoint folder (``materialize``) so the
+    raw fact is scanned and shuffled once, not once per branch.
+    """
+    survivors = valid_quantity(valid_dates(dedup_orders(df, order_cols))).select(*ORDER_COLS)
+    if materialize_survivors:
+        survivors = materialize(survivors)
+    return normalize_channels(impute_prices(survivors)).select(*ORDER_COLS)
 
 
 # -------------------------------------------------------------------- audit

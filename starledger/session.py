@@ -64,3 +64,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for written intermediates."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), "starledger", name)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and return a frame
+    that reads it back (lineage cut; survives the loss of executors, unlike
+    a cache or a local checkpoint). Used where one expensive intermediate
+    feeds several branches whose column pruning would otherwise stop
+    shuffle reuse."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
