@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starledger.functions.dates import parse_day
 from starledger.functions.text import strip_space
 from starledger.schemas import CHANNELS
+from starledger.session import materialize
 
 # Rejection messages, in rule order. The first six are the
 # order form's own texts; the cast and format messages name the failing
@@ -114,7 +115,9 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
         for lookup, col, key in lookups:
             t = t.join(lookup, t[col] == lookup[key], "left").drop(key)
         rules = rules[:1] + extra + rules[1:]
-    t = t.withColumn("_row_errors", F.concat_ws(" | ", *rules))
+    # The typed batch feeds two branches (first positions, join back); it is
+    # written once to the checkpoint folder instead of derived twice.
+    t = materialize(t.withColumn("_row_errors", F.concat_ws(" | ", *rules)))
     # First submission of each id among the rows without errors (partial
     # aggregation), flagged when the fact already has the id. Both sides are
     # one row per id and hash-partitioned by it.
