@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starledger.functions.dates import parse_day
 from starledger.functions.text import normalize_channel
 from starledger.operators.dedup import all_copies, keep_first
+from starledger.session import materialize
 
 # Labels and decisions of the findings table.
 FINDINGS = [
@@ -125,38 +126,99 @@ def value_counts(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame
                 .orderBy("campo", F.col("filas").desc(), F.col("valor").asc_nulls_first()))
 
 
+def _placed_values(long: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Rank spans of the values of several columns at once.
+
+    ``long`` has (campo, v). Values are counted per (campo, value) with
+    partial aggregation and the frequency table (bounded by the distinct
+    values, not the rows) is written once; it is range-partitioned on
+    (campo, v) and prefix-summed per range partition, and partition offsets
+    come from a table with one row per (campo, partition). Returns
+    (campo, v, f, _before, _upto, n): value ``v`` holds ranks
+    ``[_before, _upto)`` among the ``n`` non-NULL values of its column. No
+    task holds more than one range partition of the distinct values.
+    """
+    parts = partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    freq = materialize(long.filter(F.col("v").isNotNull())
+                       .groupBy("campo", "v").agg(F.count(F.lit(1)).alias("f")))
+    ranged = freq.repartitionByRange(parts, "campo", "v").withColumn("_p", F.spark_partition_id())
+    local = ranged.withColumn("_cum", F.sum("f").over(
+        Window.partitionBy("campo", "_p").orderBy("v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    totals = ranged.groupBy("campo", "_p").agg(F.sum("f").alias("_tot"))
+    offsets = totals.select(
+        "campo", "_p",
+        (F.sum("_tot").over(Window.partitionBy("campo").orderBy("_p")
+                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+         - F.col("_tot")).alias("_off"),
+        F.sum("_tot").over(Window.partitionBy("campo")).alias("n"))
+    # one row per (column, range partition): a proven size bound to broadcast
+    return local.join(F.broadcast(offsets), ["campo", "_p"]).select(
+        "campo", "v", "f", "n",
+        (F.col("_cum") + F.col("_off") - F.col("f")).alias("_before"),
+        (F.col("_cum") + F.col("_off")).alias("_upto"))
+
+
+def _quantile_columns(probs: Sequence[float]):
+    """Aggregates picking the rank neighbours of each quantile (grouped by
+    campo and n), and the interpolations over them (the formula of Spark's
+    ``percentile``)."""
+    n = F.col("n")
+    picks, outs = [], []
+    for i, q in enumerate(probs):
+        pos = (n - 1).cast("double") * F.lit(float(q))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        for side, rank in (("lo", lo), ("hi", hi)):
+            picks.append(F.min(F.when((F.col("_before") <= rank) & (rank < F.col("_upto")),
+                                      F.col("v").cast("double"))).alias(f"_{side}{i}"))
+        lo_v, hi_v = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        outs.append(F.when((hi == lo) | (lo_v == hi_v), lo_v)
+                     .otherwise((hi.cast("double") - pos) * lo_v + (pos - lo.cast("double")) * hi_v))
+    return picks, outs
+
+
+def _long_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    typed = df.select(*[F.col(c).cast("bigint").alias(c) for c in columns])
+    return typed.unpivot([], list(columns), "campo", "v")
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
+                    partitions: int | None = None) -> DataFrame:
+    """Exact, linearly interpolated quantiles of an integral column, one row
+    with columns ``q0, q1, ...``; equal to Spark's ``percentile``, computed
+    without gathering the distinct values in one task."""
+    placed = _placed_values(_long_numeric(df, [column]), partitions)
+    picks, outs = _quantile_columns(probs)
+    empty = [F.lit(None).cast("double").alias(f"q{i}") for i in range(len(probs))]
+    got = placed.groupBy("campo", "n").agg(*picks).select(*[o.alias(f"q{i}") for i, o in enumerate(outs)])
+    # no non-NULL values: one row of NULLs, as percentile gives
+    return got.unionByName(df.sparkSession.range(1).select(*empty)).agg(
+        *[F.max(f"q{i}").alias(f"q{i}") for i in range(len(probs))])
+
+
 def describe_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, 25%, 50%, 75%, max of integral columns.
 
-    Mean and sample standard deviation come from exact integer moments
-    (n, sum x, sum x^2) and one final division, so they do not depend on how
-    rows are split over tasks. Quartiles are the exact, linearly interpolated
-    ``percentile`` (its partial buffers hold one counter per distinct value,
-    so memory follows the value domain, not the row count).
+    One pass over the table for all columns (unpivot, then a frequency table
+    per column). From it, one aggregate per column: exact integer moments
+    (n, sum x, sum x^2; mean and sample std from one final division, so
+    independent of how rows are split over tasks), min, max and the rank
+    neighbours of the quartiles (exact, linearly interpolated).
     """
-    frames = []
-    for c in columns:
-        x = F.col(c).cast("decimal(38,0)")
-        agg = df.agg(
-            F.count(c).cast("bigint").alias("count"),
-            F.sum(x).alias("_s"),
-            F.sum(x * x).alias("_ss"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-            F.percentile(F.col(c), [0.25, 0.5, 0.75]).alias("_q"))
-        n = F.col("count")
-        var_num = F.col("_ss") * n - F.col("_s") * F.col("_s")
-        frames.append(agg.select(
-            F.lit(table).alias("tabla"), F.lit(c).alias("campo"), "count",
-            F.when(n > 0, F.col("_s").cast("double") / n).alias("mean"),
-            F.when(n > 1, F.sqrt(var_num.cast("double") / (n * (n - 1)).cast("double"))).alias("std"),
-            "min",
-            F.col("_q")[0].alias("p25"), F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"),
-            "max"))
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    placed = _placed_values(_long_numeric(df, columns))
+    picks, outs = _quantile_columns([0.25, 0.5, 0.75])
+    x = F.col("v").cast("decimal(38,0)")
+    fx = F.col("f").cast("decimal(38,0)") * x
+    agg = placed.groupBy("campo", "n").agg(
+        F.sum(fx).alias("_s"), F.sum(fx * x).alias("_ss"),
+        F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"), *picks)
+    n = F.col("n").cast("bigint")
+    var_num = F.col("_ss") * n - F.col("_s") * F.col("_s")
+    return agg.select(
+        F.lit(table).alias("tabla"), "campo", n.alias("count"),
+        (F.col("_s").cast("double") / n).alias("mean"),
+        F.when(n > 1, F.sqrt(var_num.cast("double") / (n * (n - 1)).cast("double"))).alias("std"),
+        "min", outs[0].alias("p25"), outs[1].alias("p50"), outs[2].alias("p75"), "max")
 
 
 def describe_text(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

@@ -168,3 +168,18 @@ def test_clean_is_idempotent(spark):
     again = C.clean_orders(once.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
                                .withColumn("seq", F.lit(1).cast("bigint")))
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_distributed_quantiles_equal_percentile(spark):
+    import random
+    from starledger.operators.profile import exact_quantiles
+    rnd = random.Random(7)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    for n in (1, 2, 9, 300):
+        vals = [(rnd.choice([rnd.randint(-3, 3), rnd.randint(0, 10 ** 6)]),) for _ in range(n)] + [(None,)]
+        df = spark.createDataFrame(vals, "x long")
+        mine = exact_quantiles(df, "x", probs, partitions=5).first()
+        ref = df.agg(F.percentile("x", probs)).first()[0]
+        assert [mine[f"q{i}"] for i in range(len(probs))] == ref
+    empty = spark.createDataFrame([(None,)], "x long")
+    assert exact_quantiles(empty, "x", [0.5]).first()["q0"] is None
