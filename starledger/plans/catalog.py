@@ -34,7 +34,7 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def _model(spark: SparkSession, sf_dir: str) -> M.CleanModel:
+def _model(spark: SparkSession, sf_dir: str) -> M.LazyCleanModel:
     return M.clean_model(raw_tables(spark, sf_dir))
 
 

@@ -19,10 +19,34 @@ class CleanModel:
     orders: DataFrame      # order_id, customer_id, sku, quantity, price_cents, order_date, channel
 
 
-def clean_model(raw: RawTables, order_cols=("seq",)) -> CleanModel:
-    return CleanModel(clean_customers(raw.customers, order_cols),
-                      clean_products(raw.products, order_cols),
-                      clean_orders(raw.orders, order_cols))
+class LazyCleanModel:
+    """The clean model, each table built on first use (cleaning the orders
+    writes their survivors once, so it is not done for queries that only
+    need a dimension)."""
+
+    def __init__(self, raw: RawTables, order_cols=("seq",)):
+        self._raw, self._order_cols, self._built = raw, order_cols, {}
+
+    def _get(self, name, build):
+        if name not in self._built:
+            self._built[name] = build(getattr(self._raw, name), self._order_cols)
+        return self._built[name]
+
+    @property
+    def customers(self) -> DataFrame:
+        return self._get("customers", clean_customers)
+
+    @property
+    def products(self) -> DataFrame:
+        return self._get("products", clean_products)
+
+    @property
+    def orders(self) -> DataFrame:
+        return self._get("orders", clean_orders)
+
+
+def clean_model(raw: RawTables, order_cols=("seq",)) -> LazyCleanModel:
+    return LazyCleanModel(raw, order_cols)
 
 
 def present_orders(orders: DataFrame) -> DataFrame:
