@@ -658,7 +658,8 @@ _STRICT_RULES = [
 def _validated_sql(rules):
     errs = f"concat_ws(' | ', {', '.join(rules)})"
     return f"""
-SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price, order_date, channel,
+SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price,
+       {money('CAST(coalesce(quantity, 0) AS BIGINT) * coalesce(price_cents, 0)')} AS total, order_date, channel,
        clave, copia,
        CASE WHEN errores IS NULL THEN 'aceptado' ELSE 'rechazado' END AS estado, errores
 FROM (

@@ -452,8 +452,11 @@ def q_next_order_id(spark, sf_dir):
 
 # ------------------------------------------------------------------ intake
 def _present_validated(v):
+    from starledger.functions.money import line_amount
     return v.select("order_id", "customer_id", "sku", "quantity",
-                    to_money(F.col("price_cents")).alias("unit_price"), "order_date", "channel",
+                    to_money(F.col("price_cents")).alias("unit_price"),
+                    to_money(line_amount(F.col("quantity"), F.col("price_cents"))).alias("total"),
+                    "order_date", "channel",
                     F.col("seq.k").alias("clave"), F.col("seq.s").alias("copia"), "estado", "errores")
 
 
