@@ -54,12 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset (a test or a laptop) a folder of our own is set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the conf is what counts
+        sc = None
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="starledger-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(current)
     return current
 
 
