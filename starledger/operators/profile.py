@@ -330,46 +330,103 @@ def channel_normalization(orders: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------- P22-P24
-def _dups(df: DataFrame, key: str) -> F.Column:
-    return df.groupBy(key).agg(_count().alias("_n")).agg(
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))).scalar()
+def _flag(cond: F.Column) -> F.Column:
+    return F.when(cond, F.lit(1)).otherwise(F.lit(0))
 
 
-def _orphan_count(facts: DataFrame, dim: DataFrame, key: str) -> F.Column:
-    return orphans(facts, dim, key, [key]).agg(_count()).scalar()
+# grouping_id of each grouping set of (order_id, customer_id, sku)
+_BY_ORDER, _BY_CUSTOMER, _BY_SKU = 3, 5, 6
 
 
-def quality_findings(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
-    """Tabla, campo, problema, filas_afectadas, decision (13 rows).
+def orders_profile_pass(orders: DataFrame) -> DataFrame:
+    """One scan of the raw fact for every order counter of the profile.
 
-    The channel row counts the rows whose label changes under lower + strip.
+    ``groupingSets`` over (order_id), (customer_id), (sku): row counts per
+    order id carry the row-level counters (for duplicates and totals), and
+    per-customer / per-sku counts (collapsed map-side) feed the orphan
+    checks. A small summary of it is written once and read by each
+    consumer, instead of each consumer scanning the raw fact again.
     """
-    o = orders.agg(
-        F.count_if(F.col("price_cents").isNull()).alias("unit_price"),
-        F.count_if(F.col("quantity") <= 0).alias("quantity"),
-        F.count_if(parse_day(F.col("order_date")).isNull()).alias("order_date"),
-        F.count_if(~F.col("channel").eqNullSafe(normalize_channel(F.col("channel")))).alias("channel"))
-    counts = o.select(
-        customers.agg(F.count_if(F.col("country").isNull())).scalar().alias("c_country"),
-        customers.agg(F.count_if(F.col("segment").isNull())).scalar().alias("c_segment"),
-        _dups(customers, "customer_id").alias("c_dup"),
-        products.agg(F.count_if(F.col("category").isNull())).scalar().alias("p_category"),
-        products.agg(F.count_if(F.col("cost_cents") < 0)).scalar().alias("p_cost"),
-        _dups(products, "sku").alias("p_dup"),
-        F.col("unit_price").alias("o_price"), F.col("quantity").alias("o_qty"),
-        F.col("order_date").alias("o_date"), _dups(orders, "order_id").alias("o_dup"),
-        F.col("channel").alias("o_channel"),
-        _orphan_count(orders, customers, "customer_id").alias("o_fk_customer"),
-        _orphan_count(orders, products, "sku").alias("o_fk_sku"))
-    cols = ["c_country", "c_segment", "c_dup", "p_category", "p_cost", "p_dup", "o_price",
-            "o_qty", "o_date", "o_dup", "o_channel", "o_fk_customer", "o_fk_sku"]
+    flagged = orders.select(
+        "order_id", "customer_id", "sku",
+        _flag(F.col("price_cents").isNull()).alias("_null_price"),
+        _flag(F.col("quantity") <= 0).alias("_qty_le0"),
+        _flag(F.col("quantity") < 0).alias("_qty_lt0"),
+        _flag(parse_day(F.col("order_date")).isNull()).alias("_bad_date"),
+        _flag(~F.col("channel").eqNullSafe(normalize_channel(F.col("channel")))).alias("_channel"))
+    counters = ["_null_price", "_qty_le0", "_qty_lt0", "_bad_date", "_channel"]
+    sets = flagged.groupingSets([["order_id"], ["customer_id"], ["sku"]], "order_id", "customer_id", "sku")
+    per_key = sets.agg(F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
+                       *[F.sum(c).alias(c) for c in counters])
+    # Collapse the per-order groups into one totals row (map-side partial
+    # aggregation does most of it); keep per-customer and per-sku counts.
+    # What is written is small: one row per customer and per sku, plus one.
+    small = per_key.groupBy(
+        "_gid",
+        F.when(F.col("_gid") == _BY_CUSTOMER, F.col("customer_id")).alias("customer_id"),
+        F.when(F.col("_gid") == _BY_SKU, F.col("sku")).alias("sku"),
+    ).agg(F.sum("_n").alias("_n"), F.sum(F.col("_n") - 1).alias("_extra"),
+          *[F.sum(c).alias(c) for c in counters])
+    return materialize(small)
+
+
+def _order_totals(per: DataFrame) -> DataFrame:
+    return per.filter(F.col("_gid") == _BY_ORDER).agg(
+        F.coalesce(F.sum("_extra"), F.lit(0)).alias("dups"),
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+          for c in ["_null_price", "_qty_le0", "_qty_lt0", "_bad_date", "_channel"]])
+
+
+def _key_counters(df: DataFrame, key: str, counters: dict) -> DataFrame:
+    """One row: extra copies per key (``dups``) and each counter, from one
+    group-by that carries the counters (one pass over the table)."""
+    per_key = df.groupBy(key).agg(_count().alias("_n"),
+                                  *[F.count_if(cond).alias(name) for name, cond in counters.items()])
+    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"),
+                       *[F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name) for name in counters])
+
+
+def _rows(frame: DataFrame, specs) -> DataFrame:
+    """Finding rows (tabla, campo, problema, filas_afectadas, decision) from
+    one-row ``frame``; ``specs`` pairs a FINDINGS entry with a column."""
     args = []
-    for (tabla, campo, problema, decision), col in zip(FINDINGS, cols):
+    for (tabla, campo, problema, decision), col in specs:
         args += [F.lit(tabla), F.lit(campo), F.lit(problema), F.col(col).cast("bigint"), F.lit(decision)]
-    return counts.select(F.stack(F.lit(len(FINDINGS)), *args).alias(
+    return frame.select(F.stack(F.lit(len(specs)), *args).alias(
         "tabla", "campo", "problema", "filas_afectadas", "decision"))
 
 
+def _orphan_total(per: DataFrame, gid: int, key: str, dim: DataFrame) -> DataFrame:
+    keys = dim.select(F.col(key).alias("_dim_key")).filter(F.col("_dim_key").isNotNull()).distinct()
+    groups = per.filter(F.col("_gid") == gid)
+    return groups.join(keys, groups[key] == keys["_dim_key"], "left_anti").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans"))
+
+
+def quality_findings(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
+    """Tabla, campo, problema, filas_afectadas, decision (13 rows).
+
+    One pass per table: the dimensions' counters ride on their key group-by,
+    the fact's on ``orders_profile_pass``; the per-table rows are combined
+    with a union (one job, branches in parallel), not scalar subqueries. The
+    channel row counts the rows whose label changes under lower + strip.
+    """
+    f = FINDINGS
+    c = _key_counters(customers, "customer_id", {"country": F.col("country").isNull(),
+                                                  "segment": F.col("segment").isNull()})
+    p = _key_counters(products, "sku", {"category": F.col("category").isNull(),
+                                        "cost": F.col("cost_cents") < 0})
+    per = orders_profile_pass(orders)
+    o = _order_totals(per)
+    return (_rows(c, [(f[0], "country"), (f[1], "segment"), (f[2], "dups")])
+            .unionByName(_rows(p, [(f[3], "category"), (f[4], "cost"), (f[5], "dups")]))
+            .unionByName(_rows(o, [(f[6], "_null_price"), (f[7], "_qty_le0"), (f[8], "_bad_date"),
+                                   (f[9], "dups"), (f[10], "_channel")]))
+            .unionByName(_rows(_orphan_total(per, _BY_CUSTOMER, "customer_id", customers),
+                               [(f[11], "orphans")]))
+            .unionByName(_rows(_orphan_total(per, _BY_SKU, "sku", products), [(f[12], "orphans")])))
+
+
 def drop_impact(orders: DataFrame, order_cols: Sequence[str] = ("seq",)) -> DataFrame:
     """Rows each removal rule hits on the raw facts, their union,
     original and remaining rows, and retention % (one decimal).
@@ -404,17 +461,20 @@ def drop_impact(orders: DataFrame, order_cols: Sequence[str] = ("seq",)) -> Data
 
 
 def profile_counters(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
-    """The nine pipeline counters as one record."""
-    o = orders.agg(
-        F.count_if(F.col("price_cents").isNull()).cast("bigint").alias("null_price"),
-        F.count_if(F.col("quantity") < 0).cast("bigint").alias("negative_qty"),
-        F.count_if(parse_day(F.col("order_date")).isNull()).cast("bigint").alias("invalid_dates"))
-    return o.select(
-        customers.agg(F.count_if(F.col("country").isNull())).scalar().cast("bigint").alias("null_country"),
-        customers.agg(F.count_if(F.col("segment").isNull())).scalar().cast("bigint").alias("null_segment"),
-        products.agg(F.count_if(F.col("cost_cents") < 0)).scalar().cast("bigint").alias("negative_cost"),
-        products.agg(F.count_if(F.col("category").isNull())).scalar().cast("bigint").alias("null_category"),
-        products.agg(F.count_if(F.col("active") == F.lit(False))).scalar().cast("bigint").alias("inactive"),
-        "null_price", "negative_qty",
-        _dups(orders, "order_id").cast("bigint").alias("duplicate_ids"),
-        "invalid_dates")
+    """The nine pipeline counters as one record.
+
+    One aggregate per table (the fact's duplicate count carries its other
+    counters through the order-id group-by); the one-row results are
+    combined by a union and a ``max`` per column, not by joins."""
+    c = customers.agg(F.count_if(F.col("country").isNull()).cast("bigint").alias("null_country"),
+                      F.count_if(F.col("segment").isNull()).cast("bigint").alias("null_segment"))
+    p = products.agg(F.count_if(F.col("cost_cents") < 0).cast("bigint").alias("negative_cost"),
+                     F.count_if(F.col("category").isNull()).cast("bigint").alias("null_category"),
+                     F.count_if(F.col("active") == F.lit(False)).cast("bigint").alias("inactive"))
+    o = _key_counters(orders, "order_id", {
+        "null_price": F.col("price_cents").isNull(), "negative_qty": F.col("quantity") < 0,
+        "invalid_dates": parse_day(F.col("order_date")).isNull()}).withColumnRenamed("dups", "duplicate_ids")
+    names = ["null_country", "null_segment", "negative_cost", "null_category", "inactive",
+             "null_price", "negative_qty", "duplicate_ids", "invalid_dates"]
+    merged = c.unionByName(p, allowMissingColumns=True).unionByName(o, allowMissingColumns=True)
+    return merged.agg(*[F.max(n).cast("bigint").alias(n) for n in names])
