@@ -427,37 +427,36 @@ def quality_findings(customers: DataFrame, products: DataFrame, orders: DataFram
             .unionByName(_rows(_orphan_total(per, _BY_SKU, "sku", products), [(f[12], "orphans")])))
 
 
-def drop_impact(orders: DataFrame, order_cols: Sequence[str] = ("seq",)) -> DataFrame:
+def drop_impact(orders: DataFrame, order_col: str = "seq") -> DataFrame:
     """Rows each removal rule hits on the raw facts, their union,
     original and remaining rows, and retention % (one decimal).
 
     A row is removed if its date does not parse, its quantity is <= 0 (a NULL
-    quantity is not), or it is not the first copy of its id. The union is
-    ``rows - (first copies with a good date and quantity)``, read off the
-    deduplicated table, so no per-row duplicate flag is needed.
+    quantity is not), or it is not the first copy of its id. One pass: rows
+    are grouped by id carrying the per-rule counts, and whether the first
+    copy is kept comes from ``min_by(kept, position)`` (partially aggregated,
+    so a hot id is combined map-side). ``order_col`` is unique within an id.
     """
     bad_date = parse_day(F.col("order_date")).isNull()
     bad_qty = F.coalesce(F.col("quantity") <= 0, F.lit(False))
-    firsts = keep_first(orders, ["order_id"], order_cols)
-    kept_firsts = firsts.agg(F.count(F.lit(1)).alias("_first"),
-                             F.count_if(~bad_date & ~bad_qty).alias("_keep"))
-    n_first = kept_firsts.select("_first").scalar()
-    n_keep = kept_firsts.select("_keep").scalar()
-    raw = orders.agg(F.count(F.lit(1)).alias("filas_originales"),
-                     F.count_if(bad_date).alias("fechas_invalidas"),
-                     F.count_if(bad_qty).alias("cantidades_invalidas"))
-    out = raw.select(
-        F.col("fechas_invalidas").cast("bigint").alias("fechas_invalidas"),
-        F.col("cantidades_invalidas").cast("bigint").alias("cantidades_invalidas"),
-        (F.col("filas_originales") - n_first).cast("bigint").alias("duplicados"),
-        (F.col("filas_originales") - n_keep).cast("bigint").alias("total_eliminar"),
-        F.col("filas_originales").cast("bigint").alias("filas_originales"),
-        n_keep.cast("bigint").alias("filas_resultantes"))
-    return out.withColumn(
-        "retencion_pct",
+    per_id = orders.select(
+        "order_id", F.col(order_col).alias("_pos"), bad_date.alias("_bd"), bad_qty.alias("_bq")
+    ).groupBy("order_id").agg(
+        _count().alias("_n"), F.count_if("_bd").alias("_bd"), F.count_if("_bq").alias("_bq"),
+        F.min_by(~F.col("_bd") & ~F.col("_bq"), F.col("_pos")).alias("_first_kept"))
+    out = per_id.agg(
+        F.coalesce(F.sum("_bd"), F.lit(0)).cast("bigint").alias("fechas_invalidas"),
+        F.coalesce(F.sum("_bq"), F.lit(0)).cast("bigint").alias("cantidades_invalidas"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicados"),
+        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("filas_originales"),
+        F.count_if("_first_kept").cast("bigint").alias("filas_resultantes"))
+    return out.select(
+        "fechas_invalidas", "cantidades_invalidas", "duplicados",
+        (F.col("filas_originales") - F.col("filas_resultantes")).alias("total_eliminar"),
+        "filas_originales", "filas_resultantes",
         F.when(F.col("filas_originales") > 0,
                F.rint(F.col("filas_resultantes").cast("double") / F.col("filas_originales") * 1000.0)
-               / 10.0))
+               / 10.0).alias("retencion_pct"))
 
 
 def profile_counters(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
