@@ -147,49 +147,59 @@ def clean_orders(df: DataFrame, order_cols: Sequence[str] = ("seq",),
 
 
 # -------------------------------------------------------------------- audit
+def _first_row_flags(df: DataFrame, key: str, order_col: str, flags: dict) -> DataFrame:
+    """One row: rows, keys, and for each flag the number of keys whose first
+    row (by ``order_col``) has it. The first row's flags travel as one
+    integer bit code through ``min_by`` (a partially aggregated hash
+    aggregate: a hot key is combined map-side)."""
+    names = list(flags)
+    code = sum((F.when(cond, F.lit(1 << i)).otherwise(F.lit(0)) for i, cond in enumerate(flags.values())),
+               F.lit(0))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"),
+                                  F.min_by(code, F.col(order_col)).alias("_code"))
+    return per_key.agg(
+        F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_keys"),
+        *[F.count_if((F.col("_code").bitwiseAND(F.lit(1 << i))) != 0).alias(n)
+          for i, n in enumerate(names)])
+
+
 def clean_audit(customers_raw: DataFrame, products_raw: DataFrame, orders_raw: DataFrame,
-                order_cols: Sequence[str] = ("seq",)) -> DataFrame:
+                order_col: str = "seq") -> DataFrame:
     """C17: per table and step, the rows in, out and affected.
 
-    One aggregate over each deduplicated table (each step's condition is
-    evaluated on the rows that reach that step) plus the raw row count as a
-    scalar subquery; not a ``count()`` action per step. Columns: tabla, paso,
-    filas.
+    One pass per table: rows are grouped by key and each step's condition
+    is evaluated on the first row of the key (the row keep-first keeps), in
+    step order. Columns: tabla, paso, filas.
     """
-    o_raw = orders_raw.agg(F.count(F.lit(1))).scalar()
-    o = dedup_orders(orders_raw, order_cols).select(
-        "quantity", "price_cents", parse_day(F.col("order_date")).alias("_d"))
-    dated = F.col("_d").isNotNull()
-    kept = dated & (F.col("quantity") > 0)
-    orders_row = o.agg(
-        o_raw.alias("original"),
-        (o_raw - F.count(F.lit(1))).alias("duplicados_eliminados"),
-        F.count_if(~dated).alias("fechas_invalidas_eliminadas"),
-        F.count_if(dated & (F.col("quantity") < 0)).alias("cantidad_negativa"),
-        F.count_if(dated & (F.col("quantity") == 0)).alias("cantidad_cero"),
-        F.count_if(dated & ~F.coalesce(F.col("quantity") > 0, F.lit(False))).alias("cantidad_eliminadas"),
-        F.count_if(kept & F.col("price_cents").isNull()).alias("precios_imputados"),
-        F.count_if(kept).alias("final"))
-    c_raw = customers_raw.agg(F.count(F.lit(1))).scalar()
-    c = dedup_customers(customers_raw, order_cols)
-    customers_row = c.agg(
-        c_raw.alias("original"),
-        (c_raw - F.count(F.lit(1))).alias("duplicados_eliminados"),
-        F.count_if(F.col("country").isNull()).alias("pais_unknown"),
-        F.count_if(F.col("segment").isNull()).alias("segmento_unknown"),
-        F.count(F.lit(1)).alias("final"))
-    p_raw = products_raw.agg(F.count(F.lit(1))).scalar()
-    p_neg = products_raw.agg(F.count_if(F.col("cost_cents") < 0)).scalar()
-    p = dedup_products(products_raw, order_cols)
-    products_row = p.agg(
-        p_raw.alias("original"),
-        p_neg.alias("costos_negativos_corregidos"),
-        F.count_if(F.col("category").isNull()).alias("categoria_uncategorized"),
-        (p_raw - F.count(F.lit(1))).alias("duplicados_eliminados"),
+    d = parse_day(F.col("order_date")).isNotNull()
+    q = F.col("quantity")
+    o = _first_row_flags(orders_raw, "order_id", order_col, {
+        "bad_date": ~d, "neg": d & (q < 0), "zero": d & (q == 0),
+        "bad_qty": d & ~F.coalesce(q > 0, F.lit(False)),
+        "imputed": d & F.coalesce(q > 0, F.lit(False)) & F.col("price_cents").isNull(),
+        "kept": d & F.coalesce(q > 0, F.lit(False))})
+    orders_row = o.select(
+        F.col("_rows").alias("original"), (F.col("_rows") - F.col("_keys")).alias("duplicados_eliminados"),
+        F.col("bad_date").alias("fechas_invalidas_eliminadas"), F.col("neg").alias("cantidad_negativa"),
+        F.col("zero").alias("cantidad_cero"), F.col("bad_qty").alias("cantidad_eliminadas"),
+        F.col("imputed").alias("precios_imputados"), F.col("kept").alias("final"))
+    c = _first_row_flags(customers_raw, "customer_id", order_col, {
+        "country": F.col("country").isNull(), "segment": F.col("segment").isNull()})
+    customers_row = c.select(
+        F.col("_rows").alias("original"), (F.col("_rows") - F.col("_keys")).alias("duplicados_eliminados"),
+        F.col("country").alias("pais_unknown"), F.col("segment").alias("segmento_unknown"),
+        F.col("_keys").alias("final"))
+    per_sku = products_raw.groupBy("sku").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.col("cost_cents") < 0).alias("_neg"),
+        F.min_by(F.col("category").isNull(), F.col(order_col)).alias("_nocat"))
+    products_row = per_sku.agg(
+        F.sum("_n").alias("original"), F.sum("_neg").alias("costos_negativos_corregidos"),
+        F.count_if("_nocat").alias("categoria_uncategorized"),
+        (F.sum("_n") - F.count(F.lit(1))).alias("duplicados_eliminados"),
         F.count(F.lit(1)).alias("final"))
 
     def long(row: DataFrame, table: str) -> DataFrame:
-        row = row.select(*[F.col(c).cast("bigint").alias(c) for c in row.columns])
+        row = row.select(*[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in row.columns])
         return (row.unpivot([], row.columns, "paso", "filas")
                    .select(F.lit(table).alias("tabla"), "paso", "filas"))
     return long(customers_row, "customers").unionByName(long(products_row, "products")) \

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from starledger.functions.dates import parse_day
 from starledger.functions.text import normalize_channel
-from starledger.operators.dedup import all_copies, keep_first
+from starledger.operators.dedup import all_copies
 from starledger.session import materialize
 
 # Labels and decisions of the findings table.
