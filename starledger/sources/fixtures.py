@@ -17,6 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def _zero_padded(prefix: str, number: F.Column, width: int = 9) -> F.Column:
+    """``prefix`` + number zero-padded to ``width`` digits; wider numbers keep
+    every digit (``printf('%09d')``), unlike a bare ``lpad``, which cuts."""
+    digits = number.cast("string")
+    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits)
+                                    .otherwise(F.lpad(digits, width, "0")))
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -49,7 +57,7 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
     priority = F.substring("o_orderpriority", 1, 1)
     lines = joined.select(
-        F.format_string("O%09d", F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
+        _zero_padded("O", F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
         (F.col("o_custkey") + F.when(F.col("l_orderkey") % ORPHAN_CUSTOMER_MOD == 0,
                                      F.lit(ORPHAN_OFFSET)).otherwise(F.lit(0))).alias("customer_id"),
         (F.col("l_partkey") + F.when(F.col("l_partkey") % ORPHAN_SKU_MOD == 0,
@@ -162,7 +170,7 @@ def intake_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.when(rule == 0, F.lit("  "))
          .when(rule == 6, F.col("order_id"))
-         .otherwise(F.format_string("W%09d", k)).alias("order_id"),
+         .otherwise(_zero_padded("W", k)).alias("order_id"),
         F.col("customer_id").cast("string").alias("customer_id"),
         F.col("sku").cast("string").alias("sku"),
         F.when(rule == 1, F.lit("x")).when(rule == 2, F.lit("0"))

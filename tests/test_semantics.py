@@ -183,3 +183,10 @@ def test_distributed_quantiles_equal_percentile(spark):
         assert [mine[f"q{i}"] for i in range(len(probs))] == ref
     empty = spark.createDataFrame([(None,)], "x long")
     assert exact_quantiles(empty, "x", [0.5]).first()["q0"] is None
+
+
+def test_zero_padding_never_truncates(spark):
+    from starledger.sources.fixtures import _zero_padded
+    df = spark.createDataFrame([(7,), (123456789,), (98765432101,)], "k long")
+    got = [r[0] for r in df.select(_zero_padded("O", F.col("k"))).collect()]
+    assert got == ["O000000007", "O123456789", "O98765432101"]
