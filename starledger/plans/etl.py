@@ -41,15 +41,23 @@ def register_views(spark: SparkSession, model: CleanModel) -> None:
         "v_orders_enriched")
 
 
-def validate_published(model: CleanModel) -> DataFrame:
-    """Post-load validation (one row): counts, sales, orders, ticket, margin."""
-    panel = kpi_panel(model.orders)
-    margin = kpi_total_margin(model.orders, model.products).select("margen_total").scalar()
-    return panel.select(
-        model.customers.agg(F.count(F.lit(1))).scalar().alias("customers"),
-        model.products.agg(F.count(F.lit(1))).scalar().alias("products"),
-        model.orders.agg(F.count(F.lit(1))).scalar().alias("orders"),
-        "ventas_totales", "num_pedidos", "ticket_promedio", margin.alias("margen_total"))
+def validate_published(model) -> DataFrame:
+    """Post-load validation (one row): table counts, sales, orders, ticket,
+    margin. One-row results are combined by a union and a ``max`` per
+    column (branches run in one job)."""
+    names = ["customers", "products", "orders", "ventas_totales", "num_pedidos", "ticket_promedio",
+             "margen_total"]
+    parts = [
+        model.customers.agg(F.count(F.lit(1)).alias("customers")),
+        model.products.agg(F.count(F.lit(1)).alias("products")),
+        model.orders.agg(F.count(F.lit(1)).alias("orders")),
+        kpi_panel(model.orders),
+        kpi_total_margin(model.orders, model.products),
+    ]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part, allowMissingColumns=True)
+    return merged.agg(*[F.max(n).alias(n) for n in names])
 
 
 def run(spark: SparkSession, raw: RawTables, out_dir: str, run_id: str,
