@@ -214,11 +214,19 @@ def describe_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataF
         F.min("v").cast("double").alias("min"), F.max("v").cast("double").alias("max"), *picks)
     n = F.col("n").cast("bigint")
     var_num = F.col("_ss") * n - F.col("_s") * F.col("_s")
-    return agg.select(
-        F.lit(table).alias("tabla"), "campo", n.alias("count"),
+    stats = agg.select(
+        "campo", n.alias("count"),
         (F.col("_s").cast("double") / n).alias("mean"),
         F.when(n > 1, F.sqrt(var_num.cast("double") / (n * (n - 1)).cast("double"))).alias("std"),
         "min", outs[0].alias("p25"), outs[1].alias("p50"), outs[2].alias("p75"), "max")
+    # a column without any value still gets its row (count 0), as in pandas
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "campo string").select(
+        "campo", F.lit(0).cast("bigint").alias("count"))
+    merged = stats.unionByName(named, allowMissingColumns=True)
+    value_cols = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return merged.groupBy("campo").agg(
+        F.max("count").alias("count"), *[F.max(c).alias(c) for c in value_cols]).select(
+        F.lit(table).alias("tabla"), "campo", "count", *value_cols)
 
 
 def describe_text(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:

@@ -190,3 +190,10 @@ def test_zero_padding_never_truncates(spark):
     df = spark.createDataFrame([(7,), (123456789,), (98765432101,)], "k long")
     got = [r[0] for r in df.select(_zero_padded("O", F.col("k"))).collect()]
     assert got == ["O000000007", "O123456789", "O98765432101"]
+
+
+def test_describe_keeps_a_column_without_values(spark):
+    df = spark.createDataFrame([(1, None), (3, None)], "a long, b long")
+    rows = {r["campo"]: r for r in P.describe_numeric(df, "t", ["a", "b"]).collect()}
+    assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None
+    assert rows["a"]["count"] == 2 and rows["a"]["mean"] == 2.0 and rows["a"]["p50"] == 2.0
