@@ -190,7 +190,7 @@ FROM (SELECT sku, count(*) AS filas_sin_precio FROM orders_valid WHERE price_cen
 LEFT JOIN (SELECT sku, count(price_cents) AS n_priced,
                   CAST(sum(price_cents) AS DOUBLE) / count(price_cents) AS m
            FROM orders_valid GROUP BY sku HAVING count(price_cents) > 0) s
-  ON m.sku IS NOT DISTINCT FROM s.sku
+  ON m.sku = s.sku
 """)
 oracle("impute_global_mean", f"""
 SELECT CAST(count(*) AS BIGINT) AS filas_precio_global, {money('max(c.price_cents)')} AS precio_global

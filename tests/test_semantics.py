@@ -197,3 +197,9 @@ def test_describe_keeps_a_column_without_values(spark):
     rows = {r["campo"]: r for r in P.describe_numeric(df, "t", ["a", "b"]).collect()}
     assert rows["b"]["count"] == 0 and rows["b"]["mean"] is None
     assert rows["a"]["count"] == 2 and rows["a"]["mean"] == 2.0 and rows["a"]["p50"] == 2.0
+
+
+def test_schema_listing_and_head(spark):
+    df = spark.createDataFrame([("b", 2, 1), ("a", 1, 2)], "k string, v int, seq long")
+    assert P.schema_listing(df, "t") == [("t", "k", "string"), ("t", "v", "int")]
+    assert [r["k"] for r in P.head(df, ["seq"], 1).collect()] == ["b"]
