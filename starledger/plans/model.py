@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.money import to_money
+from starledger.operators.joins import broadcast_if_small
 from starledger.operators.clean import clean_customers, clean_orders, clean_products
 from starledger.sources.fixtures import RawTables
 
@@ -64,14 +65,15 @@ def orders_enriched(orders: DataFrame, customers: DataFrame, products: DataFrame
     """Every order with its customer and product (LEFT joins), revenue
     and margin per line (margin NULL when the product is unknown).
 
-    The dimensions are joined by key without a hint: the planner broadcasts a
-    side only when its measured size is under the broadcast threshold and
-    otherwise sort-merges with AQE splitting skewed partitions.
+    A dimension is broadcast only when its exact size is under the broadcast
+    threshold (``broadcast_if_small``), so the fact is not shuffled for it;
+    otherwise the planner sort-merges with AQE splitting skewed partitions.
     """
-    c = customers.select(F.col("customer_id").alias("_c_id"),
-                         F.col("name").alias("customer_name"), "country", "segment")
-    p = products.select(F.col("sku").alias("_p_sku"), "category",
-                        F.col("cost_cents").alias("_cost"), F.col("active").alias("product_active"))
+    c = broadcast_if_small(customers.select(F.col("customer_id").alias("_c_id"),
+                                            F.col("name").alias("customer_name"), "country", "segment"))
+    p = broadcast_if_small(products.select(F.col("sku").alias("_p_sku"), "category",
+                                           F.col("cost_cents").alias("_cost"),
+                                           F.col("active").alias("product_active")))
     j = (orders.join(c, orders["customer_id"] == c["_c_id"], "left")
                .join(p, orders["sku"] == p["_p_sku"], "left"))
     q = F.col("quantity").cast("bigint")
