@@ -4,6 +4,7 @@ import contextlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -57,3 +58,19 @@ def test_scans_read_only_needed_columns(spark):
     text = plan_text(E.queries()["margin_by_category"](spark, SF_SMALL))
     part_scan = [line for line in text.splitlines() if "part.parquet" in line]
     assert part_scan and all("p_name" not in line and "p_brand" not in line for line in part_scan)
+
+
+def test_broadcast_only_under_the_checked_size(spark):
+    from starledger.operators.joins import _bytes, broadcast_if_small
+    assert _bytes("10485760b") == 10485760 and _bytes("20MB") == 20 << 20 and _bytes("-1") == -1
+    fact = spark.range(100000).selectExpr("id % 50 AS k", "id AS v")
+    dim = spark.range(50).selectExpr("id AS k2", "CAST(id AS STRING) AS name")
+    joined = fact.join(broadcast_if_small(dim), fact["k"] == F.col("k2"), "left")
+    assert "BroadcastHashJoin" in plan_text(joined)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = fact.join(broadcast_if_small(dim), fact["k"] == F.col("k2"), "left")
+        assert "BroadcastHashJoin" not in plan_text(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
