@@ -39,8 +39,8 @@ def start(spark: SparkSession, source_dir: str, published_orders: DataFrame, int
         ordered = batch.withColumn("seq", F.struct(F.col("_file").alias("file"),
                                                    F.monotonically_increasing_id().alias("row"))
                                    ).drop("_file")
-        append_batch(spark, ordered, str(batch_id), published_orders, intake_dir, as_of_date,
-                     customers, products, strict)
+        append_batch(batch.sparkSession, ordered, str(batch_id), published_orders, intake_dir,
+                     as_of_date, customers, products, strict)
 
     writer = (intake_stream(spark, source_dir).writeStream.foreachBatch(process)
               .option("checkpointLocation", checkpoint_dir))
