@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from starledger.functions.dates import parse_day
 from starledger.functions.text import normalize_channel
 from starledger.operators.dedup import all_copies
+from starledger.operators.joins import broadcast_if_small
 from starledger.session import materialize
 
 # Labels and decisions of the findings table.
@@ -289,9 +290,11 @@ def inactive_products(products: DataFrame) -> DataFrame:
 # ------------------------------------------------------------- P16-P21
 def orphans(facts: DataFrame, dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Facts whose key is not among the dimension's keys (a NULL key
-    is an orphan too). Left anti join; the dimension side is its distinct
-    keys."""
-    keys = dim.select(F.col(key).alias("_dim_key")).filter(F.col("_dim_key").isNotNull()).distinct()
+    is an orphan too). Left anti join against the dimension's distinct keys,
+    broadcast when their checked size allows (then the fact is not
+    shuffled)."""
+    keys = broadcast_if_small(
+        dim.select(F.col(key).alias("_dim_key")).filter(F.col("_dim_key").isNotNull()).distinct())
     return facts.join(keys, facts[key] == keys["_dim_key"], "left_anti").select(*cols)
 
 
