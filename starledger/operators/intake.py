@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starledger.functions.dates import parse_day
 from starledger.functions.text import strip_space
+from starledger.operators.joins import fits_broadcast
 from starledger.schemas import CHANNELS
 from starledger.session import materialize
 
@@ -119,12 +120,17 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
     # written once to the checkpoint folder instead of derived twice.
     t = materialize(t.withColumn("_row_errors", F.concat_ws(" | ", *rules)))
     # First submission of each id among the rows without errors (partial
-    # aggregation), flagged when the fact already has the id. Both sides are
-    # one row per id and hash-partitioned by it.
+    # aggregation), flagged when the fact already has the id.
     firsts = (t.filter(F.col("_row_errors") == "").groupBy("order_id")
                .agg(F.min("seq").alias("_fseq")))
-    existing = facts.select(F.col("order_id").alias("_eid")).distinct().withColumn(
-        "_exists", F.lit(True))
+    # A batch small enough to broadcast (bounded by the written batch's row
+    # count) looks up only its own ids: the fact's id column is scanned and
+    # semi-joined, not shuffled. A larger batch joins the fact's distinct ids.
+    fact_ids = facts.select(F.col("order_id").alias("_eid"))
+    batch_ids = firsts.select(F.col("order_id").alias("_bid"))
+    if fits_broadcast(batch_ids, t.count()):
+        fact_ids = fact_ids.join(F.broadcast(batch_ids), F.col("_eid") == F.col("_bid"), "left_semi")
+    existing = fact_ids.distinct().withColumn("_exists", F.lit(True))
     firsts = firsts.join(existing, firsts["order_id"] == existing["_eid"], "left").select(
         F.col("order_id").alias("_fid"), "_fseq", F.coalesce("_exists", F.lit(False)).alias("_exists"))
     # Joined back on (id, position): a hot id spreads over many tasks.

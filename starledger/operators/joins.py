@@ -58,3 +58,12 @@ def broadcast_if_small(dim: DataFrame) -> DataFrame:
     if dim.count() * row <= limit:
         return F.broadcast(dim)
     return dim
+
+
+def fits_broadcast(df: DataFrame, row_bound: int) -> bool:
+    """Whether a known upper bound on ``df``'s rows (e.g. the row count of a
+    written table it is derived from) times its row width is under the
+    session's broadcast threshold; no extra job."""
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    row = 8 + sum(_width(f.dataType) for f in df.schema.fields)
+    return limit > 0 and row_bound * row <= limit
