@@ -74,3 +74,10 @@ def test_broadcast_only_under_the_checked_size(spark):
         assert "BroadcastHashJoin" not in plan_text(joined)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_fits_broadcast_uses_the_row_bound(spark):
+    from starledger.operators.joins import fits_broadcast
+    ids = spark.range(10).selectExpr("CAST(id AS STRING) AS k")
+    assert fits_broadcast(ids, 1000)
+    assert not fits_broadcast(ids, 10 ** 9)
