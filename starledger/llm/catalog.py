@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import html_extract, simhash, token_count, topk, url_filter, warc
+from starledger.llm import decontam, html_extract, mixing, quality, simhash, token_count, topk, url_filter, warc
 from starledger.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,21 @@ def op1(spark, sf_dir):
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), url_filter.labelled_urls(spark))
 
 
+@_query("op2_mixing")
+def op2(spark, sf_dir):
+    return mixing.mix(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_slot", "mix_position")
+
+
+@_query("op3_quality")
+def op3(spark, sf_dir):
+    return quality.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query("op4_decontam")
+def op4(spark, sf_dir):
+    return decontam.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @_query("op5_token_count")
 def op5(spark, sf_dir):
     return token_count.count_tokens(read_table(spark, sf_dir, "documents"))
@@ -63,6 +78,27 @@ def op10(spark, sf_dir):
 
 
 ORACLE: dict[str, str] = {
+    "op2_mixing": """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, CASE WHEN source IS NULL THEN '' ELSE 's' || source END AS s,
+         md5(coalesce(CAST(doc_id AS VARCHAR), text, '')) AS h FROM documents),
+c AS (SELECT s, count(*) AS n FROM d GROUP BY s),
+w AS (SELECT s, n, greatest(1, CAST(round(pow(n, 0.7) / (SELECT sum(pow(n, 0.7)) FROM c) * 1000) AS BIGINT)) AS a FROM c),
+l AS (SELECT list(s ORDER BY s) AS ss, list(a ORDER BY s) AS aa, CAST(sum(a) AS BIGINT) AS q FROM w),
+edf(t, done, picks) AS (
+  SELECT CAST(0 AS BIGINT), list_transform(aa, lambda x: CAST(0 AS BIGINT)), CAST([] AS BIGINT[]) FROM l
+  UNION ALL
+  SELECT t + 1, list_transform(done, lambda x, i: x + CASE WHEN i = p THEN 1 ELSE 0 END), list_append(picks, p)
+  FROM (SELECT t, done, picks, list_min(list_transform(
+               list_filter(range(1, len(aa) + 1), lambda i: done[i] < aa[i] AND (done[i] * q) // aa[i] <= t),
+               lambda i: (((done[i] + 1) * q + aa[i] - 1) // aa[i]) * 100000 + i)) % 100000 AS p
+        FROM edf, l WHERE t < q)),
+f AS (SELECT ss[picks[x.t + 1]] AS s, x.t AS slot, row_number() OVER (PARTITION BY picks[x.t + 1] ORDER BY x.t) - 1 AS nth
+      FROM (SELECT unnest(range(0, q)) AS t FROM l) AS x, (SELECT picks FROM edf, l WHERE edf.t = q) AS e, l),
+r AS (SELECT doc_id, source, s, row_number() OVER (PARTITION BY s ORDER BY h, doc_id, text) - 1 AS i FROM d)
+SELECT doc_id, source, CAST(((i // 64) // a) * q + slot AS BIGINT) AS mix_slot,
+       CAST((((i // 64) // a) * q + slot) * 64 + i % 64 AS BIGINT) AS mix_position
+FROM r JOIN w USING (s) JOIN f ON f.s = r.s AND f.nth = (i // 64) % a, l""",
     "op6_warc": """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS first FROM p),
