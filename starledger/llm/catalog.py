@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm import decontam, html_extract, mixing, quality, simhash, token_count, topk, url_filter, warc
+import corpus_pipeline
+from starledger.llm import decontam, html_extract, mixing, quality, simhash, suffix_dedup, token_count, topk, url_filter, warc
 from starledger.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,11 @@ def op6(spark, sf_dir):
     return warc.round_trip(read_table(spark, sf_dir, "pages"))
 
 
+@_query("op7_suffix_dedup")
+def op7(spark, sf_dir):
+    return suffix_dedup.judge(read_table(spark, sf_dir, "documents"))
+
+
 @_query("op8_simhash")
 def op8(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -77,6 +83,11 @@ def op10(spark, sf_dir):
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+@_query("pipeline")
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 ORACLE: dict[str, str] = {
     "op2_mixing": """
 WITH RECURSIVE d AS (

@@ -34,6 +34,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_path(spark, name), uuid.uuid4().hex)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, by Spark's own file access."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def partitions_for(spark: SparkSession, rows: int, rows_each: int) -> int:
     """Partitions so that each gets about ``rows_each`` rows, and no fewer
     than the session's shuffle partitions."""
