@@ -40,9 +40,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starledger.llm.common import batch_column, new_folder
+from starledger.llm.common import batch_column, keep, new_folder
 
 SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES, MIN_REVISIT = 16 << 10, 4096, 16 << 20, 0
+BROADCAST_COPIES = 200_000  # repeated payloads (80 bytes each) that are broadcast to the pages
 DATE = "2026-01-01T00:00:00Z"  # records carry a fixed date, so that a retried task writes the same bytes
 BASE32_BY_VALUE = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "starledger/warc")
@@ -138,6 +139,9 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYTES,
     copies = (rows.where(F.length("html") >= min_revisit).groupBy("digest")
               .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "uid")).alias("first"), F.count("*").alias("n"))
               .where("n > 1").select(F.col("digest").alias("c_digest"), "first"))
+    copies = keep(copies)
+    if copies.count() <= BROADCAST_COPIES:  # else a shuffled join, whose hot payloads are split
+        copies = F.broadcast(copies)
     joined = rows.join(copies, F.col("digest") == F.col("c_digest"), "left")
     other = F.col("first").isNotNull() & (F.col("first.uid") != F.col("uid"))
     joined = joined.select("uid", "page_id", "url", F.when(other, F.lit(b"")).otherwise(F.col("html")).alias("html"), "digest",
