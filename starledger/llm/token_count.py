@@ -5,7 +5,7 @@ once per distinct pre-token, the counts are joined to each document's
 pre-token frequencies and summed. Token ids of a text are never made.
 
 1. Pass one over the texts gives the distinct pre-tokens (each task sends
-   only its own distinct ones).
+   only its own distinct ones, packed by a hash of the word).
 2. The tokenizer's model counts the pieces of each distinct pre-token; the
    table is written once to the shared folder.
 3. Pass two gives (row, pre-token, frequency). Counts of the most frequent
@@ -25,9 +25,11 @@ an empty table gives no rows. Extra columns of the input are not returned.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -93,24 +95,41 @@ def pre_tokens(text: str, name: str) -> tuple[list[str], int]:
     return out, special
 
 
-def _distinct_in(name: str):
+def _distinct_in(name: str, parts: int):
+    """Each task's distinct pre-tokens, packed in one compressed block for
+    each part: words in order, joined by a byte that UTF-8 does not have."""
     def run(batches):
         for batch in batches:
             seen: Counter = Counter()
             for text in batch_column(batch, "text"):
                 seen.update(pre_tokens(text.as_py(), name)[0])
-            yield pa.record_batch([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["piece", "freq"])
+            dealt: list[list[bytes]] = [[] for _ in range(parts)]
+            by_word = {w.encode(): n for w, n in seen.items()}
+            for w in sorted(by_word):
+                dealt[zlib.crc32(w) % parts].append(w)
+            used = [i for i, words in enumerate(dealt) if words]
+            yield pa.record_batch([
+                pa.array(used, pa.int32()), pa.array([zlib.compress(b"\xff".join(dealt[i]), 1) for i in used], pa.binary()),
+                pa.array([zlib.compress(np.array([by_word[w] for w in dealt[i]], "<i8").tobytes(), 1) for i in used], pa.binary())],
+                names=["part", "words", "freqs"])
     return run
 
 
 def _count_pieces(name: str):
+    """The distinct pre-tokens of a part over all tasks, with their pieces."""
     def run(batches):
         from tokenizers.pre_tokenizers import ByteLevel
         mapped, model = ByteLevel(add_prefix_space=False, use_regex=False), _tokenizer(name).model
+        total: Counter = Counter()
         for batch in batches:
-            pieces = batch_column(batch, "piece").to_pylist()
-            counts = [len(model.tokenize("".join(p for p, _ in mapped.pre_tokenize_str(w)))) for w in pieces]
-            yield pa.record_batch([pa.array(pieces, pa.string()), batch_column(batch, "freq"), pa.array(counts, pa.int32())],
+            for words, freqs in zip(batch_column(batch, "words").to_pylist(), batch_column(batch, "freqs").to_pylist()):
+                for w, n in zip(zlib.decompress(words).split(b"\xff"), np.frombuffer(zlib.decompress(freqs), "<i8").tolist()):
+                    total[w] += n
+        words, freqs = list(total), list(total.values())
+        for i in range(0, len(words), 50_000):
+            texts = [w.decode() for w in words[i:i + 50_000]]
+            counts = [len(model.tokenize("".join(p for p, _ in mapped.pre_tokenize_str(t)))) for t in texts]
+            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(freqs[i:i + 50_000], pa.int64()), pa.array(counts, pa.int32())],
                                   names=["piece", "freq", "pieces"])
     return run
 
@@ -147,9 +166,9 @@ def _frequencies(name: str):
 def piece_table(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
     """piece, freq, pieces: every distinct pre-token of the texts with its
     frequency and number of tokens."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    distinct = (texts.mapInArrow(_distinct_in(name), "piece string, freq long")
-                .groupBy("piece").agg(F.sum("freq").alias("freq")))
+    distinct = texts.mapInArrow(_distinct_in(name, parts), "part int, words binary, freqs binary").repartition(parts, "part")
     return keep(distinct.mapInArrow(_count_pieces(name), "piece string, freq long, pieces int"))
 
 
