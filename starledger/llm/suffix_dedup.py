@@ -421,8 +421,8 @@ _FOUND_NAMES = ["kind", "uid", "a", "b", "digest"]
 
 def _spans(shared):
     """kind 0: span [a, b) of document uid. For hot grams, kind 1: digest of
-    the window at o = b of entry a; kind 2: owner of entry a: document uid,
-    anchor at b."""
+    the window at o = b of entry a (uid: its owners); kind 2: the owner of entry a
+    if it has only one: document uid, anchor at b."""
     def run(batches):
         grouped: dict[int, list] = {}
         for batch in batches:
@@ -448,10 +448,14 @@ def _spans(shared):
                 digests = [hashlib.blake2b(bytes([o]) + whole[SPAN - o:SPAN - o + MIN], digest_size=16).digest() for o in os_]
                 own = slice(ends[i] - counts[i], ends[i])
                 n, m = len(digests), int(counts[i])
+                if m > 1 and n:  # its owners repeat each other: all its windows do
+                    yield pa.record_batch([pa.array(np.zeros(m, np.int32)), pa.array(uid[own]), pa.array(pos[own] - os_[-1]),
+                                           pa.array(pos[own] - os_[0] + MIN), pa.nulls(m, pa.binary())], names=_FOUND_NAMES)
+                alone = m if m == 1 else 0
                 yield pa.record_batch([
-                    pa.array([1] * n + [2] * m, pa.int32()), pa.array([m] * n + uid[own].tolist(), pa.int64()),
-                    pa.array([entry] * (n + m), pa.int64()), pa.array([*os_, *pos[own].tolist()], pa.int64()),
-                    pa.array([*digests, *[None] * m], pa.binary())], names=_FOUND_NAMES)
+                    pa.array([1] * n + [2] * alone, pa.int32()), pa.array([m] * n + uid[own].tolist()[:alone], pa.int64()),
+                    pa.array([entry] * (n + alone), pa.int64()), pa.array([*os_, *pos[own].tolist()[:alone]], pa.int64()),
+                    pa.array([*digests, *[None] * alone], pa.binary())], names=_FOUND_NAMES)
     return run
 
 
