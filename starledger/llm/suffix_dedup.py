@@ -58,7 +58,7 @@ SPAN = MIN - GRAM          # an anchor lies at most so far into its window
 SLICE = 1 << 20            # bytes of text worked on at a time
 RUN = 40_000               # entries of a run
 PART = 40_000              # entries of a merging task, about
-HOT = 50_000
+HOT = 250_000               # entries of one gram that a single task takes (some 100 MB)
 FILTER_BYTES = 64 << 20
 _POS = 21                  # bits of a position within a slice
 _WIDTH = MIN + SPAN + 2    # entry: suffix, reversed bytes before, their lengths
