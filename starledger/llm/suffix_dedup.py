@@ -58,7 +58,7 @@ SPAN = MIN - GRAM          # an anchor lies at most so far into its window
 SLICE = 1 << 20            # bytes of text worked on at a time
 RUN = 40_000               # entries of a run
 PART = 40_000              # entries of a merging task, about
-HOT = 250_000               # entries of one gram that a single task takes (some 100 MB)
+HOT = 50_000               # different entries of one gram that a single task takes
 FILTER_BYTES = 64 << 20
 _POS = 21                  # bits of a position within a slice
 _WIDTH = MIN + SPAN + 2    # entry: suffix, reversed bytes before, their lengths
@@ -74,12 +74,12 @@ def _powers():
     return np.cumprod(base, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and gram hashes of the anchors of the documents
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions, gram hashes and entry hashes of the anchors of the documents
     data[start:end] that lie side by side (at most SLICE bytes in all)."""
     n, window = len(data), SPAN + 1
     if n < MIN:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     power, inverse = _powers()
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
@@ -103,7 +103,10 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     pos = (least[np.cumsum(inside[:n - MIN + 1]) > 0] & low).astype(np.int64)
     if len(pos):
         pos = pos[np.concatenate(([True], pos[1:] != pos[:-1]))]
-    return pos, h[pos]
+    doc = np.searchsorted(starts, pos, "right") - 1
+    lo, hi = np.maximum(pos - SPAN, starts[doc]), np.minimum(pos + MIN, ends[doc])
+    entry = (sums[hi] - sums[lo]) * inverse[lo] ^ ((pos - lo) << 8 | (hi - pos)).astype(np.uint64) * np.uint64(0x94D049BB133111EB)
+    return pos, h[pos], entry
 
 
 def slices(batch):
@@ -133,10 +136,17 @@ def slices(batch):
 
 
 def _grams(batches):
+    """gram, n (its anchors), entries (its different entries in the batch,
+    by hash; only the dealing depends on them)."""
     for batch in batches:
-        found = [anchors(data, starts, ends)[1] for data, starts, ends, _, _ in slices(batch)]
-        gram, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        yield pa.record_batch([pa.array(gram.view(np.int64)), pa.array(n)], names=["gram", "n"])
+        found = [anchors(data, starts, ends)[1:] for data, starts, ends, _, _ in slices(batch)]
+        gram, entry = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+        order = np.lexsort((entry, gram))
+        gram, entry = gram[order], entry[order]
+        first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1]))) if len(gram) else np.zeros(0, np.int64)
+        new = np.concatenate(([True], (gram[1:] != gram[:-1]) | (entry[1:] != entry[:-1]))) if len(gram) else np.zeros(0, bool)
+        entries = np.add.reduceat(new.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        yield pa.record_batch([pa.array(gram[first].view(np.int64)), pa.array(np.diff(np.append(first, len(gram)))), pa.array(entries)], names=["gram", "n", "entries"])
 
 
 class GramFilter:
@@ -203,9 +213,9 @@ def gram_filter(docs: DataFrame, parts_rows: int = PART, hot: int = HOT, filter_
     repeats. What reaches the driver is bounded by ``filter_bytes`` and the
     hot grams, of which there are at most 100,000."""
     spark = docs.sparkSession
-    counts = docs.mapInArrow(_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = docs.mapInArrow(_grams, "gram long, n long, entries long").groupBy("gram").agg(F.sum("n").alias("n"), F.sum("entries").alias("entries")).where("n > 1")
     counts = keep(counts)
-    grams, entries = counts.agg(F.count("*"), F.sum("n")).first()
+    grams, entries = counts.agg(F.count("*"), F.sum("entries")).first()
     if not grams:
         return None
     bits = 1 << 19
@@ -215,7 +225,7 @@ def gram_filter(docs: DataFrame, parts_rows: int = PART, hot: int = HOT, filter_
     places = counts.select("gram").mapInArrow(_filter_places(bits, piece_bits), "piece int, at long")
     pieces = places.repartition(min(bits // piece_bits, 64), "piece").mapInArrow(_filter_piece(bits, piece_bits), "piece int, data binary").collect()
     hot = max(hot, entries // 100_000)
-    many = {int(np.int64(r.gram).view(np.uint64)): -(-r.n // hot) for r in counts.where(F.col("n") > hot).collect()}
+    many = {int(np.int64(r.gram).view(np.uint64)): -(-r.entries // hot) for r in counts.where(F.col("entries") > hot).collect()}
     return GramFilter(bits, {r.piece: r.data for r in pieces}, piece_bits, many, partitions_for(spark, entries, parts_rows))
 
 
@@ -281,7 +291,7 @@ def _runs(shared):
 
         for batch in batches:
             for data, starts, ends, uids, offs in slices(batch):
-                pos, gram = anchors(data, starts, ends)
+                pos, gram, _ = anchors(data, starts, ends)
                 use = shared.value.has(gram)
                 pos, gram = pos[use], gram[use]
                 for i in range(0, len(pos), RUN):
