@@ -2,8 +2,8 @@
 rows to the fact, keep rejects with reasons.
 
 Appended rows live in ``<intake_dir>/accepted/batch_id=<id>`` and rejects in
-``<intake_dir>/rejected/batch_id=<id>``, each written with dynamic partition
-overwrite. Uniqueness is checked against the published fact plus every other
+``<intake_dir>/rejected/batch_id=<id>``; writing a batch replaces both folders,
+also when nothing is accepted any more. Uniqueness is checked against the published fact plus every other
 appended batch, never the batch's own partition, so re-running a batch id
 (after a failure, or a streaming retry) gives the same result instead of
 rejecting its own rows.
@@ -17,13 +17,18 @@ from pyspark.sql import functions as F
 
 from starledger.operators.intake import accepted, rejected, validate
 from starledger.session import ensure_checkpoint_dir
+from starledger.sources.sinks import write_partition
 
 
 def appended_orders(spark: SparkSession, intake_dir: str) -> DataFrame | None:
+    """All appended rows; None if no batch has been written yet. Any other
+    trouble with the folder is an error, not an empty fact."""
     try:
-        return spark.read.parquet(f"{intake_dir.rstrip('/')}/accepted")
-    except AnalysisException:
-        return None
+        return spark.read.parquet(f"{intake_dir.rstrip('/')}/accepted").withColumn("batch_id", F.col("batch_id").cast("string"))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def current_ids(spark: SparkSession, published_orders: DataFrame, intake_dir: str,
@@ -46,9 +51,7 @@ def append_batch(spark: SparkSession, batch: DataFrame, batch_id: str, published
     checked = checked.checkpoint(eager=True)  # cut lineage: written twice below
     base = intake_dir.rstrip("/")
     for kind, frame in (("accepted", accepted(checked)), ("rejected", rejected(checked))):
-        (frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-              .parquet(f"{base}/{kind}"))
+        write_partition(frame, f"{base}/{kind}", "batch_id", batch_id)
 
 
 def fact_with_appends(spark: SparkSession, published_orders: DataFrame, intake_dir: str) -> DataFrame:

@@ -51,7 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (a test or a laptop) a folder of our own is set.
+    Only when it is unset in a local session (a test or a laptop) a folder of
+    our own is set; on any other master that would be the driver's disk, which
+    executors do not see, so the missing setting is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -61,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="starledger-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -1,14 +1,16 @@
 """Sinks: raw snapshot (S4), clean CSV export (S5), staged publish.
 
-Every write is safe to retry: a snapshot or a publish writes its own
-partition (``snapshot=<id>``, ``run=<id>``) with dynamic partition overwrite,
-and a publish becomes visible only when its run id is appended to the
+Every write is safe to retry: a snapshot or a publish replaces its own
+partition folder (``snapshot=<id>``, ``run=<id>``) as a whole, also by an
+empty frame, and a publish becomes visible only when its run id is appended to the
 ``_runs`` log after every table is written and checked. Readers take the
 latest logged run, so they never see a half-written one.
 """
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,10 @@ from starledger.operators.checks import constraint_violations
 TABLES = ("customers", "products", "orders")
 
 
-def _write_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    (df.withColumn(column, F.lit(value)).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+def write_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Replace the partition folder ``column=value``; an empty ``df`` leaves
+    an empty partition, not the rows of an earlier write."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={quote(value, safe='')}")
 
 
 def snapshot_raw(tables: dict[str, DataFrame], archive_dir: str, snapshot_id: str) -> None:
@@ -27,7 +30,7 @@ def snapshot_raw(tables: dict[str, DataFrame], archive_dir: str, snapshot_id: st
     source position), under ``<archive>/<table>/snapshot=<id>``. The sources
     are only read."""
     for name, df in tables.items():
-        _write_partition(df, f"{archive_dir.rstrip('/')}/{name}", "snapshot", snapshot_id)
+        write_partition(df, f"{archive_dir.rstrip('/')}/{name}", "snapshot", snapshot_id)
 
 
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> None:
@@ -49,7 +52,7 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str, run
     Returns the violations table (read back from the written run)."""
     out = out_dir.rstrip("/")
     for name in TABLES:
-        _write_partition(tables[name], f"{out}/{name}", "run", run_id)
+        write_partition(tables[name], f"{out}/{name}", "run", run_id)
     staged = {name: read_run(spark, out, name, run_id) for name in TABLES}
     violations = constraint_violations(staged["customers"], staged["products"], staged["orders"])
     failed = violations.filter(F.col("fatal") & (F.col("violaciones") > 0)).collect()
@@ -63,9 +66,9 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], out_dir: str, run
 
 
 def current_run(spark: SparkSession, out_dir: str) -> str:
-    """The latest published run id."""
+    """The run published last (by time, not by the order of the ids)."""
     runs = spark.read.parquet(f"{out_dir.rstrip('/')}/_runs")
-    row = runs.agg(F.max("run").alias("run")).first()
+    row = runs.agg(F.max_by(F.col("run").cast("string"), "published_at").alias("run")).first()
     if row is None or row["run"] is None:
         raise FileNotFoundError(f"no published run in {out_dir}")
     return row["run"]

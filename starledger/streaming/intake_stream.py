@@ -2,14 +2,17 @@
 
 New CSV files of submitted orders (text columns like the order form) are
 picked up by ``readStream``; each micro-batch is validated and appended with
-``foreachBatch`` through the same batch job (I6), keyed by the micro-batch
-id. A retried micro-batch rewrites its own partitions and is checked against
+``foreachBatch`` through the same batch job (I6), keyed by stream and
+micro-batch id: a stream with another checkpoint folder starts at batch 0
+again and must not replace the first one's batches. A retried micro-batch rewrites its own partitions and is checked against
 the fact without itself, so the sink is idempotent and the stream
 exactly-once together with its checkpoint.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,16 +33,18 @@ def intake_stream(spark: SparkSession, source_dir: str) -> DataFrame:
 def start(spark: SparkSession, source_dir: str, published_orders: DataFrame, intake_dir: str,
           checkpoint_dir: str, as_of_date: str, available_now: bool = True,
           customers: DataFrame | None = None, products: DataFrame | None = None,
-          strict: bool = False) -> StreamingQuery:
+          strict: bool = False, stream_id: str | None = None) -> StreamingQuery:
     """Start the intake stream; with ``available_now`` it processes what is
-    in the folder and stops."""
+    in the folder and stops. ``stream_id`` names the stream's batches; it
+    follows from the checkpoint folder unless given."""
+    stream = stream_id or hashlib.sha1(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # Submission order: file, then position within the file.
         ordered = batch.withColumn("seq", F.struct(F.col("_file").alias("file"),
                                                    F.monotonically_increasing_id().alias("row"))
                                    ).drop("_file")
-        append_batch(batch.sparkSession, ordered, str(batch_id), published_orders, intake_dir,
+        append_batch(batch.sparkSession, ordered, f"{stream}-{batch_id}", published_orders, intake_dir,
                      as_of_date, customers, products, strict)
 
     writer = (intake_stream(spark, source_dir).writeStream.foreachBatch(process)
