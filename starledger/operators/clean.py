@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.dates import parse_day, parse_day_strict
@@ -80,6 +80,13 @@ def valid_quantity(df: DataFrame) -> DataFrame:
     return df.filter(F.col("quantity") > 0)
 
 
+def exact_price(df: DataFrame) -> Column:
+    """``price_cents`` as a decimal, so that sums neither overflow nor depend
+    on task order (a CSV scan gives fractions of a cent, unrounded)."""
+    whole = dict(df.dtypes)["price_cents"] == "bigint"
+    return F.col("price_cents").cast("decimal(20,0)" if whole else "decimal(28,8)")
+
+
 def sku_price_stats(df: DataFrame) -> DataFrame:
     """Per sku: rows, rows with a price, exact sum of known prices and mean.
 
@@ -88,41 +95,47 @@ def sku_price_stats(df: DataFrame) -> DataFrame:
     return (df.groupBy("sku").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("price_cents").alias("priced"),
-        F.sum("price_cents").alias("price_sum"))
+        F.sum(exact_price(df)).alias("price_sum"))
         .withColumn("sku_mean", F.col("price_sum").cast("double") / F.col("priced")))
 
 
+def global_mean() -> Column:
+    """C13 as an aggregate over per-sku statistics (``rows``, ``priced``,
+    ``price_sum``, ``sku_mean``): the mean of the column after the sku fill,
+    ``sum_k (S_k + (N_k - n_k) * S_k / n_k) / sum_k N_k`` over skus with a
+    price. pandas leaves a NULL sku out of its groups: such rows count with
+    their known prices only. Both parts are summed as decimals."""
+    keyed = F.col("sku").isNotNull() & F.col("sku_mean").isNotNull()
+    filled = F.when(keyed, ((F.col("rows") - F.col("priced")) * F.col("sku_mean")).cast("decimal(28,8)"))
+    return ((F.coalesce(F.sum("price_sum").cast("double"), F.lit(0.0))
+             + F.coalesce(F.sum(filled).cast("double"), F.lit(0.0)))
+            / F.nullif(F.sum(F.when(keyed, F.col("rows")).otherwise(F.col("priced"))), F.lit(0)))
+
+
 def impute_prices(df: DataFrame) -> DataFrame:
     """C12 + C13 + C14 on the surviving rows.
 
-    * Rows with a price keep it (rounding a whole number of cents is a no-op).
+    * Rows with a price keep it.
     * Rows without one take the mean of their sku; if the sku has no known
-      price, the mean of the whole filled column, which equals
-      ``sum_k (S_k + (N_k - n_k) * S_k / n_k) / sum_k N_k`` over skus with a
-      price and so is read off the per-sku statistics as a scalar subquery
-      (no unpartitioned window, no pass over the fact).
-    * The filled value is rounded half-even to whole cents.
+      price, the mean of the whole filled column (``global_mean``), read off
+      the per-sku statistics as a scalar subquery (no unpartitioned window,
+      no pass over the fact).
+    * Every price is rounded half-even to whole cents, here and nowhere before.
 
     Only the rows without a price are joined to the per-sku means, so the
     bulk of the fact is never shuffled by sku.
     """
     stats = sku_price_stats(df)
     priced_stats = stats.filter(F.col("priced") > 0)
-    # pandas leaves a NULL sku out of its groups: such rows keep only their
-    # known prices in the global mean and are never filled by a sku mean.
-    keyed = F.col("sku").isNotNull()
-    global_mean = priced_stats.agg(
-        (F.sum(F.col("price_sum").cast("double")
-               + F.when(keyed, (F.col("rows") - F.col("priced")) * F.col("sku_mean"))
-                  .otherwise(F.lit(0.0)))
-         / F.sum(F.when(keyed, F.col("rows")).otherwise(F.col("priced")))
-         ).alias("global_mean")).scalar()
+    overall = priced_stats.agg(global_mean().alias("global_mean")).scalar()
     known = df.filter(F.col("price_cents").isNotNull())
+    if dict(df.dtypes)["price_cents"] != "bigint":
+        known = known.withColumn("price_cents", F.rint("price_cents").cast("bigint"))
     missing = df.filter(F.col("price_cents").isNull())
-    means = priced_stats.filter(keyed).select(F.col("sku").alias("_m_sku"), "sku_mean")
+    means = priced_stats.filter(F.col("sku").isNotNull()).select(F.col("sku").alias("_m_sku"), "sku_mean")
     filled = (missing.join(means, missing["sku"] == means["_m_sku"], "left")
               .withColumn("price_cents",
-                          F.rint(F.coalesce(F.col("sku_mean"), global_mean)).cast("bigint"))
+                          F.rint(F.coalesce(F.col("sku_mean"), overall)).cast("bigint"))
               .select(*df.columns))
     return known.unionByName(filled)
 
@@ -132,18 +145,33 @@ def normalize_channels(df: DataFrame) -> DataFrame:
     return df.withColumn("channel", normalize_channel(F.col("channel")))
 
 
+def order_survivors(df: DataFrame, order_cols: Sequence[str] = ("seq",)) -> DataFrame:
+    """C9 -> C10 -> C11: the rows that stay, prices not filled yet."""
+    return valid_quantity(valid_dates(dedup_orders(df, order_cols)))
+
+
+def unpriced_orders(df: DataFrame, order_cols: Sequence[str] = ("seq",)) -> DataFrame:
+    """The clean orders without their price, for everything that does not
+    look at money: nothing is written, unused columns are pruned."""
+    return normalize_channels(order_survivors(df, order_cols)).select(
+        *[c for c in ORDER_COLS if c != "price_cents"])
+
+
 def clean_orders(df: DataFrame, order_cols: Sequence[str] = ("seq",),
-                 materialize_survivors: bool = True) -> DataFrame:
+                 materialize_survivors: bool = True, columns: Sequence[str] = ORDER_COLS) -> DataFrame:
     """C16 = C9 -> C10 -> C11 -> C12/C13/C14 -> C15.
 
     The survivors of C9-C11 feed both the per-sku statistics and the fill;
-    they are written once to the checkpoint folder (``materialize``) so the
-    raw fact is scanned and shuffled once, not once per branch.
+    ``columns`` (plus sku and price) are written once to the checkpoint folder
+    (``materialize``) so the raw fact is scanned and shuffled once, not once
+    per branch. Totals need no filled rows at all: see ``totals``.
     """
-    survivors = valid_quantity(valid_dates(dedup_orders(df, order_cols))).select(*ORDER_COLS)
+    survivors = order_survivors(df, order_cols).select(
+        *[c for c in ORDER_COLS if c in {*columns, "sku", "price_cents"}])
     if materialize_survivors:
         survivors = materialize(survivors)
-    return normalize_channels(impute_prices(survivors)).select(*ORDER_COLS)
+    filled = impute_prices(survivors)
+    return (normalize_channels(filled) if "channel" in columns else filled).select(*columns)
 
 
 # -------------------------------------------------------------------- audit

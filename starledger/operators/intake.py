@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starledger.functions.dates import parse_day
 from starledger.functions.text import strip_space
+from starledger.operators.dedup import keep_first
 from starledger.operators.joins import fits_broadcast
 from starledger.schemas import CHANNELS
 from starledger.session import materialize
@@ -29,6 +29,8 @@ MSG_PRICE_POSITIVE = "Precio unitario debe ser mayor a 0"
 MSG_DATE_REQUIRED = "Fecha es requerida"
 MSG_DATE_INVALID = "Fecha inválida"
 MSG_DATE_FUTURE = "La fecha no puede ser futura"
+MSG_CUSTOMER_ID = "Cliente inválido"
+MSG_SKU = "Producto inválido"
 MSG_EXISTS = "Order ID ya existe"
 MSG_REPEATED = "Order ID repetido en el lote"
 # Strict (form-side) rules.
@@ -44,23 +46,31 @@ def _blank_to_null(c: Column) -> Column:
     return F.when(s == "", F.lit(None).cast("string")).otherwise(s)
 
 
-def typed(batch: DataFrame) -> DataFrame:
-    """Trimmed id and typed values (NULL where a cast fails).
+def form_day(c: Column) -> Column:
+    """A submitted date: year, month and day, the last two with or without a
+    leading zero."""
+    return F.when(c.rlike("^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"),
+                  F.try_to_timestamp(c, F.lit("yyyy-M-d")).cast("date"))
 
-    Keeps ``_qty_text``, ``_price_text`` and ``_date_text`` (trimmed, blank
-    as NULL) for the rules."""
-    qty_text = _blank_to_null(F.col("quantity"))
-    price_text = _blank_to_null(F.col("unit_price"))
+
+def typed(batch: DataFrame, id_types: dict[str, str] | None = None) -> DataFrame:
+    """Trimmed id and typed values (NULL where a cast fails; the rules
+    reject such rows). ``id_types`` are the fact's types of customer_id and
+    sku; text where it has none.
+
+    Keeps the trimmed texts (blank as NULL) that the rules need."""
+    types = id_types or {}
+    customer, sku = _blank_to_null(F.col("customer_id")), _blank_to_null(F.col("sku"))
+    price = _blank_to_null(F.col("unit_price")).try_cast("double")
     date_text = _blank_to_null(F.col("order_date"))
-    price = price_text.try_cast("decimal(20,2)")
     return batch.select(
         _blank_to_null(F.col("order_id")).alias("order_id"),
-        F.col("customer_id").alias("_customer_text"), F.col("sku").alias("_sku_text"),
-        _blank_to_null(F.col("customer_id")).try_cast("bigint").alias("customer_id"),
-        _blank_to_null(F.col("sku")).try_cast("bigint").alias("sku"),
-        qty_text.alias("_qty_text"), qty_text.try_cast("int").alias("quantity"),
-        price_text.alias("_price_text"), (price * 100).try_cast("bigint").alias("price_cents"),
-        date_text.alias("_date_text"), parse_day(date_text).alias("order_date"),
+        customer.alias("_customer_text"), sku.alias("_sku_text"),
+        customer.try_cast(types.get("customer_id", "string")).alias("customer_id"),
+        sku.try_cast(types.get("sku", "string")).alias("sku"),
+        _blank_to_null(F.col("quantity")).try_cast("int").alias("quantity"),
+        F.rint(price * 100).try_cast("bigint").alias("price_cents"),
+        date_text.alias("_date_text"), form_day(date_text).alias("order_date"),
         F.col("channel"), F.col("seq"))
 
 
@@ -68,6 +78,8 @@ def row_errors(as_of_date: str) -> list[Column]:
     """I1, I3, I4 on a ``typed`` frame: one nullable message per rule."""
     return [
         F.when(F.col("order_id").isNull(), F.lit(MSG_ID_REQUIRED)),
+        F.when(F.col("_customer_text").isNotNull() & F.col("customer_id").isNull(), F.lit(MSG_CUSTOMER_ID)),
+        F.when(F.col("_sku_text").isNotNull() & F.col("sku").isNull(), F.lit(MSG_SKU)),
         F.when(F.col("quantity").isNull(), F.lit(MSG_QTY_INVALID))
          .when(F.col("quantity") <= 0, F.lit(MSG_QTY_POSITIVE)),
         F.when(F.col("price_cents").isNull(), F.lit(MSG_PRICE_INVALID))
@@ -97,38 +109,39 @@ def strict_errors(customers: DataFrame, products: DataFrame) -> tuple[list[Colum
 
 def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
              customers: DataFrame | None = None, products: DataFrame | None = None,
-             strict: bool = False) -> DataFrame:
+             strict: bool = False, id_types: dict[str, str] | None = None) -> DataFrame:
     """I5 + I6: every batch row with ``estado`` ('aceptado' / 'rechazado') and
     ``errores`` (all messages of the row, ' | '-joined, in rule order).
 
     A row without row errors is accepted if it is the first such row of its
-    order id in the batch and the id is not in ``facts``. Uniqueness uses a
-    partially aggregated first position per id joined back on (id, seq), and
-    one distinct-id anti join against the fact, so a hot id never lands in a
-    single task.
+    order id in the batch and the id is not in ``facts``. Customer and product
+    ids keep the fact's types (``id_types``, else those of ``facts``). The
+    first position per id (limited before the shuffle) is joined back on
+    (id, seq), so a hot id never lands in a single task.
     """
-    t = typed(batch)
+    t = typed(batch, id_types if id_types is not None else dict(facts.dtypes))
     rules = row_errors(as_of_date)
     if strict:
         if customers is None or products is None:
             raise ValueError("strict intake needs customers and products")
         extra, lookups = strict_errors(customers, products)
         for lookup, col, key in lookups:
-            t = t.join(lookup, t[col] == lookup[key], "left").drop(key)
+            t = t.join(lookup, t[col] == lookup[key].cast(t.schema[col].dataType), "left").drop(key)
         rules = rules[:1] + extra + rules[1:]
     # The typed batch feeds two branches (first positions, join back); it is
     # written once to the checkpoint folder instead of derived twice.
-    t = materialize(t.withColumn("_row_errors", F.concat_ws(" | ", *rules)))
-    # First submission of each id among the rows without errors (partial
-    # aggregation), flagged when the fact already has the id.
-    firsts = (t.filter(F.col("_row_errors") == "").groupBy("order_id")
-               .agg(F.min("seq").alias("_fseq")))
-    # A batch small enough to broadcast (bounded by the written batch's row
-    # count) looks up only its own ids: the fact's id column is scanned and
+    t = materialize(t.select("order_id", "customer_id", "sku", "quantity", "price_cents", "order_date",
+                             "channel", "seq", F.concat_ws(" | ", *rules).alias("_row_errors")))
+    # First submission of each id among the rows without errors, flagged when
+    # the fact already has the id.
+    firsts = keep_first(t.filter(F.col("_row_errors") == "").select("order_id", "seq"), ["order_id"]).select(
+        "order_id", F.col("seq").alias("_fseq"))
+    # A batch whose measured ids are small enough to broadcast looks up only
+    # its own ids: the fact's id column is scanned and
     # semi-joined, not shuffled. A larger batch joins the fact's distinct ids.
     fact_ids = facts.select(F.col("order_id").alias("_eid"))
     batch_ids = firsts.select(F.col("order_id").alias("_bid"))
-    if fits_broadcast(batch_ids, t.count()):
+    if fits_broadcast(t.select("order_id")):
         fact_ids = fact_ids.join(F.broadcast(batch_ids), F.col("_eid") == F.col("_bid"), "left_semi")
     existing = fact_ids.distinct().withColumn("_exists", F.lit(True))
     firsts = firsts.join(existing, firsts["order_id"] == existing["_eid"], "left").select(

@@ -1,69 +1,36 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only when its exact row count times its row width
-is under the session's ``spark.sql.autoBroadcastJoinThreshold``; beyond that
-(or with the threshold disabled) the join is left to the planner, which
-sort-merges with AQE splitting skewed partitions. The planner's own static
-estimate is not used for derived dimensions because it multiplies the sizes
-of a join's inputs and so rejects small cleaned tables.
+A dimension is broadcast only when its measured bytes are under a fixed limit
+and broadcasts are not disabled in the session; beyond that the join is left
+to the planner, which sort-merges with AQE splitting skewed partitions.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starledger.session import materialize
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-          "t": 1 << 40, "tb": 1 << 40}
+#: Most bytes of a broadcast side, as measured by ``measured_bytes``.
+BROADCAST_LIMIT_BYTES = 8 << 20
 
 
-def _bytes(text: str) -> int:
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", text or "")
-    if not m:
-        return -1
-    return int(m.group(1)) * _UNITS.get(m.group(2).lower() or "b", 1)
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of all values as text, plus 16 a value (one aggregate job)."""
+    row = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(16))
+    return df.agg(F.sum(row.cast("bigint")).alias("b")).first()["b"] or 0
 
 
-def _width(dtype: T.DataType) -> int:
-    """Bytes per value, as Spark sizes them by default."""
-    if isinstance(dtype, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(dtype, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dtype, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dtype, T.ShortType):
-        return 2
-    if isinstance(dtype, T.DecimalType):
-        return 8 if dtype.precision <= 18 else 16
-    if isinstance(dtype, T.StructType):
-        return sum(_width(f.dataType) for f in dtype.fields)
-    return 20  # strings, binary and nested types
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` (cheap to read: written, or an aggregate of it) may be
+    broadcast."""
+    disabled = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return not disabled and measured_bytes(df) <= BROADCAST_LIMIT_BYTES
 
 
 def broadcast_if_small(dim: DataFrame) -> DataFrame:
-    """``F.broadcast(dim)`` when its exact size is under the threshold, else
-    ``dim``. The dimension is written once (``materialize``) so that the
-    count and the join read it instead of deriving it twice."""
-    limit = _bytes(dim.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    if limit <= 0:
-        return dim
+    """``F.broadcast(dim)`` when it fits, else ``dim``; the dimension is
+    written once so that the measurement and the join read the same rows."""
     dim = materialize(dim)
-    row = 8 + sum(_width(f.dataType) for f in dim.schema.fields)
-    if dim.count() * row <= limit:
-        return F.broadcast(dim)
-    return dim
-
-
-def fits_broadcast(df: DataFrame, row_bound: int) -> bool:
-    """Whether a known upper bound on ``df``'s rows (e.g. the row count of a
-    written table it is derived from) times its row width is under the
-    session's broadcast threshold; no extra job."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
-    row = 8 + sum(_width(f.dataType) for f in df.schema.fields)
-    return limit > 0 and row_bound * row <= limit
+    return F.broadcast(dim) if fits_broadcast(dim) else dim

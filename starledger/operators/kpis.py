@@ -21,20 +21,28 @@ from starledger.functions.money import div_half_away, line_amount, to_money
 from starledger.schemas import NO_CATEGORY_LABEL
 
 
-
 def _line() -> F.Column:
     return line_amount(F.col("quantity"), F.col("price_cents"))
 
 
+def wide(c: F.Column) -> F.Column:
+    """A whole number as a decimal: sums of cents go beyond 64 bits."""
+    return c.cast("decimal(20,0)")
+
+
+def _sales() -> F.Column:
+    return F.sum(wide(_line()))
+
+
 def _orders_count() -> F.Column:
     return F.count_distinct("order_id").cast("bigint")
 
 
-def _ticket(sales_cents: F.Column, orders: F.Column) -> F.Column:
+def ticket(sales_cents: F.Column, orders: F.Column) -> F.Column:
     return to_money(div_half_away(sales_cents, orders))
 
 
-def _pct_one_decimal(part_cents: F.Column, whole_cents: F.Column) -> F.Column:
+def pct_one_decimal(part_cents: F.Column, whole_cents: F.Column) -> F.Column:
     """``round(CASE WHEN whole = 0 THEN 0 ELSE part * 100 / whole END, 1)``."""
     return F.when(whole_cents == 0, F.lit(0.0)).otherwise(
         div_half_away(part_cents.cast("decimal(38,0)") * F.lit(1000), whole_cents)
@@ -45,7 +53,7 @@ def sku_sales(orders: DataFrame) -> DataFrame:
     """Per sku: units (coalesced) and sales cents."""
     return orders.groupBy("sku").agg(
         F.sum(F.coalesce(F.col("quantity"), F.lit(0))).cast("bigint").alias("units"),
-        F.sum(_line()).alias("sales_cents"))
+        _sales().alias("sales_cents"))
 
 
 def _with_product_cost(per_sku: DataFrame, products: DataFrame, how: str) -> DataFrame:
@@ -53,13 +61,13 @@ def _with_product_cost(per_sku: DataFrame, products: DataFrame, how: str) -> Dat
     joined = per_sku.join(p, per_sku["sku"] == p["_p_sku"], how).drop("_p_sku")
     return joined.withColumn(
         "margin_cents",
-        F.col("sales_cents") - F.col("units") * F.coalesce(F.col("cost_cents"), F.lit(0)))
+        F.col("sales_cents") - wide(F.col("units")) * F.coalesce(F.col("cost_cents"), F.lit(0)))
 
 
 # -------------------------------------------------------------------- cards
 def kpi_total_sales(orders: DataFrame) -> DataFrame:
     """K1: ventas_totales."""
-    return orders.agg(to_money(F.sum(_line())).alias("ventas_totales"))
+    return orders.agg(to_money(_sales()).alias("ventas_totales"))
 
 
 def kpi_total_margin(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -73,28 +81,28 @@ def kpi_order_count(orders: DataFrame) -> DataFrame:
     return orders.agg(_orders_count().alias("numero_pedidos"))
 
 
-def kpi_avg_ticket(orders: DataFrame) -> DataFrame:
+def kpi_avgticket(orders: DataFrame) -> DataFrame:
     """K4: ventas_totales, numero_pedidos, ticket_promedio (rounded total /
     orders, NULL when there are no orders)."""
-    agg = orders.agg(F.sum(_line()).alias("_s"), _orders_count().alias("numero_pedidos"))
+    agg = orders.agg(_sales().alias("_s"), _orders_count().alias("numero_pedidos"))
     return agg.select(to_money(F.col("_s")).alias("ventas_totales"), "numero_pedidos",
-                      _ticket(F.col("_s"), F.col("numero_pedidos")).alias("ticket_promedio"))
+                      ticket(F.col("_s"), F.col("numero_pedidos")).alias("ticket_promedio"))
 
 
 def kpi_panel(orders: DataFrame) -> DataFrame:
     """K5: validation panel, no coalesce: ventas_totales, num_pedidos,
     ticket_promedio (unrounded total / orders)."""
     raw_line = F.col("quantity").cast("bigint") * F.col("price_cents")
-    agg = orders.agg(F.sum(raw_line).alias("_s"), _orders_count().alias("num_pedidos"))
+    agg = orders.agg(F.sum(wide(raw_line)).alias("_s"), _orders_count().alias("num_pedidos"))
     return agg.select(to_money(F.col("_s")).alias("ventas_totales"), "num_pedidos",
-                      _ticket(F.col("_s"), F.col("num_pedidos")).alias("ticket_promedio"))
+                      ticket(F.col("_s"), F.col("num_pedidos")).alias("ticket_promedio"))
 
 
 # ------------------------------------------------------------- breakdowns
 def sales_by_month(orders: DataFrame) -> DataFrame:
     """G1: mes (yyyy-MM), ventas, pedidos; ascending by month."""
     return (orders.groupBy(F.date_format("order_date", "yyyy-MM").alias("mes"))
-            .agg(F.sum(_line()).alias("_s"), _orders_count().alias("pedidos"))
+            .agg(_sales().alias("_s"), _orders_count().alias("pedidos"))
             .select("mes", to_money(F.col("_s")).alias("ventas"), "pedidos")
             .orderBy(F.col("mes").asc_nulls_first()))
 
@@ -102,10 +110,10 @@ def sales_by_month(orders: DataFrame) -> DataFrame:
 def sales_by_channel(orders: DataFrame) -> DataFrame:
     """Canal, ventas, pedidos, ticket_promedio (mean per line)."""
     return (orders.groupBy(F.col("channel").alias("canal"))
-            .agg(F.sum(_line()).alias("_s"), _orders_count().alias("pedidos"),
+            .agg(_sales().alias("_s"), _orders_count().alias("pedidos"),
                  F.count(F.lit(1)).alias("_lines"))
             .select("canal", to_money(F.col("_s")).alias("ventas"), "pedidos",
-                    _ticket(F.col("_s"), F.col("_lines")).alias("ticket_promedio"))
+                    ticket(F.col("_s"), F.col("_lines")).alias("ticket_promedio"))
             .orderBy(F.col("ventas").desc(), F.col("canal").asc_nulls_first()))
 
 
@@ -118,7 +126,7 @@ def margin_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
             .select(F.coalesce(F.col("category"), F.lit(NO_CATEGORY_LABEL)).alias("categoria"),
                     to_money(F.col("_s")).alias("ventas"),
                     to_money(F.col("_m")).alias("margen"),
-                    _pct_one_decimal(F.col("_m"), F.col("_s")).alias("pct_margen"))
+                    pct_one_decimal(F.col("_m"), F.col("_s")).alias("pct_margen"))
             .orderBy(F.col("margen").desc(), F.col("categoria").asc_nulls_first()))
 
 
@@ -126,13 +134,13 @@ def top_customers(orders: DataFrame, customers: DataFrame, k: int = 10) -> DataF
     """Top-k customers by revenue (inner join): customer_id, cliente,
     pais, segmento, ingresos, pedidos, ticket_promedio. Ties broken by id."""
     per_customer = orders.groupBy("customer_id").agg(
-        F.sum(_line()).alias("_s"), _orders_count().alias("pedidos"))
+        _sales().alias("_s"), _orders_count().alias("pedidos"))
     c = customers.select(F.col("customer_id").alias("_c_id"), "name", "country", "segment")
     joined = per_customer.join(c, per_customer["customer_id"] == c["_c_id"], "inner")
     return (joined.select(
                 "customer_id", F.col("name").alias("cliente"), F.col("country").alias("pais"),
                 F.col("segment").alias("segmento"), to_money(F.col("_s")).alias("ingresos"),
-                "pedidos", _ticket(F.col("_s"), F.col("pedidos")).alias("ticket_promedio"))
+                "pedidos", ticket(F.col("_s"), F.col("pedidos")).alias("ticket_promedio"))
             .orderBy(F.col("ingresos").desc(), F.col("customer_id").asc())
             .limit(k))
 

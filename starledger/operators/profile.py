@@ -132,17 +132,17 @@ def _placed_values(long: DataFrame, partitions: int | None = None) -> DataFrame:
 
     ``long`` has (campo, v). Values are counted per (campo, value) with
     partial aggregation and the frequency table (bounded by the distinct
-    values, not the rows) is written once; it is range-partitioned on
-    (campo, v) and prefix-summed per range partition, and partition offsets
+    values, not the rows) is range-partitioned on (campo, v) and written once
+    with each row's partition number, so that both branches below see the same
+    partitions; it is prefix-summed per partition, and partition offsets
     come from a table with one row per (campo, partition). Returns
     (campo, v, f, _before, _upto, n): value ``v`` holds ranks
     ``[_before, _upto)`` among the ``n`` non-NULL values of its column. No
     task holds more than one range partition of the distinct values.
     """
     parts = partitions or int(long.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    freq = materialize(long.filter(F.col("v").isNotNull())
-                       .groupBy("campo", "v").agg(F.count(F.lit(1)).alias("f")))
-    ranged = freq.repartitionByRange(parts, "campo", "v").withColumn("_p", F.spark_partition_id())
+    freq = long.filter(F.col("v").isNotNull()).groupBy("campo", "v").agg(F.count(F.lit(1)).alias("f"))
+    ranged = materialize(freq.repartitionByRange(parts, "campo", "v").withColumn("_p", F.spark_partition_id()))
     local = ranged.withColumn("_cum", F.sum("f").over(
         Window.partitionBy("campo", "_p").orderBy("v")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
@@ -313,7 +313,7 @@ def price_history_for_nulls(orders: DataFrame) -> DataFrame:
     stats = orders.groupBy("sku").agg(
         F.count_if(F.col("price_cents").isNull()).cast("bigint").alias("precios_nulos"),
         F.count("price_cents").cast("bigint").alias("n_precios"),
-        F.sum("price_cents").alias("_s"))
+        F.sum(F.col("price_cents").cast("decimal(28,8)")).alias("_s"))
     return stats.filter(F.col("precios_nulos") > 0).select(
         "sku", "precios_nulos", "n_precios",
         F.when(F.col("n_precios") > 0, F.col("_s").cast("double") / F.col("n_precios") / 100.0)
@@ -324,7 +324,7 @@ def price_history_for_nulls(orders: DataFrame) -> DataFrame:
 
 def raw_mean_price(orders: DataFrame) -> DataFrame:
     """P20: mean of the known raw prices (currency units)."""
-    return orders.agg((F.sum("price_cents").cast("double") / F.count("price_cents") / 100.0)
+    return orders.agg((F.sum(F.col("price_cents").cast("decimal(28,8)")).cast("double") / F.count("price_cents") / 100.0)
                       .alias("precio_medio_global"))
 
 

@@ -176,6 +176,8 @@ oracle("clean_orders", f"""SELECT order_id, customer_id, sku, quantity, {money('
                                   order_date, channel FROM orders_clean""")
 oracle("csv_roundtrip", f"""SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price,
                                    order_date, channel FROM orders_clean""")
+oracle("csv_roundtrip_customers", "SELECT * FROM customers_clean")
+oracle("csv_roundtrip_products", f"SELECT sku, category, {money('cost_cents')} AS cost, active FROM products_clean")
 oracle("dedup_customers",
        "SELECT * FROM customers_raw QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY seq) = 1")
 oracle("dedup_products",
@@ -342,9 +344,26 @@ oracle("profile_nulls", _union_all([
     f"round_even(CAST({_is_null_count(c)} AS DOUBLE) / count(*) * 100 * 100, 0) / 100 AS pct FROM {_raw(t)}"
     for t, cols in RAW_COLS.items() for c in cols]))
 
-oracle("profile_null_rows", """
-SELECT order_id, customer_id, sku, quantity, price_cents, order_date FROM orders_raw WHERE price_cents IS NULL
+SHOWN_ORDERS = f"(SELECT * EXCLUDE (price_cents), {money('price_cents')} AS unit_price FROM orders_raw)"
+SHOWN_PRODUCTS = f"(SELECT * EXCLUDE (cost_cents), {money('cost_cents')} AS cost FROM products_raw)"
+
+oracle("profile_null_rows", f"""
+SELECT order_id, customer_id, sku, quantity, unit_price, order_date FROM {SHOWN_ORDERS} WHERE unit_price IS NULL
+""")
+oracle("profile_null_country_rows", "SELECT * FROM customers_raw WHERE country IS NULL")
+oracle("profile_null_segment_rows", "SELECT * FROM customers_raw WHERE segment IS NULL")
+oracle("profile_null_category_rows", f"SELECT * FROM {SHOWN_PRODUCTS} WHERE category IS NULL")
+oracle("profile_dup_customer_rows", """
+SELECT * FROM customers_raw WHERE customer_id IN (
+  SELECT customer_id FROM customers_raw GROUP BY customer_id HAVING count(*) > 1)
+""")
+oracle("profile_dup_product_rows", f"""
+SELECT * FROM {SHOWN_PRODUCTS} WHERE sku IN (SELECT sku FROM products_raw GROUP BY sku HAVING count(*) > 1)
 """)
+oracle("profile_bad_created_rows", f"SELECT * FROM customers_raw WHERE {DAY.format(c='created_at')} IS NULL")
+oracle("profile_negative_quantity_rows", f"SELECT * FROM {SHOWN_ORDERS} WHERE quantity < 0")
+oracle("profile_head_customers", "SELECT * FROM customers_raw ORDER BY customer_id, seq LIMIT 5")
+oracle("profile_head_products", f"SELECT * FROM {SHOWN_PRODUCTS} ORDER BY sku, seq LIMIT 5")
 
 
 def _dup_sql(t: str, key: str) -> str:
@@ -356,8 +375,8 @@ oracle("profile_dup_counts", _union_all([
     f"SELECT '{t}' AS tabla, '{k}' AS campo, CAST({_dup_sql(t, k)} AS BIGINT) AS duplicados"
     for t, k in [("customers", "customer_id"), ("products", "sku"), ("orders", "order_id")]]))
 
-oracle("profile_dup_rows", """
-SELECT * FROM orders_raw WHERE order_id IN (
+oracle("profile_dup_rows", f"""
+SELECT * FROM {SHOWN_ORDERS} WHERE order_id IN (
   SELECT order_id FROM orders_raw GROUP BY order_id HAVING count(*) > 1)
 """)
 
@@ -417,13 +436,13 @@ FROM (SELECT campo, valor, CAST(count(*) AS BIGINT) AS f FROM customers_text_lon
 GROUP BY campo
 """)
 
-oracle("profile_head", "SELECT * FROM orders_raw ORDER BY order_id, seq LIMIT 5")
+oracle("profile_head", f"SELECT * FROM {SHOWN_ORDERS} ORDER BY order_id, seq LIMIT 5")
 
 oracle("profile_negative", _union_all([
     f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negativos "
     f"FROM {_raw(t)}" for t, c in [("products", "cost_cents"), ("orders", "quantity")]]))
 
-oracle("profile_negative_rows", "SELECT * FROM products_raw WHERE cost_cents < 0")
+oracle("profile_negative_rows", f"SELECT * FROM {SHOWN_PRODUCTS} WHERE cost < 0")
 
 oracle("profile_zero", """
 SELECT 'orders' AS tabla, 'quantity' AS campo,

@@ -16,6 +16,7 @@ from starledger.functions.money import to_money
 from starledger.functions.text import normalize_channel
 from starledger.operators import clean as C
 from starledger.operators import kpis as K
+from starledger.operators import totals as S
 from starledger.plans import model as M
 from starledger.sources.fixtures import raw_tables
 
@@ -80,36 +81,32 @@ def q_valid_quantity(spark, sf_dir):
 
 
 def _survivors(spark, sf_dir):
-    return C.valid_quantity(C.valid_dates(C.dedup_orders(raw_tables(spark, sf_dir).orders)))
+    return C.order_survivors(raw_tables(spark, sf_dir).orders)
 
 
 @query("impute_sku_mean")
 def q_impute_sku_mean(spark, sf_dir):
     """Per sku with a missing price among the survivors: rows without a
     price, rows with one, and the sku mean (currency units, unrounded)."""
-    s = _survivors(spark, sf_dir)
-    stats = C.sku_price_stats(s)
-    missing = s.filter(F.col("price_cents").isNull()).groupBy("sku").agg(
-        F.count(F.lit(1)).alias("filas_sin_precio"))
-    return missing.join(stats, "sku", "left").select(
-        "sku", "filas_sin_precio", F.col("priced").alias("filas_con_precio"),
-        (F.col("sku_mean") / F.lit(100.0)).alias("precio_medio"))
+    stats = C.sku_price_stats(_survivors(spark, sf_dir)).filter(F.col("rows") > F.col("priced"))
+    keyed = F.col("sku").isNotNull()
+    return stats.select(
+        "sku", (F.col("rows") - F.col("priced")).alias("filas_sin_precio"),
+        F.when(keyed, F.col("priced")).otherwise(F.lit(0)).alias("filas_con_precio"),
+        F.when(keyed, F.col("sku_mean") / F.lit(100.0)).alias("precio_medio"))
 
 
 @query("impute_global_mean")
 def q_impute_global_mean(spark, sf_dir):
     """Rows that fall back to the global mean and the price they get."""
-    from starledger.schemas import ORDER_COLS
-    s = _survivors(spark, sf_dir).select(*ORDER_COLS)
-    filled = C.impute_prices(s)
-    with_history = C.sku_price_stats(s).filter(
-        (F.col("priced") > 0) & F.col("sku").isNotNull()).select(F.col("sku").alias("_k"))
-    missing = s.filter(F.col("price_cents").isNull())
-    no_history = missing.join(with_history, missing["sku"] == with_history["_k"],
-                              "left_anti").select("order_id")
-    got = filled.join(no_history, "order_id", "left_semi")
-    return got.agg(F.count(F.lit(1)).cast("bigint").alias("filas_precio_global"),
-                   to_money(F.max("price_cents")).alias("precio_global"))
+    stats = C.sku_price_stats(_survivors(spark, sf_dir))
+    no_history = (F.col("priced") == 0) | F.col("sku").isNull()
+    one = stats.agg(
+        F.coalesce(F.sum(F.when(no_history, F.col("rows") - F.col("priced"))), F.lit(0)).cast("bigint")
+         .alias("filas_precio_global"),
+        C.global_mean().alias("_mean"))
+    return one.select("filas_precio_global", F.when(
+        F.col("filas_precio_global") > 0, to_money(F.rint("_mean").cast("bigint"))).alias("precio_global"))
 
 
 @query("normalize_channel")
@@ -127,19 +124,31 @@ def q_clean_audit(spark, sf_dir):
     return C.clean_audit(r.customers, r.products, r.orders)
 
 
-@query("csv_roundtrip")
-def q_csv_roundtrip(spark, sf_dir):
-    """Export the clean orders as header CSV below the shared checkpoint
-    folder, read them back with an explicit schema and return them."""
-    import hashlib
+def _csv_roundtrip(spark, name, df):
+    """Export a clean table as header CSV to a new folder below the shared
+    checkpoint folder, read it back with its schema and return it."""
+    import uuid
     from starledger.session import scratch_path
     from starledger.sources.sinks import export_csv
-    path = scratch_path(spark, "csv_roundtrip/" + hashlib.sha1(sf_dir.encode()).hexdigest()[:12])
-    export_csv({"orders": M.present_orders(_model(spark, sf_dir).orders)}, path)
-    schema = ("order_id string, customer_id bigint, sku bigint, quantity int, unit_price double, "
-              "order_date date, channel string")
-    return (spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd")
-            .csv(f"{path}/orders_clean"))
+    path = scratch_path(spark, f"csv_roundtrip/{uuid.uuid4().hex}")
+    export_csv({name: df}, path)
+    return (spark.read.schema(df.schema).option("header", True).option("dateFormat", "yyyy-MM-dd")
+            .option("escape", '"').csv(f"{path}/{name}_clean"))
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    return _csv_roundtrip(spark, "orders", M.present_orders(_model(spark, sf_dir).orders))
+
+
+@query("csv_roundtrip_customers")
+def q_csv_roundtrip_customers(spark, sf_dir):
+    return _csv_roundtrip(spark, "customers", _model(spark, sf_dir).customers)
+
+
+@query("csv_roundtrip_products")
+def q_csv_roundtrip_products(spark, sf_dir):
+    return _csv_roundtrip(spark, "products", M.present_products(_model(spark, sf_dir).products))
 
 
 # ------------------------------------------------------------------- model
@@ -151,67 +160,68 @@ def q_orders_enriched(spark, sf_dir):
 
 @query("load_counts")
 def q_load_counts(spark, sf_dir):
-    return M.load_counts(_model(spark, sf_dir))
+    m = _model(spark, sf_dir)
+    return M.load_counts(M.CleanModel(m.customers, m.products, m.unpriced_orders))
 
 
 # -------------------------------------------------------------------- KPIs
 @query("kpi_total_sales")
 def q_k1(spark, sf_dir):
-    return K.kpi_total_sales(_model(spark, sf_dir).orders)
+    return S.total_sales(_model(spark, sf_dir).survivors)
 
 
 @query("kpi_total_margin")
 def q_k2(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.kpi_total_margin(m.orders, m.products)
+    return S.total_margin(m.survivors, m.products)
 
 
 @query("kpi_order_count")
 def q_k3(spark, sf_dir):
-    return K.kpi_order_count(_model(spark, sf_dir).orders)
+    return K.kpi_order_count(_model(spark, sf_dir).unpriced_orders)
 
 
 @query("kpi_avg_ticket")
 def q_k4(spark, sf_dir):
-    return K.kpi_avg_ticket(_model(spark, sf_dir).orders)
+    return S.average_ticket(_model(spark, sf_dir).survivors)
 
 
 @query("kpi_panel")
 def q_k5(spark, sf_dir):
-    return K.kpi_panel(_model(spark, sf_dir).orders)
+    return S.panel(_model(spark, sf_dir).survivors)
 
 
 @query("sales_by_month")
 def q_g1(spark, sf_dir):
-    return K.sales_by_month(_model(spark, sf_dir).orders)
+    return S.by_month(_model(spark, sf_dir).survivors)
 
 
 @query("sales_by_channel")
 def q_g2(spark, sf_dir):
-    return K.sales_by_channel(_model(spark, sf_dir).orders)
+    return S.by_channel(_model(spark, sf_dir).survivors)
 
 
 @query("margin_by_category")
 def q_g3(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.margin_by_category(m.orders, m.products)
+    return S.by_category(m.survivors, m.products)
 
 
 @query("top_customers")
 def q_g4(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.top_customers(m.orders, m.customers)
+    return K.top_customers(m.priced_orders("order_id", "customer_id", "quantity", "price_cents"), m.customers)
 
 
 @query("top_products")
 def q_g5(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.top_products(m.orders, m.products)
+    return K.top_products(m.priced_orders("sku", "quantity", "price_cents"), m.products)
 
 
 @query("dim_channels")
 def q_d1(spark, sf_dir):
-    return K.dim_channels(_model(spark, sf_dir).orders)
+    return K.dim_channels(_model(spark, sf_dir).unpriced_orders)
 
 
 @query("dim_categories")
@@ -226,7 +236,7 @@ def q_d3(spark, sf_dir):
 
 @query("dim_date_range")
 def q_d4(spark, sf_dir):
-    return K.dim_date_range(_model(spark, sf_dir).orders)
+    return K.dim_date_range(_model(spark, sf_dir).unpriced_orders)
 
 
 # ----------------------------------------------------------------- profile
@@ -260,10 +270,61 @@ def q_profile_nulls(spark, sf_dir):
     return _union([P.null_profile(df, t) for t, df in _raw_by_name(spark, sf_dir).items()])
 
 
+def _shown(df):
+    """A raw table with money in currency units under the source's names."""
+    names = {"price_cents": "unit_price", "cost_cents": "cost"}
+    return df.select(*[to_money(F.col(c)).alias(names[c]) if c in names else F.col(c) for c in df.columns])
+
+
 @query("profile_null_rows")
 def q_profile_null_rows(spark, sf_dir):
-    return P.null_rows(raw_tables(spark, sf_dir).orders, "price_cents",
-                       ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date"])
+    return P.null_rows(_shown(raw_tables(spark, sf_dir).orders), "unit_price",
+                       ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date"])
+
+
+@query("profile_null_country_rows")
+def q_profile_null_country_rows(spark, sf_dir):
+    return P.null_rows(raw_tables(spark, sf_dir).customers, "country")
+
+
+@query("profile_null_segment_rows")
+def q_profile_null_segment_rows(spark, sf_dir):
+    return P.null_rows(raw_tables(spark, sf_dir).customers, "segment")
+
+
+@query("profile_null_category_rows")
+def q_profile_null_category_rows(spark, sf_dir):
+    return P.null_rows(_shown(raw_tables(spark, sf_dir).products), "category")
+
+
+@query("profile_dup_customer_rows")
+def q_profile_dup_customer_rows(spark, sf_dir):
+    return P.duplicate_rows(raw_tables(spark, sf_dir).customers, "customer_id")
+
+
+@query("profile_dup_product_rows")
+def q_profile_dup_product_rows(spark, sf_dir):
+    return P.duplicate_rows(_shown(raw_tables(spark, sf_dir).products), "sku")
+
+
+@query("profile_bad_created_rows")
+def q_profile_bad_created_rows(spark, sf_dir):
+    return P.bad_date_rows(raw_tables(spark, sf_dir).customers, "created_at")
+
+
+@query("profile_negative_quantity_rows")
+def q_profile_negative_quantity_rows(spark, sf_dir):
+    return _shown(raw_tables(spark, sf_dir).orders).filter(F.col("quantity") < 0)
+
+
+@query("profile_head_customers")
+def q_profile_head_customers(spark, sf_dir):
+    return P.head(raw_tables(spark, sf_dir).customers, ["customer_id", "seq"], 5)
+
+
+@query("profile_head_products")
+def q_profile_head_products(spark, sf_dir):
+    return P.head(_shown(raw_tables(spark, sf_dir).products), ["sku", "seq"], 5)
 
 
 @query("profile_dup_counts")
@@ -276,7 +337,7 @@ def q_profile_dup_counts(spark, sf_dir):
 
 @query("profile_dup_rows")
 def q_profile_dup_rows(spark, sf_dir):
-    return P.duplicate_rows(raw_tables(spark, sf_dir).orders, "order_id")
+    return P.duplicate_rows(_shown(raw_tables(spark, sf_dir).orders), "order_id")
 
 
 @query("profile_bad_dates")
@@ -318,7 +379,7 @@ def q_profile_describe_text(spark, sf_dir):
 
 @query("profile_head")
 def q_profile_head(spark, sf_dir):
-    return P.head(raw_tables(spark, sf_dir).orders, ["order_id", "seq"], 5)
+    return P.head(_shown(raw_tables(spark, sf_dir).orders), ["order_id", "seq"], 5)
 
 
 @query("profile_negative")
@@ -330,7 +391,7 @@ def q_profile_negative(spark, sf_dir):
 
 @query("profile_negative_rows")
 def q_profile_negative_rows(spark, sf_dir):
-    return raw_tables(spark, sf_dir).products.filter(F.col("cost_cents") < 0)
+    return _shown(raw_tables(spark, sf_dir).products).filter(F.col("cost") < 0)
 
 
 @query("profile_zero")
@@ -442,12 +503,12 @@ def q_recent_orders_display(spark, sf_dir):
 @query("kpi_panel_display")
 def q_kpi_panel_display(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return A.kpi_panel_display(m.orders, m.products)
+    return S.panel_display(m.survivors, m.products)
 
 
 @query("next_order_id")
 def q_next_order_id(spark, sf_dir):
-    return A.next_order_id(_model(spark, sf_dir).orders)
+    return A.next_order_id(_model(spark, sf_dir).unpriced_orders)
 
 
 # ------------------------------------------------------------------ intake
@@ -462,7 +523,7 @@ def _present_validated(v):
 
 def _validated(spark, sf_dir, strict=False):
     m = _model(spark, sf_dir)
-    return I.validate(intake_batch(spark, sf_dir), m.orders, INTAKE_AS_OF,
+    return I.validate(intake_batch(spark, sf_dir), m.unpriced_orders, INTAKE_AS_OF,
                       m.customers, m.products, strict=strict)
 
 

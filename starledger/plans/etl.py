@@ -1,5 +1,5 @@
-"""The batch run (E1): snapshot -> scan -> profile -> clean -> export ->
-publish (checked) -> validate, as Spark jobs.
+"""The batch run (E1): snapshot -> scan -> profile -> clean -> publish
+(checked) -> export -> validate, as Spark jobs.
 
 Nothing row-level reaches the driver: the only collected results are
 one-row counters for the run summary.
@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from starledger.operators.kpis import kpi_panel, kpi_total_margin
 from starledger.operators.profile import profile_counters
-from starledger.plans.model import CleanModel, clean_model, load_counts, orders_enriched
+from starledger.plans.intake_job import fact_with_appends
+from starledger.plans.model import (
+    CleanModel, clean_model, load_counts, orders_enriched, present_orders, present_products,
+)
 from starledger.sources.fixtures import RawTables
 from starledger.sources.sinks import export_csv, publish, read_published, snapshot_raw
 
@@ -27,9 +30,12 @@ class RunSummary:
     kpis: dict = field(default_factory=dict)
 
 
-def published_model(spark: SparkSession, out_dir: str) -> CleanModel:
+def published_model(spark: SparkSession, out_dir: str, intake_dir: str | None = None) -> CleanModel:
+    """The published tables; with ``intake_dir`` the fact includes the orders
+    accepted there, so every KPI and serving query sees them."""
     t = read_published(spark, out_dir)
-    return CleanModel(t["customers"], t["products"], t["orders"])
+    orders = fact_with_appends(spark, t["orders"], intake_dir) if intake_dir else t["orders"]
+    return CleanModel(t["customers"], t["products"], orders)
 
 
 def register_views(spark: SparkSession, model: CleanModel) -> None:
@@ -66,15 +72,16 @@ def run(spark: SparkSession, raw: RawTables, out_dir: str, run_id: str,
     out = out_dir.rstrip("/")
     tables = {"customers": raw.customers, "products": raw.products, "orders": raw.orders}
     if archive:
-        snapshot_raw(tables, f"{out}/archive", run_id)
+        snapshot_raw(raw.text or tables, f"{out}/archive", run_id)
     summary = RunSummary(run_id)
     summary.profile = profile_counters(raw.customers, raw.products, raw.orders).first().asDict()
     model = clean_model(raw)
     clean = {"customers": model.customers, "products": model.products, "orders": model.orders}
-    if export:
-        export_csv(clean, f"{out}/processed")
     publish(spark, clean, f"{out}/warehouse", run_id)
     published = published_model(spark, f"{out}/warehouse")
+    if export:  # what was checked and published, never what failed the checks
+        export_csv({"customers": published.customers, "products": present_products(published.products),
+                    "orders": present_orders(published.orders)}, f"{out}/processed")
     register_views(spark, published)
     summary.counts = {r["tabla"]: r["registros"] for r in load_counts(published).collect()}
     summary.kpis = validate_published(published).first().asDict()

@@ -47,7 +47,7 @@ def append_batch(spark: SparkSession, batch: DataFrame, batch_id: str, published
                  products: DataFrame | None = None, strict: bool = False) -> None:
     ensure_checkpoint_dir(spark)
     ids = current_ids(spark, published_orders, intake_dir, exclude_batch=batch_id)
-    checked = validate(batch, ids, as_of_date, customers, products, strict)
+    checked = validate(batch, ids, as_of_date, customers, products, strict, id_types=dict(published_orders.dtypes))
     checked = checked.checkpoint(eager=True)  # cut lineage: written twice below
     base = intake_dir.rstrip("/")
     for kind, frame in (("accepted", accepted(checked)), ("rejected", rejected(checked))):

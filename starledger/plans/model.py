@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from starledger.functions.money import to_money
 from starledger.operators.joins import broadcast_if_small
-from starledger.operators.clean import clean_customers, clean_orders, clean_products
+from starledger.operators.clean import (
+    clean_customers, clean_orders, clean_products, order_survivors, unpriced_orders,
+)
 from starledger.sources.fixtures import RawTables
 
 
@@ -45,6 +47,18 @@ class LazyCleanModel:
     def orders(self) -> DataFrame:
         return self._get("orders", clean_orders)
 
+    def priced_orders(self, *columns: str) -> DataFrame:
+        """Only these columns of the clean orders."""
+        return clean_orders(self._raw.orders, self._order_cols, columns=columns)
+
+    @property
+    def unpriced_orders(self) -> DataFrame:
+        return unpriced_orders(self._raw.orders, self._order_cols)
+
+    @property
+    def survivors(self) -> DataFrame:
+        return order_survivors(self._raw.orders, self._order_cols)
+
 
 def clean_model(raw: RawTables, order_cols=("seq",)) -> LazyCleanModel:
     return LazyCleanModel(raw, order_cols)

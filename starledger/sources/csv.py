@@ -6,7 +6,12 @@
   split ``monotonically_increasing_id`` follows the file, and splits of a
   file are ordered by their start offset, so ordering by ``seq`` is file
   order even though Spark packs splits into tasks by size.
-* Money text is parsed as decimal and held as integer cents.
+* Columns are found by the header's names (files of one folder share one
+  header); a missing column is an error, further columns are left out.
+* Doubled quotes are a quote. A row with more fields than the header, or a
+  number that cannot be read, stops the run; a row with fewer is NULL there.
+* Prices become cents without rounding (``double``); the cleaning step rounds
+  them (C14). Costs are held as whole cents.
 """
 
 from __future__ import annotations
@@ -30,19 +35,52 @@ class MissingInputError(FileNotFoundError):
     """Raised when required source files are absent (all names at once)."""
 
 
-def read_text_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV as text columns plus ``seq`` (file order)."""
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("encoding", "UTF-8").csv(path))
+class MissingColumnError(ValueError):
+    """Raised when a source file's header lacks required columns."""
+
+
+def read_text_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Header CSV as text columns, as read, plus ``seq`` (file order).
+    ``multi_line`` lets quoted cells hold line ends (such files are not split)."""
+    def reader():
+        return (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
+                .option("multiLine", multi_line))
+    header = reader().csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise MissingColumnError(f"{path} lacks the columns: {', '.join(missing)}")
+    # One field beyond the header takes what a too long row has there. The
+    # last one is never read: with a column pruned, the parser fills short
+    # rows with NULL instead of handling each as malformed.
+    fields = [T.StructField(c, T.StringType()) for c in [*header, "_beyond", "_unread"]]
+    df = reader().schema(T.StructType(fields)).option("mode", "PERMISSIVE").csv(path)
+    df = df.filter(F.when(F.col("_beyond").isNull(), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("row with too many fields in "), F.col("_metadata.file_path"),
+                               F.lit(": "), F.col("_beyond"))).cast("boolean")))
     seq = F.struct(F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("block"),
                    F.monotonically_increasing_id().alias("row"))
-    return df.select(*[na_tokens_to_null(F.col(f.name)).alias(f.name) for f in schema.fields],
-                     seq.alias("seq"))
+    return df.select(*[f.name for f in schema.fields], seq.alias("seq"))
+
+
+def _cells(df: DataFrame) -> DataFrame:
+    return df.select(*[na_tokens_to_null(F.col(c)).alias(c) for c in df.columns if c != "seq"], "seq")
+
+
+def _number(name: str) -> F.Column:
+    """A text cell as double; NULL stays NULL, unreadable text is an error."""
+    text, value = F.col(name), F.col(name).try_cast("double")
+    return F.when(text.isNotNull() & value.isNull(),
+                  F.raise_error(F.concat(F.lit(f"unreadable number in {name}: "), text)).cast("double")
+                  ).otherwise(value)
 
 
-def _cents(c: F.Column) -> F.Column:
-    return (c.try_cast("decimal(20,2)") * 100).try_cast("bigint")
+def _whole(name: str) -> F.Column:
+    """A whole number as int; ``2.0`` is 2, a fraction is an error."""
+    value = _number(name)
+    return F.when(value != F.floor(value),
+                  F.raise_error(F.concat(F.lit(f"fraction in {name}: "), F.col(name))).cast("int")
+                  ).otherwise(value.cast("int"))
 
 
 def _bool(c: F.Column) -> F.Column:
@@ -51,18 +89,17 @@ def _bool(c: F.Column) -> F.Column:
 
 
 def typed_customers(df: DataFrame) -> DataFrame:
-    return df.select("customer_id", "name", "country", "segment", "created_at", "seq")
+    return _cells(df).select("customer_id", "name", "country", "segment", "created_at", "seq")
 
 
 def typed_products(df: DataFrame) -> DataFrame:
-    return df.select("sku", "category", _cents(F.col("cost")).alias("cost_cents"),
+    return _cells(df).select("sku", "category", F.rint(_number("cost") * 100).cast("bigint").alias("cost_cents"),
                      _bool(F.col("active")).alias("active"), "seq")
 
 
 def typed_orders(df: DataFrame) -> DataFrame:
-    return df.select("order_id", "customer_id", "sku",
-                     F.col("quantity").try_cast("int").alias("quantity"),
-                     _cents(F.col("unit_price")).alias("price_cents"),
+    return _cells(df).select("order_id", "customer_id", "sku", _whole("quantity").alias("quantity"),
+                     (_number("unit_price") * 100).alias("price_cents"),
                      "order_date", "channel", "seq")
 
 
@@ -93,4 +130,4 @@ def load_raw_csv(spark: SparkSession, raw_dir: str):
     text = require_inputs(spark, raw_dir)
     return RawTables(customers=TYPERS["customers"](text["customers"]),
                      products=TYPERS["products"](text["products"]),
-                     orders=TYPERS["orders"](text["orders"]))
+                     orders=TYPERS["orders"](text["orders"]), text=text)

@@ -139,6 +139,7 @@ class RawTables:
     customers: DataFrame
     products: DataFrame
     orders: DataFrame
+    text: dict[str, DataFrame] | None = None  # the rows as read, where the source is text
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:

@@ -35,9 +35,10 @@ def snapshot_raw(tables: dict[str, DataFrame], archive_dir: str, snapshot_id: st
 
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> None:
     """Clean tables as header CSV folders (``<out>/<table>_clean``),
-    replacing the previous export."""
+    replacing the previous export; texts keep their outer spaces."""
     for name, df in tables.items():
         (df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd")
+           .option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .csv(f"{out_dir.rstrip('/')}/{name}_clean"))
 
 

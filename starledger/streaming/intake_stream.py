@@ -26,8 +26,9 @@ FORM_FIELDS = [f for f in INTAKE_TEXT.fields if f.name != "seq"]
 def intake_stream(spark: SparkSession, source_dir: str) -> DataFrame:
     from pyspark.sql import types as T
     schema = T.StructType(FORM_FIELDS)
-    return (spark.readStream.schema(schema).option("header", True).csv(source_dir)
-            .withColumn("_file", F.col("_metadata.file_path")))
+    return (spark.readStream.schema(schema).option("header", True).option("escape", '"').csv(source_dir)
+            .withColumn("_file", F.col("_metadata.file_path"))
+            .withColumn("_block", F.col("_metadata.file_block_start")))
 
 
 def start(spark: SparkSession, source_dir: str, published_orders: DataFrame, intake_dir: str,
@@ -40,10 +41,10 @@ def start(spark: SparkSession, source_dir: str, published_orders: DataFrame, int
     stream = stream_id or hashlib.sha1(checkpoint_dir.rstrip("/").encode()).hexdigest()[:12]
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # Submission order: file, then position within the file.
-        ordered = batch.withColumn("seq", F.struct(F.col("_file").alias("file"),
+        # Submission order: file, split, then position within the split.
+        ordered = batch.withColumn("seq", F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
                                                    F.monotonically_increasing_id().alias("row"))
-                                   ).drop("_file")
+                                   ).drop("_file", "_block")
         append_batch(batch.sparkSession, ordered, f"{stream}-{batch_id}", published_orders, intake_dir,
                      as_of_date, customers, products, strict)
 

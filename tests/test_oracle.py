@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from starledger.oracle import ORACLE
+from starledger.plans import catalog
 from conftest import SF_SMALL
 from oracle_compare import duck, rows_of
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.registry())
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +17,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(NAMES)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL)
+    sdf = catalog.registry()[name](spark, SF_SMALL)
     s_rows = [tuple(r) for r in sdf.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     d_cols = [d[0] for d in res.description]
     d_rows = res.fetchall()
     assert sorted(sdf.columns) == sorted(d_cols)

@@ -6,8 +6,8 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from starledger.plans import catalog
 from starledger.operators.clean import dedup_customers, dedup_orders
 from starledger.sources.fixtures import raw_tables
 
@@ -19,9 +19,9 @@ def plan_text(df, mode="simple"):
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.registry()))
 def test_no_cross_join_no_python_udf(spark, name):
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
+    text = plan_text(catalog.registry()[name](spark, SF_SMALL))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "FlatMapGroupsInPandas", "MapInPandas"):
         assert bad not in text, f"{name} plans {bad}"
@@ -42,27 +42,26 @@ def test_fixture_dedup_reuses_the_line_partitioning(spark):
 
 
 def test_top_customers_aggregates_before_joining(spark):
-    text = plan_text(E.queries()["top_customers"](spark, SF_SMALL))
+    text = plan_text(catalog.registry()["top_customers"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text
     join = text.index("Join")
     assert "HashAggregate(keys=[customer_id" in text[join:]
 
 
 def test_recent_orders_limits_before_joining(spark):
-    text = plan_text(E.queries()["recent_orders"](spark, SF_SMALL))
+    text = plan_text(catalog.registry()["recent_orders"](spark, SF_SMALL))
     join = text.index("Join")
     assert "TakeOrderedAndProject" in text[join:]
 
 
 def test_scans_read_only_needed_columns(spark):
-    text = plan_text(E.queries()["margin_by_category"](spark, SF_SMALL))
+    text = plan_text(catalog.registry()["margin_by_category"](spark, SF_SMALL))
     part_scan = [line for line in text.splitlines() if "part.parquet" in line]
     assert part_scan and all("p_name" not in line and "p_brand" not in line for line in part_scan)
 
 
 def test_broadcast_only_under_the_checked_size(spark):
-    from starledger.operators.joins import _bytes, broadcast_if_small
-    assert _bytes("10485760b") == 10485760 and _bytes("20MB") == 20 << 20 and _bytes("-1") == -1
+    from starledger.operators.joins import broadcast_if_small
     fact = spark.range(100000).selectExpr("id % 50 AS k", "id AS v")
     dim = spark.range(50).selectExpr("id AS k2", "CAST(id AS STRING) AS name")
     joined = fact.join(broadcast_if_small(dim), fact["k"] == F.col("k2"), "left")
@@ -76,8 +75,18 @@ def test_broadcast_only_under_the_checked_size(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_fits_broadcast_uses_the_row_bound(spark):
-    from starledger.operators.joins import fits_broadcast
+def test_broadcast_side_is_measured(spark):
+    from starledger.operators import joins
     ids = spark.range(10).selectExpr("CAST(id AS STRING) AS k")
-    assert fits_broadcast(ids, 1000)
-    assert not fits_broadcast(ids, 10 ** 9)
+    assert joins.measured_bytes(ids) == 10 * (16 + 16 + 1) and joins.fits_broadcast(ids)
+    long = spark.range(10).select(F.repeat(F.lit("x"), 1 << 20).alias("k"))
+    assert not joins.fits_broadcast(long)
+
+
+@pytest.mark.parametrize("name", ["kpi_total_sales", "kpi_total_margin", "kpi_order_count", "kpi_avg_ticket",
+                                  "kpi_panel", "sales_by_month", "sales_by_channel", "margin_by_category",
+                                  "dim_channels", "dim_date_range", "next_order_id", "load_counts",
+                                  "kpi_panel_display", "impute_sku_mean", "impute_global_mean"])
+def test_reports_read_the_tables_themselves(spark, name):
+    text = plan_text(catalog.registry()[name](spark, SF_SMALL))
+    assert "ExistingRDD" not in text and text.count("lineitem.parquet") == 1
