@@ -83,9 +83,3 @@ def constraint_violations(customers: DataFrame, products: DataFrame, orders: Dat
         out = out.unionByName(foreign_key_violations(tables[child], child, column,
                                                      tables[parent], parent))
     return out
-
-
-def fatal_summary(violations: DataFrame) -> DataFrame:
-    """One row: the number of fatal rules that are violated."""
-    return violations.agg(F.count_if(F.col("fatal") & (F.col("violaciones") > 0))
-                          .cast("bigint").alias("reglas_violadas"))

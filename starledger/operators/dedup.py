@@ -27,12 +27,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str] = (
               .drop("_keep_rank"))
 
 
-def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row ``duplicates``: rows beyond the first per key (NULL = a key)."""
-    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
-
-
 def duplicated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
