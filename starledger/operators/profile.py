@@ -250,6 +250,15 @@ def head(df: DataFrame, order_cols: Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*order_cols).limit(n)
 
 
+def info(df: DataFrame, table: str) -> DataFrame:
+    """Tabla, campo, tipo, no_nulos: type and non-null values per column."""
+    cols = _data_cols(df)
+    types = F.create_map(*[F.lit(x) for c, t in df.dtypes if c in cols for x in (c, t)])
+    row = df.agg(*[F.count(c).cast("bigint").alias(c) for c in cols])
+    return _long(row, [], cols, "campo", "no_nulos").select(
+        F.lit(table).alias("tabla"), "campo", types[F.col("campo")].alias("tipo"), "no_nulos")
+
+
 def schema_listing(df: DataFrame, table: str):
     """(tabla, campo, tipo) of a table's columns, as plain tuples (the
     schema is metadata held by the driver, not data)."""
@@ -270,6 +279,16 @@ def zero_profile(df: DataFrame, table: str, column: str) -> DataFrame:
              .select(F.lit(table).alias("tabla"), F.lit(column).alias("campo"), "ceros", "no_positivos")
 
 
+def in_currency(described: DataFrame, names: dict[str, str]) -> DataFrame:
+    """A ``describe_numeric`` result whose columns of cents (the keys of
+    ``names``) are shown in currency units under the source's names."""
+    cents = F.col("campo").isin(*names)
+    shown = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    values = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return described.select("tabla", F.when(cents, shown[F.col("campo")]).otherwise(F.col("campo")).alias("campo"), "count",
+                            *[F.when(cents, F.col(c) / 100.0).otherwise(F.col(c)).alias(c) for c in values])
+
+
 def abs_in_range(df: DataFrame, key: str, column: str) -> DataFrame:
     """Each negative value, its absolute value and whether that lies
     within [min, max] of the positive values (sign-error plausibility)."""
@@ -330,14 +349,13 @@ def raw_mean_price(orders: DataFrame) -> DataFrame:
 
 def channel_normalization(orders: DataFrame) -> DataFrame:
     """Canal, filas_antes, filas_despues: the distribution by raw label
-    and by normalised label, full outer joined on the label."""
-    before = orders.groupBy(F.col("channel").alias("canal")).agg(_count().alias("filas_antes"))
-    after = orders.groupBy(normalize_channel(F.col("channel")).alias("canal")).agg(
-        _count().alias("filas_despues"))
-    return before.join(after, before["canal"].eqNullSafe(after["canal"]), "full").select(
-        F.coalesce(before["canal"], after["canal"]).alias("canal"),
-        F.coalesce("filas_antes", F.lit(0)).cast("bigint").alias("filas_antes"),
-        F.coalesce("filas_despues", F.lit(0)).cast("bigint").alias("filas_despues"))
+    and by normalised label, both from one count by raw label."""
+    none = F.lit(0).cast("bigint")
+    per_label = orders.groupBy("channel").agg(_count().alias("_n"))
+    both = per_label.select(F.inline(F.array(
+        F.struct(F.col("channel").alias("canal"), F.col("_n").alias("_before"), none.alias("_after")),
+        F.struct(normalize_channel(F.col("channel")).alias("canal"), none.alias("_before"), F.col("_n").alias("_after")))))
+    return both.groupBy("canal").agg(F.sum("_before").alias("filas_antes"), F.sum("_after").alias("filas_despues"))
 
 
 # ------------------------------------------------------------- P22-P24

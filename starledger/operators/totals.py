@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from starledger.functions.money import to_money
 from starledger.functions.text import normalize_channel
-from starledger.operators.clean import exact_price
+from starledger.operators.clean import exact_price, global_mean
 from starledger.operators.kpis import pct_one_decimal, ticket, wide
 from starledger.schemas import NO_CATEGORY_LABEL
+from starledger.session import materialize
 
 
 def _per_sku(survivors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -149,3 +150,21 @@ def by_category(survivors: DataFrame, products: DataFrame) -> DataFrame:
         to_money(F.col("sales_cents")).alias("ventas"), to_money(F.col("margin_cents")).alias("margen"),
         pct_one_decimal(F.col("margin_cents"), F.col("sales_cents")).alias("pct_margen")).orderBy(
         F.col("margen").desc(), F.col("categoria").asc_nulls_first())
+
+
+def top_products(survivors: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k products by revenue (inner join), ties broken by sku. Only
+    the per-sku sums are written, for the mean of all skus."""
+    per_sku = materialize(_per_sku(survivors))
+    overall = per_sku.agg(global_mean().alias("mean")).scalar()
+    zero = F.lit(0).cast("decimal(38,0)")
+    filled = wide(F.col("unpriced_units")) * wide(F.rint(F.coalesce(F.col("sku_mean"), overall)))
+    sums = per_sku.select("sku", "units", (F.coalesce(F.col("known_sales"), zero) + F.coalesce(filled, zero)).alias("sales_cents"))
+    p = products.select(F.col("sku").alias("_p_sku"), "category", "cost_cents")
+    joined = sums.join(p, sums["sku"] == p["_p_sku"], "inner")
+    margin = F.col("sales_cents") - wide(F.col("units")) * F.coalesce(F.col("cost_cents"), F.lit(0))
+    return joined.select(
+        "sku", F.coalesce(F.col("category"), F.lit(NO_CATEGORY_LABEL)).alias("categoria"),
+        F.col("units").cast("bigint").alias("unidades_vendidas"), to_money(F.col("sales_cents")).alias("ingresos"),
+        to_money(margin).alias("margen"), to_money(F.col("cost_cents")).alias("costo_unitario")).orderBy(
+        F.col("ingresos").desc(), F.col("sku").asc()).limit(k)

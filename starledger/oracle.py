@@ -109,6 +109,19 @@ SELECT order_id, customer_id, sku, quantity,
 FROM orders_filled
 """
 
+# the same orders as a CSV source with prices in tenths of a cent
+CTES["csv_valid"] = r"""
+SELECT order_id, customer_id, sku, quantity, order_date, channel,
+       CAST(CAST(t // 1000 AS VARCHAR) || '.' || lpad(CAST(t % 1000 AS VARCHAR), 3, '0') AS DOUBLE) * 100 AS price
+FROM (SELECT *, price_cents * 10 + CAST(substr(order_id, 2) AS BIGINT) % 10 AS t FROM orders_valid)
+"""
+
+CTES["csv_filled"] = r"""
+SELECT v.*, coalesce(v.price, s.m) AS p1 FROM csv_valid v LEFT JOIN (
+  SELECT sku, CAST(sum(CAST(price AS DECIMAL(28,8))) AS DOUBLE) / count(price) AS m
+  FROM csv_valid WHERE sku IS NOT NULL GROUP BY sku HAVING count(price) > 0) s ON v.sku = s.sku
+"""
+
 CTES["customers_clean"] = r"""
 SELECT customer_id, name, coalesce(country, 'Unknown') AS country,
        coalesce(segment, 'Unknown') AS segment,
@@ -176,6 +189,11 @@ oracle("clean_orders", f"""SELECT order_id, customer_id, sku, quantity, {money('
                                   order_date, channel FROM orders_clean""")
 oracle("csv_roundtrip", f"""SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price,
                                    order_date, channel FROM orders_clean""")
+oracle("csv_clean_orders", rf"""
+SELECT order_id, CAST(customer_id AS VARCHAR) AS customer_id, CAST(sku AS VARCHAR) AS sku, quantity,
+       {money('CAST(round_even(coalesce(p1, (SELECT avg(p1) FROM csv_filled)), 0) AS BIGINT)')} AS unit_price,
+       order_date, regexp_replace(lower(channel), '^\s+|\s+$', '', 'g') AS channel
+FROM csv_filled""")
 oracle("csv_roundtrip_customers", "SELECT * FROM customers_clean")
 oracle("csv_roundtrip_products", f"SELECT sku, category, {money('cost_cents')} AS cost, active FROM products_clean")
 oracle("dedup_customers",
@@ -320,6 +338,8 @@ RAW_COLS = {
     "products": ["sku", "category", "cost_cents", "active"],
     "orders": ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel"],
 }
+# Money columns are held in cents and shown in currency units by the source's name.
+SHOWN = {"price_cents": "unit_price", "cost_cents": "cost"}
 DAY = "try_strptime({c}, '%Y-%m-%d')"
 
 
@@ -340,7 +360,7 @@ oracle("scan_shape", _union_all([
     for t, cols in RAW_COLS.items()]))
 
 oracle("profile_nulls", _union_all([
-    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST({_is_null_count(c)} AS BIGINT) AS nulos, "
+    f"SELECT '{t}' AS tabla, '{SHOWN.get(c, c)}' AS campo, CAST({_is_null_count(c)} AS BIGINT) AS nulos, "
     f"round_even(CAST({_is_null_count(c)} AS DOUBLE) / count(*) * 100 * 100, 0) / 100 AS pct FROM {_raw(t)}"
     for t, cols in RAW_COLS.items() for c in cols]))
 
@@ -401,7 +421,8 @@ oracle("profile_value_counts", _union_all([
     for t, cols in [("customers", ["country", "segment"]), ("products", ["category", "active"]),
                     ("orders", ["channel"])] for c in cols]))
 
-for _t, _c in [("orders", "quantity"), ("orders", "price_cents"), ("products", "cost_cents")]:
+CTES["positive_raw"] = "SELECT * FROM products_raw WHERE cost_cents > 0"
+for _t, _c in [("orders", "quantity"), ("orders", "price_cents"), ("products", "cost_cents"), ("positive", "cost_cents")]:
     CTES[f"ranked_{_t}_{_c}"] = (f"SELECT {_c} AS v, row_number() OVER (ORDER BY {_c}) - 1 AS i "
                                  f"FROM {_raw(_t)} WHERE {_c} IS NOT NULL")
 
@@ -415,15 +436,29 @@ def _quantile(t: str, c: str, q: str) -> str:
             f"ELSE (ceil({pos}) - {pos}) * {lo} + ({pos} - floor({pos})) * {hi} END)")
 
 
-oracle("profile_describe_num", _union_all([
-    f"""SELECT '{t}' AS tabla, '{c}' AS campo, CAST(count({c}) AS BIGINT) AS count,
+def _describe(t: str, c: str, label: str) -> str:
+    unit = 100 if c in SHOWN else 1
+    return f"""SELECT '{label}' AS tabla, '{SHOWN.get(c, c)}' AS campo, count,
+       {', '.join(f'{x} / CAST({unit} AS DOUBLE) AS {x}' for x in ('mean', 'std', 'min', 'p25', 'p50', 'p75', 'max'))}
+FROM (SELECT CAST(count({c}) AS BIGINT) AS count,
        CAST(sum(CAST({c} AS HUGEINT)) AS DOUBLE) / count({c}) AS mean,
        CASE WHEN count({c}) > 1 THEN sqrt(CAST(sum(CAST({c} AS HUGEINT) * {c}) * count({c})
             - sum(CAST({c} AS HUGEINT)) * sum(CAST({c} AS HUGEINT)) AS DOUBLE)
             / CAST(count({c}) * (count({c}) - 1) AS DOUBLE)) END AS std,
        CAST(min({c}) AS DOUBLE) AS min, {_quantile(t, c, '0.25')} AS p25, {_quantile(t, c, '0.5')} AS p50,
        {_quantile(t, c, '0.75')} AS p75, CAST(max({c}) AS DOUBLE) AS max
-FROM {_raw(t)}""" for t, c in [("orders", "quantity"), ("orders", "price_cents"), ("products", "cost_cents")]]))
+FROM {_raw(t)})"""
+
+
+oracle("profile_describe_num", _union_all([
+    _describe("orders", "quantity", "orders"), _describe("orders", "price_cents", "orders"),
+    _describe("products", "cost_cents", "products")]))
+oracle("profile_describe_positive_cost", _describe("positive", "cost_cents", "products"))
+
+oracle("profile_info", _union_all([
+    f"SELECT '{t}' AS tabla, '{SHOWN.get(c, c)}' AS campo, "
+    f"'{ {'quantity': 'int', 'active': 'boolean', 'price_cents': 'double', 'cost_cents': 'double', 'customer_id': 'bigint', 'sku': 'bigint'}.get(c, 'string')}' AS tipo, "
+    f"CAST(count({c}) AS BIGINT) AS no_nulos FROM {_raw(t)}" for t, cols in RAW_COLS.items() for c in cols]))
 
 CTES["customers_text_long"] = _union_all([
     f"SELECT '{c}' AS campo, CAST({c} AS VARCHAR) AS valor FROM customers_raw WHERE {c} IS NOT NULL"
@@ -439,7 +474,7 @@ GROUP BY campo
 oracle("profile_head", f"SELECT * FROM {SHOWN_ORDERS} ORDER BY order_id, seq LIMIT 5")
 
 oracle("profile_negative", _union_all([
-    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negativos "
+    f"SELECT '{t}' AS tabla, '{SHOWN.get(c, c)}' AS campo, CAST(sum(CASE WHEN {c} < 0 THEN 1 ELSE 0 END) AS BIGINT) AS negativos "
     f"FROM {_raw(t)}" for t, c in [("products", "cost_cents"), ("orders", "quantity")]]))
 
 oracle("profile_negative_rows", f"SELECT * FROM {SHOWN_PRODUCTS} WHERE cost < 0")
@@ -451,10 +486,10 @@ SELECT 'orders' AS tabla, 'quantity' AS campo,
 FROM orders_raw
 """)
 
-oracle("profile_abs_in_range", """
-SELECT sku, abs(cost_cents) AS valor_abs,
-       (SELECT min(cost_cents) FROM products_raw WHERE cost_cents > 0) AS min_positivo,
-       (SELECT max(cost_cents) FROM products_raw WHERE cost_cents > 0) AS max_positivo,
+oracle("profile_abs_in_range", f"""
+SELECT sku, {money('abs(cost_cents)')} AS valor_abs,
+       (SELECT {money('min(cost_cents)')} FROM products_raw WHERE cost_cents > 0) AS min_positivo,
+       (SELECT {money('max(cost_cents)')} FROM products_raw WHERE cost_cents > 0) AS max_positivo,
        coalesce(abs(cost_cents) >= (SELECT min(cost_cents) FROM products_raw WHERE cost_cents > 0)
             AND abs(cost_cents) <= (SELECT max(cost_cents) FROM products_raw WHERE cost_cents > 0), false) AS en_rango
 FROM products_raw WHERE cost_cents < 0
@@ -696,5 +731,11 @@ oracle("intake_accepted", """
 SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel FROM intake_validated_v
 WHERE estado = 'aceptado'
 """)
+oracle("orders_with_appends", f"""
+SELECT order_id, customer_id, sku, quantity, {money('price_cents')} AS unit_price, order_date, channel FROM orders_clean
+UNION ALL
+SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel FROM intake_validated_v
+WHERE estado = 'aceptado'
+""")
 oracle("intake_rejects", "SELECT order_id, clave, copia, errores FROM intake_validated_v WHERE estado = 'rechazado'")
 oracle("intake_strict", _validated_sql(_ROW_RULES[:1] + _STRICT_RULES + _ROW_RULES[1:]))

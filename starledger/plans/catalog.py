@@ -7,6 +7,7 @@ grows with the input tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from starledger.operators import clean as C
 from starledger.operators import kpis as K
 from starledger.operators import totals as S
 from starledger.plans import model as M
+from starledger.session import materialize, scratch_path
 from starledger.sources.fixtures import raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,8 +129,6 @@ def q_clean_audit(spark, sf_dir):
 def _csv_roundtrip(spark, name, df):
     """Export a clean table as header CSV to a new folder below the shared
     checkpoint folder, read it back with its schema and return it."""
-    import uuid
-    from starledger.session import scratch_path
     from starledger.sources.sinks import export_csv
     path = scratch_path(spark, f"csv_roundtrip/{uuid.uuid4().hex}")
     export_csv({name: df}, path)
@@ -151,6 +151,25 @@ def q_csv_roundtrip_products(spark, sf_dir):
     return _csv_roundtrip(spark, "products", M.present_products(_model(spark, sf_dir).products))
 
 
+@query("csv_clean_orders")
+def q_csv_clean_orders(spark, sf_dir):
+    """The raw orders as a source file (text, prices in tenths of a cent),
+    scanned from CSV and cleaned: only C14 rounds, half-even."""
+    from starledger.schemas import ORDERS_CSV
+    from starledger.sources.csv import read_text_csv, typed_orders
+    o = raw_tables(spark, sf_dir).orders
+    tenths = F.col("price_cents") * 10 + F.substring("order_id", 2, 20).cast("bigint") % 10
+    price = F.concat(F.call_function("div", tenths, F.lit(1000)).cast("string"), F.lit("."),
+                     F.lpad((tenths % 1000).cast("string"), 3, "0"))
+    # an id's copies share a partition of the raw orders: file order keeps their order
+    rows = o.withColumn("unit_price", price).sortWithinPartitions("order_id", "seq").select(
+        *[F.col(f.name).cast("string").alias(f.name) for f in ORDERS_CSV.fields])
+    path = scratch_path(spark, f"csv_clean_orders/{uuid.uuid4().hex}")
+    (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return M.present_orders(C.clean_orders(typed_orders(read_text_csv(spark, path, ORDERS_CSV))))
+
+
 # ------------------------------------------------------------------- model
 @query("orders_enriched")
 def q_orders_enriched(spark, sf_dir):
@@ -216,7 +235,7 @@ def q_g4(spark, sf_dir):
 @query("top_products")
 def q_g5(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.top_products(m.priced_orders("sku", "quantity", "price_cents"), m.products)
+    return S.top_products(m.survivors, m.products)
 
 
 @query("dim_channels")
@@ -267,13 +286,20 @@ def q_scan_shape(spark, sf_dir):
 
 @query("profile_nulls")
 def q_profile_nulls(spark, sf_dir):
-    return _union([P.null_profile(df, t) for t, df in _raw_by_name(spark, sf_dir).items()])
+    return _union([P.null_profile(_shown(df), t) for t, df in _raw_by_name(spark, sf_dir).items()])
+
+
+MONEY_NAMES = {"price_cents": "unit_price", "cost_cents": "cost"}
 
 
 def _shown(df):
     """A raw table with money in currency units under the source's names."""
-    names = {"price_cents": "unit_price", "cost_cents": "cost"}
-    return df.select(*[to_money(F.col(c)).alias(names[c]) if c in names else F.col(c) for c in df.columns])
+    return df.select(*[to_money(F.col(c)).alias(MONEY_NAMES[c]) if c in MONEY_NAMES else F.col(c) for c in df.columns])
+
+
+@query("profile_info")
+def q_profile_info(spark, sf_dir):
+    return _union([P.info(_shown(df), t) for t, df in _raw_by_name(spark, sf_dir).items()])
 
 
 @query("profile_null_rows")
@@ -369,7 +395,13 @@ def q_profile_value_counts(spark, sf_dir):
 @query("profile_describe_num")
 def q_profile_describe_num(spark, sf_dir):
     raw = _raw_by_name(spark, sf_dir)
-    return _union([P.describe_numeric(raw[t], t, cols) for t, cols in RAW_NUMERIC.items()])
+    return P.in_currency(_union([P.describe_numeric(raw[t], t, cols) for t, cols in RAW_NUMERIC.items()]), MONEY_NAMES)
+
+
+@query("profile_describe_positive_cost")
+def q_profile_describe_positive_cost(spark, sf_dir):
+    positive = raw_tables(spark, sf_dir).products.filter(F.col("cost_cents") > 0)
+    return P.in_currency(P.describe_numeric(positive, "products", ["cost_cents"]), MONEY_NAMES)
 
 
 @query("profile_describe_text")
@@ -385,7 +417,7 @@ def q_profile_head(spark, sf_dir):
 @query("profile_negative")
 def q_profile_negative(spark, sf_dir):
     r = raw_tables(spark, sf_dir)
-    return _union([P.negative_profile(r.products, "products", "cost_cents"),
+    return _union([P.negative_profile(_shown(r.products), "products", "cost"),
                    P.negative_profile(r.orders, "orders", "quantity")])
 
 
@@ -401,7 +433,7 @@ def q_profile_zero(spark, sf_dir):
 
 @query("profile_abs_in_range")
 def q_profile_abs_in_range(spark, sf_dir):
-    return P.abs_in_range(raw_tables(spark, sf_dir).products, "sku", "cost_cents")
+    return P.abs_in_range(_shown(raw_tables(spark, sf_dir).products), "sku", "cost")
 
 
 @query("profile_inactive")
@@ -469,7 +501,8 @@ from starledger.sources.fixtures import INTAKE_AS_OF, intake_batch  # noqa: E402
 @query("constraint_violations")
 def q_constraint_violations(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return V.constraint_violations(m.customers, m.products, m.orders)
+    # as in a publish: the filled orders are written once, each check reads its own columns
+    return V.constraint_violations(m.customers, m.products, materialize(m.orders))
 
 
 # ----------------------------------------------------------------- serving
@@ -546,3 +579,13 @@ def q_intake_rejects(spark, sf_dir):
 @query("intake_strict")
 def q_intake_strict(spark, sf_dir):
     return _present_validated(_validated(spark, sf_dir, strict=True))
+
+
+@query("orders_with_appends")
+def q_orders_with_appends(spark, sf_dir):
+    """The fact as queries see it after the batch has been appended."""
+    from starledger.plans.intake_job import append_batch, fact_with_appends
+    fact = materialize(_model(spark, sf_dir).orders)
+    folder = scratch_path(spark, f"intake/{uuid.uuid4().hex}")
+    append_batch(spark, intake_batch(spark, sf_dir), "b1", fact, folder, INTAKE_AS_OF)
+    return M.present_orders(fact_with_appends(spark, fact, folder))

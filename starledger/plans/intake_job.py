@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.intake import accepted, rejected, validate
-from starledger.session import ensure_checkpoint_dir
+from starledger.session import materialize
 from starledger.sources.sinks import write_partition
 
 
@@ -45,10 +45,9 @@ def current_ids(spark: SparkSession, published_orders: DataFrame, intake_dir: st
 def append_batch(spark: SparkSession, batch: DataFrame, batch_id: str, published_orders: DataFrame,
                  intake_dir: str, as_of_date: str, customers: DataFrame | None = None,
                  products: DataFrame | None = None, strict: bool = False) -> None:
-    ensure_checkpoint_dir(spark)
     ids = current_ids(spark, published_orders, intake_dir, exclude_batch=batch_id)
     checked = validate(batch, ids, as_of_date, customers, products, strict, id_types=dict(published_orders.dtypes))
-    checked = checked.checkpoint(eager=True)  # cut lineage: written twice below
+    checked = materialize(checked)  # read by both writes below
     base = intake_dir.rstrip("/")
     for kind, frame in (("accepted", accepted(checked)), ("rejected", rejected(checked))):
         write_partition(frame, f"{base}/{kind}", "batch_id", batch_id)

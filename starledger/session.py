@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -79,10 +80,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and return a frame
-    that reads it back (lineage cut; survives the loss of executors, unlike
-    a cache or a local checkpoint). Used where one expensive intermediate
-    feeds several branches whose column pruning would otherwise stop
-    shuffle reuse."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as Parquet below the shared checkpoint folder and
+    return a frame that reads it back (lineage cut; survives the loss of
+    executors, unlike a cache or a local checkpoint). Used where one expensive
+    intermediate feeds several branches whose column pruning would otherwise
+    stop shuffle reuse; each branch reads only its own columns. The folder is
+    deleted when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"written/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return spark.read.schema(df.schema).parquet(path)

@@ -89,4 +89,19 @@ def test_broadcast_side_is_measured(spark):
                                   "kpi_panel_display", "impute_sku_mean", "impute_global_mean"])
 def test_reports_read_the_tables_themselves(spark, name):
     text = plan_text(catalog.registry()[name](spark, SF_SMALL))
-    assert "ExistingRDD" not in text and text.count("lineitem.parquet") == 1
+    assert "ExistingRDD" not in text and "/written/" not in text and text.count("lineitem.parquet") == 1
+
+
+def test_written_rows_are_read_by_column(spark):
+    """Each consumer of a written intermediate reads its own columns, and the
+    folder survives as long as the frame's session."""
+    from starledger.session import materialize
+    kept = materialize(spark.range(100).selectExpr("id AS a", "id % 7 AS b", "struct(id AS k, 'x' AS s) AS seq"))
+    text = plan_text(kept.groupBy("b").count(), "formatted")
+    assert "/written/" in text and "ReadSchema: struct<b:bigint>" in text
+    assert kept.count() == 100 and kept.where("seq.k = 5").first()["a"] == 5
+
+
+def test_top_products_writes_only_sums(spark):
+    text = plan_text(catalog.registry()["top_products"](spark, SF_SMALL), "formatted")
+    assert "TakeOrderedAndProject" in text and "lineitem.parquet" not in text and "customer_id" not in text
