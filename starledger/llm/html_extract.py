@@ -4,23 +4,35 @@ For each host the pages' token streams are turned into one union-free
 regular expression (a wrapper: tags, text slots, optional and repeated
 groups, no alternatives):
 
-1. A page is cut into tokens: block tags with class and id, and text slots;
-   inline tags, comments, scripts and styles are no tokens. Side by side
-   repeats of a group of tokens fold into one repeated group.
-2. Equal folded streams of a host are counted once (map-side first), so a
-   host with a third of all pages costs a few rows.
-3. A host's streams are aligned one after the other, the most frequent
+1. A page is cut into tokens: block tags with class and id, and texts; inline
+   tags, comments, scripts and styles are no tokens. A token's path is that of
+   its open elements.
+2. A survey of the host counts for each path its pages, characters and
+   different pages, and intersects the pages' sets of text digests (map-side
+   first, so a host with a third of all pages costs a few rows). A text that
+   every page with its path has is a fixed string, if the path has ``EVIDENCE``
+   different pages and half of the host's pages; but where the fixed strings
+   outweigh the varying text, the pages are copies of each other and tell
+   nothing, so there are none.
+3. In a page's stream a fixed string keeps its digest and every other text is
+   a slot. Side by side repeats of a group of tokens fold into one repeated
+   group; equal folded streams of a host are counted once.
+4. A host's streams are aligned one after the other, the most frequent
    first. Where wrapper and stream differ, the tokens on either side become
    optional groups; side by side repeats that this uncovers are folded again.
-   Tokens keep their path of open elements, so each slot of the wrapper knows
-   the region it stands in.
-4. A slot is main text unless an element round it is a menu, header, footer,
-   sidebar, notice, advert, form, comment section or the like. If any slot of
-   the wrapper lies in an article (or main) element, only such slots count.
-
-The wrapper's verdict for each slot is joined back to the pages of the host,
-and a page's text is read off the slots: character references decoded, white
-space within a block made one space, blocks in page order joined by one \\n.
+   A fixed string that does not align (the wrapper has it more often than any
+   stream) has no fixed place and is a slot after all; the others are the
+   template and no text of any page.
+5. A slot is main text unless an element round it is a menu, header, footer or
+   the like by tag or role, or by a word of its class or id. Against such a
+   word the host's variation decides: a region with more varying text than all
+   other slots is main text. If slots lie in an article (or main) element, only
+   such slots count, unless the others have more varying text.
+
+The wrapper's verdict for each slot and string is joined back to the pages of
+the host, and a page's text is read off the slots: character references
+decoded, white space within a block made one space, blocks in page order
+joined by one \\n.
 
 The number of different streams of a host is bounded by the site's templates,
 not by its pages; hosts with more than ``STREAMS`` are aligned in groups of
@@ -36,7 +48,10 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from difflib import SequenceMatcher
+from functools import lru_cache
+from hashlib import blake2b
 
 import pandas as pd
 import pyarrow as pa
@@ -47,6 +62,7 @@ from starledger.llm.common import batch_column, keep
 from starledger.llm.url_filter import host_path
 
 STREAMS = 512  # streams of a host aligned in one go
+EVIDENCE = 3  # different pages from which a host's variation counts
 BROADCAST_BYTES = 32 << 20  # wrappers' slots are broadcast up to this measured size
 
 # HTML's elements; fixed values of the standard.
@@ -76,15 +92,17 @@ _ODD = re.compile(r"[^a-z0-9._-]+")
 
 
 def _label(name: str, attrs: str) -> str:
-    """Tag with what tells its region: main (+), away (-) or neither."""
+    """Tag with what tells its region: main (+), away (-), away by a word
+    only (~) or neither."""
     if not attrs.strip(" /"):
         return name + ("-" if name in AWAY_TAGS else "+" if name in MAIN_TAGS else "")
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
     named = f"{found.get('class', '')} {found.get('id', '')}".strip()
     words, role = set(_WORD.findall(_WITH.sub(" ", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))), found.get("role", "").lower()
-    away = name in AWAY_TAGS or role in AWAY_ROLES or "hidden" in found or found.get("aria-hidden") == "true" or (words & AWAY_WORDS and name not in ("body", "html", *MAIN_TAGS))
+    away = name in AWAY_TAGS or role in AWAY_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
+    worded = words & AWAY_WORDS and name not in ("body", "html", *MAIN_TAGS)
     main = name in MAIN_TAGS or role in MAIN_ROLES or found.get("itemprop") == "articleBody"
-    mark = "-" if away else "+" if main else ""
+    mark = "-" if away else "~" if worded else "+" if main else ""
     named = _ODD.sub("_", re.sub(r"[0-9]+", "0", ".".join(named.lower().split())))
     return f"{name}.{named}={mark}" if named else name + mark
 
@@ -175,13 +193,38 @@ def fold(tokens: list[str]) -> list[str]:
     return tokens
 
 
-def stream(page: str) -> str:
+def _digest(text: str) -> str:
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+@lru_cache(maxsize=256)
+def _lines(joined: str | None) -> frozenset[str]:
+    return frozenset(joined.split("\n")) if joined else frozenset()
+
+
+@lru_cache(maxsize=256)
+def _string_paths(joined: str | None) -> frozenset[str]:
+    return frozenset(s.rpartition("=")[0] for s in _lines(joined))
+
+
+def string_of(path: str, text: str, strings: str | None) -> str | None:
+    """The host's string (path, ``=``, digest) that a text is, if any."""
+    if path in _string_paths(strings):
+        found = f"{path}={_digest(text)}"
+        if found in _lines(strings):
+            return found
+    return None
+
+
+def stream(page: str, strings: str | None = None) -> str:
     """A page's folded token stream, one token a line."""
-    return "\n".join(fold([path + ("#" if text else "") for path, text in read_page(page)]))
+    return "\n".join(fold([(string_of(path, text, strings) or path + "#") if text else path for path, text in read_page(page)]))
 
 
-def _plain(token: str) -> str:
-    return token.removesuffix("?").removeprefix("(").removesuffix(")+")
+def _strings(tokens: list[str]) -> Counter:
+    """How often each string stands in a list of tokens."""
+    parts = (p.rstrip("?") for token in tokens for p in re.split(r"[\t()]", token))
+    return Counter(p for p in parts if re.search(r"=[0-9a-f]{16}$", p))
 
 
 def align(wrapper: list[str], other: list[str]) -> list[str]:
@@ -208,53 +251,146 @@ def wrapper_of(streams: list[str]) -> list[str]:
     return out
 
 
-def main_slots(wrapper: list[str]) -> tuple[list[str], list[str]]:
-    """Paths of the wrapper's text slots outside of what is not the article:
-    those inside a main element, and the others."""
-    paths = {p.rstrip("?") for token in wrapper for p in re.split(r"[\t()]", token)}
-    good = {p[:-1] for p in paths if p.endswith("#") and not any(part.endswith("-") for part in p[:-1].split("/"))}
+def fixed_strings(slots: list[dict]) -> list[str]:
+    """Strings of a host that every page with their path has. ``slots``: path,
+    n (pages), chars, keys (up to ``EVIDENCE`` different pages), common (digest
+    and length of the texts that all these pages have); path "" is the page."""
+    pages = sum(s["n"] for s in slots if not s["path"])
+    fixed = [s for s in slots if s["path"] and len(s["keys"]) >= EVIDENCE and 2 * s["n"] >= pages and not _away(s["path"])]
+    constant = sum(s["n"] * c["chars"] for s in fixed for c in s["common"])
+    if 2 * constant > sum(s["chars"] for s in slots if not _away(s["path"])):
+        return []
+    return sorted(f"{s['path']}={c['digest']}" for s in fixed for c in s["common"])
+
+
+def _away(path: str) -> bool:
+    return any(part.endswith("-") for part in path.split("/"))
+
+
+def main_slots(slots: list[dict], strings: list[str]) -> tuple[list[str], list[str]]:
+    """Paths of a host's main slots: those inside a main element, and those
+    that are read where a page has none of them."""
+    lengths = {f"{s['path']}={c['digest']}": s["n"] * c["chars"] for s in slots for c in s["common"]}
+    varying = {s["path"]: s["chars"] for s in slots if s["path"] and not _away(s["path"])}
+    for string in strings:
+        varying[string.rpartition("=")[0]] -= lengths[string]
+    known = {s["path"] for s in slots if len(s["keys"]) >= EVIDENCE}
+    weigh = lambda paths: sum(varying[p] for p in paths if p in known)
+    worded: dict[str, set[str]] = {}  # outermost region that a word marks -> its paths
+    for path in varying:
+        parts = path.split("/")
+        at = next((i for i, part in enumerate(parts) if part.endswith("~")), None)
+        if at is not None:
+            worded.setdefault("/".join(parts[:at + 1]), set()).add(path)
+    good = set(varying).difference(*worded.values())
+    for paths in worded.values():
+        if weigh(paths) > sum(varying[p] for p in varying if p not in paths):
+            good |= paths
     inside = {p for p in good if any(part.endswith("+") for part in p.split("/"))}
+    if weigh(good - inside) > sum(varying[p] for p in inside):
+        inside = good
     return sorted(inside), sorted(good - inside)
 
 
+SURVEY = "host string, path string, n long, chars long, keys array<string>, common array<struct<digest:string,chars:long>>"
+
+
+def _survey(batches):
+    seen: dict[tuple, list] = {}
+    for batch in batches:
+        for host, page in zip(batch_column(batch, "host").to_pylist(), batch_column(batch, "html")):
+            slots: dict[str, list] = {}
+            whole = blake2b(digest_size=8)
+            for path, text in read_page(page.as_py()):
+                if text:
+                    digest = _digest(text)
+                    whole.update(f"{path}={digest}\n".encode())
+                    slot = slots.setdefault(path, [0, set()])
+                    slot[0] += len(text)
+                    slot[1].add((digest, len(text)))
+            key = {whole.hexdigest()}
+            slots[""] = [0, set()]
+            for path, (chars, texts) in slots.items():
+                at = seen.get((host, path))
+                if at is None:
+                    seen[host, path] = [1, chars, set(key), texts]
+                else:
+                    at[0] += 1
+                    at[1] += chars
+                    at[2] = set(sorted(at[2] | key)[:EVIDENCE])
+                    at[3] &= texts
+    rows = [{"host": host, "path": path, "n": n, "chars": chars, "keys": sorted(keys), "common": [{"digest": d, "chars": c} for d, c in sorted(common)]}
+            for (host, path), (n, chars, keys, common) in seen.items()]
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("n", pa.int64()), ("chars", pa.int64()), ("keys", pa.list_(pa.string())),
+                        ("common", pa.list_(pa.struct([("digest", pa.string()), ("chars", pa.int64())])))])
+    for i in range(0, len(rows), 4096):
+        yield pa.RecordBatch.from_pylist(rows[i:i + 4096], schema)
+
+
+def _judge(rows: pa.Table) -> pa.Table:
+    slots = rows.to_pylist()
+    strings = fixed_strings(slots)
+    inside, other = main_slots(slots, strings)
+    return pa.table({"host": [slots[0]["host"]], "strings": ["\n".join(strings)], "inside": ["\n".join(inside)], "other": ["\n".join(other)]})
+
+
+def survey(pages: DataFrame) -> DataFrame:
+    """host, strings (fixed ones), inside and other (paths of main slots);
+    lists as lines."""
+    parts = (pages.select("host", "html").mapInArrow(_survey, SURVEY).groupBy("host", "path")
+             .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.flatten(F.collect_list("keys")).alias("keys"), F.collect_list("common").alias("common")))
+    return (parts.withColumn("keys", F.slice(F.array_sort(F.array_distinct("keys")), 1, EVIDENCE))
+            .withColumn("common", F.aggregate("common", F.get("common", F.lit(0)), F.array_intersect))
+            .groupBy("host").applyInArrow(_judge, "host string, strings string, inside string, other string"))
+
+
 def _streams(batches):
     for batch in batches:
         seen: dict[tuple, int] = {}
-        for host, page in zip(batch_column(batch, "host").to_pylist(), batch_column(batch, "html")):
-            key = (host, stream(page.as_py()))
+        for host, page, strings in zip(batch_column(batch, "host").to_pylist(), batch_column(batch, "html"), batch_column(batch, "strings").to_pylist()):
+            key = (host, stream(page.as_py(), strings))
             seen[key] = seen.get(key, 0) + 1
         yield pa.record_batch([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
                                pa.array(list(seen.values()), pa.int64())], names=["host", "stream", "n"])
 
 
+def template_of(streams: list[str]) -> tuple[list[str], list[str], list[str]]:
+    """The wrapper of the streams, its strings, and those without a fixed place."""
+    wrapper, most = wrapper_of(streams), Counter()
+    for s in streams:
+        most |= _strings(s.split("\n"))
+    found = _strings(wrapper)
+    return wrapper, sorted(found), sorted(s for s, n in found.items() if n > most[s])
+
+
 def _wrap(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values(["n", "stream"], ascending=[False, True])
-    wrapper = wrapper_of(rows.stream.tolist())
-    inside, other = main_slots(wrapper)
-    return pd.DataFrame({"host": [rows.host.iloc[0]], "wrapper": ["\n".join(wrapper)], "inside": [inside], "other": [other]})
+    wrapper, found, moved = template_of(rows.stream.tolist())
+    return pd.DataFrame({"host": [rows.host.iloc[0]], "wrapper": ["\n".join(wrapper)], "found": [found], "moved": [moved]})
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (of each group of streams, lines of tokens), inside and
-    other (paths of its main slots)."""
-    counted = (pages.select("host", "html").mapInArrow(_streams, "host string, stream string, n long")
+    """host, wrapper (of each group of streams, lines of tokens) and template
+    (lines: the wrapper's strings) of pages with the host's ``strings``."""
+    counted = (pages.select("host", "html", "strings").mapInArrow(_streams, "host string, stream string, n long")
                .groupBy("host", "stream").agg(F.sum("n").alias("n")))
     parts = F.ceil(F.count("*").over(Window.partitionBy("host")) / STREAMS)
     found = (counted.withColumn("part", F.pmod(F.xxhash64("stream"), parts)).groupBy("host", "part")
-             .applyInPandas(_wrap, "host string, wrapper string, inside array<string>, other array<string>"))
-    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    return found.groupBy("host").agg(F.sort_array(F.collect_list("wrapper")).alias("wrapper"), union("inside"), union("other"))
+             .applyInPandas(_wrap, "host string, wrapper string, found array<string>, moved array<string>"))
+    union = lambda c: F.array_distinct(F.flatten(F.collect_list(c)))
+    return found.groupBy("host").agg(F.sort_array(F.collect_list("wrapper")).alias("wrapper"),
+                                     F.array_join(F.array_sort(F.array_except(union("found"), union("moved"))), "\n").alias("template"))
 
 
 def _texts(batches):
     for batch in batches:
         out = []
-        for page, inside, other in zip(batch_column(batch, "html"), batch_column(batch, "inside").to_pylist(), batch_column(batch, "other").to_pylist()):
+        for page, template, inside, other in zip(batch_column(batch, "html"), *(batch_column(batch, c).to_pylist() for c in ("template", "inside", "other"))):
             blocks = [(path, text) for path, text in read_page(page.as_py()) if text]
-            inside, other = set(inside or ()), set(other or ())
+            inside, other = _lines(inside), _lines(other)
             # a page without the host's main element is read by the other slots
             use = inside if any(path in inside for path, _ in blocks) else other
-            out.append("\n".join(text for path, text in blocks if path in use))
+            out.append("\n".join(text for path, text in blocks if path in use and not string_of(path, text, template)))
         yield pa.record_batch([batch_column(batch, "page_id"), batch_column(batch, "url"), pa.array(out, pa.string()),
                                pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
@@ -264,9 +400,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per input row: page_id, url, text, n_chars."""
     rows = (pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
             .withColumn("host", host_path(F.col("url"))[0]))
-    found = keep(wrappers(rows).select(F.col("host").alias("w_host"), "inside", "other"))
-    size = found.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
-    if size <= broadcast_bytes:  # else a shuffled join, whose hot hosts are split
-        found = F.broadcast(found)
-    return (rows.join(found, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "inside", "other")
+
+    def with_hosts(found):
+        size = found.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+        if size <= broadcast_bytes:  # else a shuffled join, whose hot hosts are split
+            found = F.broadcast(found)
+        return rows.join(found, F.col("host") == F.col("w_host"), "left")
+
+    judged = keep(survey(rows).withColumnRenamed("host", "w_host"))
+    template = wrappers(with_hosts(judged.select("w_host", "strings"))).select(F.col("host").alias("w_host"), "template")
+    found = keep(judged.join(template, "w_host", "left").select("w_host", "template", "inside", "other"))
+    return (with_hosts(found).select("page_id", "url", "html", "template", "inside", "other")
             .mapInArrow(_texts, "page_id long, url string, text string, n_chars long"))
