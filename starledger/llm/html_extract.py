@@ -28,6 +28,11 @@ groups, no alternatives):
    word the host's variation decides: a region with more varying text than all
    other slots is main text. If slots lie in an article (or main) element, only
    such slots count, unless the others have more varying text.
+6. Inside a main element a word removes no heading, paragraph or the like, and
+   a container only if more than half of its characters on the host are links
+   and form controls, or if its class says nothing but advert, sidebar,
+   pagination or comments (``FURNITURE``; also a section with id ``comments``).
+   Of formulas the shown text is read, not the annotations.
 
 The wrapper's verdict for each slot and string is joined back to the pages of
 the host, and a page's text is read off the slots: character references
@@ -62,6 +67,8 @@ from starledger.llm.common import batch_column, keep
 from starledger.llm.url_filter import host_path
 
 STREAMS = 512  # streams of a host aligned in one go
+PAGE = "/"  # in place of a path: the page as a whole
+CONTROL = 20  # link characters that a form control counts as
 EVIDENCE = 3  # different pages from which a host's variation counts
 BROADCAST_BYTES = 32 << 20  # wrappers' slots are broadcast up to this measured size
 
@@ -70,7 +77,8 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
  form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul
  head title br""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select button option canvas audio video xmp plaintext".split())
+RAW = frozenset("script style noscript template iframe object svg annotation annotation-xml textarea select button option canvas audio video xmp plaintext".split())
+CONTROLS = frozenset("input textarea select button".split())
 CLOSED_BY = {"p": BLOCK - {"br"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"},
              "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "head": {"body"}}
 AWAY_TAGS = frozenset("head title nav header footer aside form fieldset dialog menu search".split())
@@ -81,6 +89,10 @@ AWAY_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsens
  navigation menu menus breadcrumb breadcrumbs sidebar aside rail widget widgets related recommended footer foot header masthead topbar
  toolbar share sharing social comment comments commentlist disqus replies reply respond discussion form search pagination pager
  copyright legal disclaimer skip toc""".split())
+#: Classes that mark no text of an article even inside it, if nothing else but NEUTRAL words stands beside them.
+FURNITURE = frozenset("ad ads advert adverts advertisement adsense sidebar navbar breadcrumb breadcrumbs pagination pager comments commentlist disqus".split())
+NEUTRAL = frozenset("area list box block section wrap wrapper container inner outer item unit slot".split())
+CONTAINERS = frozenset("div section ul ol dl table tbody tr details figure fieldset center dir hgroup".split())
 MAIN_TAGS, MAIN_ROLES = frozenset(("article", "main")), frozenset(("article", "main"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -91,36 +103,45 @@ _WITH = re.compile(r"\b(?:has|with|no|without)[-_ ]+[a-z]+")  # "has-sidebar" ma
 _ODD = re.compile(r"[^a-z0-9._-]+")
 
 
+def _words(named: str) -> set[str]:
+    return set(_WORD.findall(_WITH.sub(" ", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower())))
+
+
 def _label(name: str, attrs: str) -> str:
     """Tag with what tells its region: main (+), away (-), away by a word
-    only (~) or neither."""
+    only (~), by a word that holds inside a main element too (^), or neither."""
     if not attrs.strip(" /"):
         return name + ("-" if name in AWAY_TAGS else "+" if name in MAIN_TAGS else "")
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
     named = f"{found.get('class', '')} {found.get('id', '')}".strip()
-    words, role = set(_WORD.findall(_WITH.sub(" ", re.sub(r"([a-z])([A-Z])", r"\1 \2", named).lower()))), found.get("role", "").lower()
+    words, role = _words(named), found.get("role", "").lower()
     away = name in AWAY_TAGS or role in AWAY_ROLES or "hidden" in found or found.get("aria-hidden") == "true"
     worded = words & AWAY_WORDS and name not in ("body", "html", *MAIN_TAGS)
     main = name in MAIN_TAGS or role in MAIN_ROLES or found.get("itemprop") == "articleBody"
-    mark = "-" if away else "~" if worded else "+" if main else ""
+    classes = _words(found.get("class", ""))
+    furniture = name in CONTAINERS and classes & FURNITURE and classes <= FURNITURE | NEUTRAL or name == "section" and found.get("id", "").lower() == "comments"
+    mark = "-" if away else "^" if worded and furniture else "~" if worded else "+" if main else ""
     named = _ODD.sub("_", re.sub(r"[0-9]+", "0", ".".join(named.lower().split())))
     return f"{name}.{named}={mark}" if named else name + mark
 
 
-def read_page(page: str) -> list[tuple[str, str]]:
-    """The page's tokens in order: (path, text). A text slot's path is that
-    of its open block elements; block boundaries have an empty text."""
-    out: list[tuple[str, str]] = []
+def read_page(page: str) -> list[tuple[str, str, int]]:
+    """The page's tokens in order: (path, text, characters of it in links). A
+    text slot's path is that of its open block elements; block boundaries and
+    form controls have an empty text."""
+    out: list[tuple[str, str, int]] = []
     stack: list[tuple[str, str]] = []  # (name, label)
     text: list[str] = []
-    path = ""
+    path, linked, depth = "", 0, -1  # depth: open blocks round the open link
 
     def flush():
+        nonlocal linked
         if text:
             block = " ".join("".join(text).split())
             text.clear()
             if block:
-                out.append((path, block))
+                out.append((path, block, min(linked, len(block))))
+        linked = 0
 
     at, end = 0, len(page)
     while at < end:
@@ -130,6 +151,8 @@ def read_page(page: str) -> list[tuple[str, str]]:
             break
         if lt > at:
             text.append(html_lib.unescape(page[at:lt]))
+            if depth >= 0:
+                linked += len(text[-1])
         m = _TOKEN.match(page, lt)
         if m is None:
             if _TAG_LIKE.match(page, lt):  # a tag with an open quote: it ends at the next ">"
@@ -143,6 +166,10 @@ def read_page(page: str) -> list[tuple[str, str]]:
         if m[2] is None:
             continue
         name = m[2].lower()
+        if name == "a":
+            depth = -1 if m[1] else len(stack)
+        elif name in CONTROLS and not m[1]:
+            out.append((path, "", CONTROL))
         if name in RAW and not m[1]:
             if not m[3].endswith("/"):
                 close = re.compile(rf"</{re.escape(name)}\s*[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -163,8 +190,10 @@ def read_page(page: str) -> list[tuple[str, str]]:
                 stack.pop()
             stack.append((name, _label(name, m[3])))
         path = "/".join(label for _, label in stack)
+        if len(stack) < depth:  # the block of an open link has ended
+            depth = -1
         if m[1] is not None and name not in VOID:
-            out.append((path, ""))
+            out.append((path, "", 0))
     flush()
     return out
 
@@ -218,7 +247,7 @@ def string_of(path: str, text: str, strings: str | None) -> str | None:
 
 def stream(page: str, strings: str | None = None) -> str:
     """A page's folded token stream, one token a line."""
-    return "\n".join(fold([(string_of(path, text, strings) or path + "#") if text else path for path, text in read_page(page)]))
+    return "\n".join(fold([(string_of(path, text, strings) or path + "#") if text else path for path, text, _ in read_page(page)]))
 
 
 def _strings(tokens: list[str]) -> Counter:
@@ -253,10 +282,10 @@ def wrapper_of(streams: list[str]) -> list[str]:
 
 def fixed_strings(slots: list[dict]) -> list[str]:
     """Strings of a host that every page with their path has. ``slots``: path,
-    n (pages), chars, keys (up to ``EVIDENCE`` different pages), common (digest
-    and length of the texts that all these pages have); path "" is the page."""
-    pages = sum(s["n"] for s in slots if not s["path"])
-    fixed = [s for s in slots if s["path"] and len(s["keys"]) >= EVIDENCE and 2 * s["n"] >= pages and not _away(s["path"])]
+    n (pages), chars, linked, keys (up to ``EVIDENCE`` different pages), common (digest
+    and length of the texts that all these pages have); path ``PAGE`` is the page."""
+    pages = sum(s["n"] for s in slots if s["path"] == PAGE)
+    fixed = [s for s in slots if s["path"] != PAGE and len(s["keys"]) >= EVIDENCE and 2 * s["n"] >= pages and not _away(s["path"])]
     constant = sum(s["n"] * c["chars"] for s in fixed for c in s["common"])
     if 2 * constant > sum(s["chars"] for s in slots if not _away(s["path"])):
         return []
@@ -268,31 +297,46 @@ def _away(path: str) -> bool:
 
 
 def main_slots(slots: list[dict], strings: list[str]) -> tuple[list[str], list[str]]:
-    """Paths of a host's main slots: those inside a main element, and those
+    """A host's main slots (path, ``#``): those inside a main element, and those
     that are read where a page has none of them."""
     lengths = {f"{s['path']}={c['digest']}": s["n"] * c["chars"] for s in slots for c in s["common"]}
-    varying = {s["path"]: s["chars"] for s in slots if s["path"] and not _away(s["path"])}
+    varying = {s["path"]: s["chars"] for s in slots if s["path"] != PAGE and not _away(s["path"])}
     for string in strings:
         varying[string.rpartition("=")[0]] -= lengths[string]
     known = {s["path"] for s in slots if len(s["keys"]) >= EVIDENCE}
     weigh = lambda paths: sum(varying[p] for p in paths if p in known)
+    linked = {s["path"]: s["linked"] for s in slots}
+    total = {s["path"]: s["chars"] for s in slots}
     worded: dict[str, set[str]] = {}  # outermost region that a word marks -> its paths
+    within: dict[str, set[str]] = {}  # region inside a main element, likewise
+    gone = set()
     for path in varying:
-        parts = path.split("/")
-        at = next((i for i, part in enumerate(parts) if part.endswith("~")), None)
-        if at is not None:
-            worded.setdefault("/".join(parts[:at + 1]), set()).add(path)
-    good = set(varying).difference(*worded.values())
+        parts, main = path.split("/"), False
+        for i, part in enumerate(parts):
+            main = main or part.endswith("+")
+            region = "/".join(parts[:i + 1])
+            if part.endswith(("~", "^")) and not main:
+                worded.setdefault(region, set()).add(path)
+                break
+            if part.endswith("^"):
+                gone.add(path)
+            elif part.endswith("~") and part.partition(".")[0] in CONTAINERS:
+                within.setdefault(region, set()).add(path)
+    dense = lambda paths: 2 * sum(linked[p] for p in paths) > sum(total[p] for p in paths)
+    gone.update(*(paths for paths in within.values() if dense(paths)))
+    good = set(varying).difference(gone, *worded.values())
     for paths in worded.values():
         if weigh(paths) > sum(varying[p] for p in varying if p not in paths):
-            good |= paths
+            good |= paths - gone
+    if not any(total[p] for p in good):  # words alone do not empty a host
+        good = set().union(*(paths for region, paths in worded.items() if not region.endswith("^") and not dense(paths))) - gone
     inside = {p for p in good if any(part.endswith("+") for part in p.split("/"))}
     if weigh(good - inside) > sum(varying[p] for p in inside):
         inside = good
-    return sorted(inside), sorted(good - inside)
+    return sorted(p + "#" for p in inside), sorted(p + "#" for p in good - inside)
 
 
-SURVEY = "host string, path string, n long, chars long, keys array<string>, common array<struct<digest:string,chars:long>>"
+SURVEY = "host string, path string, n long, chars long, linked long, keys array<string>, common array<struct<digest:string,chars:long>>"
 
 
 def _survey(batches):
@@ -301,27 +345,30 @@ def _survey(batches):
         for host, page in zip(batch_column(batch, "host").to_pylist(), batch_column(batch, "html")):
             slots: dict[str, list] = {}
             whole = blake2b(digest_size=8)
-            for path, text in read_page(page.as_py()):
+            for path, text, linked in read_page(page.as_py()):
+                if text or linked:
+                    slot = slots.setdefault(path, [0, 0, set()])
+                    slot[0] += len(text)
+                    slot[1] += linked
                 if text:
                     digest = _digest(text)
                     whole.update(f"{path}={digest}\n".encode())
-                    slot = slots.setdefault(path, [0, set()])
-                    slot[0] += len(text)
-                    slot[1].add((digest, len(text)))
+                    slot[2].add((digest, len(text)))
             key = {whole.hexdigest()}
-            slots[""] = [0, set()]
-            for path, (chars, texts) in slots.items():
+            slots[PAGE] = [0, 0, set()]
+            for path, (chars, linked, texts) in slots.items():
                 at = seen.get((host, path))
                 if at is None:
-                    seen[host, path] = [1, chars, set(key), texts]
+                    seen[host, path] = [1, chars, linked, set(key), texts]
                 else:
                     at[0] += 1
                     at[1] += chars
-                    at[2] = set(sorted(at[2] | key)[:EVIDENCE])
-                    at[3] &= texts
-    rows = [{"host": host, "path": path, "n": n, "chars": chars, "keys": sorted(keys), "common": [{"digest": d, "chars": c} for d, c in sorted(common)]}
-            for (host, path), (n, chars, keys, common) in seen.items()]
-    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("n", pa.int64()), ("chars", pa.int64()), ("keys", pa.list_(pa.string())),
+                    at[2] += linked
+                    at[3] = set(sorted(at[3] | key)[:EVIDENCE])
+                    at[4] &= texts
+    rows = [{"host": host, "path": path, "n": n, "chars": chars, "linked": linked, "keys": sorted(keys), "common": [{"digest": d, "chars": c} for d, c in sorted(common)]}
+            for (host, path), (n, chars, linked, keys, common) in seen.items()]
+    schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("n", pa.int64()), ("chars", pa.int64()), ("linked", pa.int64()), ("keys", pa.list_(pa.string())),
                         ("common", pa.list_(pa.struct([("digest", pa.string()), ("chars", pa.int64())])))])
     for i in range(0, len(rows), 4096):
         yield pa.RecordBatch.from_pylist(rows[i:i + 4096], schema)
@@ -335,10 +382,10 @@ def _judge(rows: pa.Table) -> pa.Table:
 
 
 def survey(pages: DataFrame) -> DataFrame:
-    """host, strings (fixed ones), inside and other (paths of main slots);
-    lists as lines."""
+    """host, strings (fixed ones), inside and other (main slots); lists as
+    lines."""
     parts = (pages.select("host", "html").mapInArrow(_survey, SURVEY).groupBy("host", "path")
-             .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.flatten(F.collect_list("keys")).alias("keys"), F.collect_list("common").alias("common")))
+             .agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("linked").alias("linked"), F.flatten(F.collect_list("keys")).alias("keys"), F.collect_list("common").alias("common")))
     return (parts.withColumn("keys", F.slice(F.array_sort(F.array_distinct("keys")), 1, EVIDENCE))
             .withColumn("common", F.aggregate("common", F.get("common", F.lit(0)), F.array_intersect))
             .groupBy("host").applyInArrow(_judge, "host string, strings string, inside string, other string"))
@@ -386,11 +433,11 @@ def _texts(batches):
     for batch in batches:
         out = []
         for page, template, inside, other in zip(batch_column(batch, "html"), *(batch_column(batch, c).to_pylist() for c in ("template", "inside", "other"))):
-            blocks = [(path, text) for path, text in read_page(page.as_py()) if text]
+            blocks = [(path, text) for path, text, _ in read_page(page.as_py()) if text]
             inside, other = _lines(inside), _lines(other)
             # a page without the host's main element is read by the other slots
-            use = inside if any(path in inside for path, _ in blocks) else other
-            out.append("\n".join(text for path, text in blocks if path in use and not string_of(path, text, template)))
+            use = inside if any(path + "#" in inside for path, _ in blocks) else other
+            out.append("\n".join(text for path, text in blocks if path + "#" in use and not string_of(path, text, template)))
         yield pa.record_batch([batch_column(batch, "page_id"), batch_column(batch, "url"), pa.array(out, pa.string()),
                                pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -37,3 +37,14 @@ def test_strings_without_a_place():
     x, y = "p=" + "0" * 16, "p=" + "1" * 16
     _, found, moved = html_extract.template_of([f"{x}\na#\n{y}", f"{x}\n{y}\na#\nb#"])
     assert found == [x, y] and len(moved) == 1 and html_extract.template_of([f"{x}\na#", f"{x}\nb#"])[2] == []
+
+
+def test_words_inside_an_article(lspark):
+    body = ('<article><h2 id="related-work">Related work</h2><p>One.</p><section id="discussion"><h2 id="search"><a href="#search">Search</a></h2><p class="promotion">Two <math><mi>x</mi>'
+            '<annotation>\\x</annotation></math>.</p></section><div class="post social-science">Three.</div><div class="legal news">Four <a href="/">here</a>, at some length.</div>'
+            '<div class="related"><a href="/1">Next story</a></div><div class="newsletter">Mail <input name="m"><button>Go</button></div><div class="ad">Buy</div>'
+            '<section id="comments"><p>nice!</p></section></article>')
+    want = "Related work\nOne.\nSearch\nTwo x.\nThree.\nFour here, at some length."
+    bare = '<body><div class="post social-science">Five.</div><div class="cookie-banner"><a href="/">why</a></div></body>'
+    got = texts(lspark, [("http://a/", body), ("http://b/", bare), ("http://c/", "No <b>element</b> at all")])
+    assert got == [want, "Five.", "No element at all"]
