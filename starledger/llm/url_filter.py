@@ -25,40 +25,56 @@ from pyspark.sql import functions as F
 
 from starledger.llm.common import keep, local_rows
 
-BUCKETS = 4096
-EPOCHS = 14
-L2 = 0.002
-THRESHOLD = 0.65  # block when the probability of a bad URL is above this
+BUCKETS = 16384
+EPOCHS = 30
+L2 = 0.00001
+#: Block when the probability of a bad URL is above this: 99 % of the good
+#: labelled URLs stay below it when their word or pattern is held out.
+THRESHOLD = 0.86
 
 #: The contract's rules: (verdict, host + path prefix).
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
          ("allow", "com/fr/"), ("block", "com/de/")]
 
-# The labelled table: host words a list keeper would call bad or good, put
-# into host and path patterns by rule.
-BAD_WORDS = ("casino slots poker bets betting jackpot win free-bets casino-win lottery pills cheap-pills viagra "
-             "pharma meds adult adult-x xxx porn sex escort cams spam spam-farm link-farm seo-links ads ad-server "
-             "ads-track tracker track click clicks popup banner loans payday-loans replica cheap crack warez torrent "
-             "miner phish").split()
-GOOD_WORDS = ("news times daily journal science physics history library museum school college university wiki "
-              "encyclopedia recipes kitchen garden travel weather maps health clinic city council government law "
-              "music theatre books poetry review sports football chess code software linux forum photo art design "
-              "nature forest river mountain ocean animals birds then there other nothing hand station thing order "
-              "mother father either thread north earth write honest northern region nation action motion "
-              "letter winter center master river table title").split()
-HOSTS = ("{w}.example.com", "www.{w}.example.net", "blog.{w}.example.org", "m.{w}.example.com", "{w}.example.net")
-PATHS = ("/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}", "/en/{n}/")
+# The labelled table: words a list keeper would call bad or good, written down
+# without the URLs that are to be judged, each put into hosts and into paths.
+BAD_WORDS = ("casino slots poker bets betting gambling jackpot roulette blackjack bingo wager lottery sweepstakes pills "
+             "viagra cialis pharma meds steroids diet-pills weight-loss adult xxx porn sex nude escort cams webcams hookup hentai "
+             "spam link-farm seo-links backlinks doorway ads ad-server adserver tracker tracking-pixel clicks clickbait popup "
+             "banner loans payday-loans replica counterfeit crack cracked keygen serials warez torrent torrents malware miner "
+             "phish phishing").split()
+GOOD_WORDS = ("news times daily journal magazine science physics chemistry biology mathematics astronomy geology history "
+              "philosophy language literature library museum school college university education students research wiki "
+              "encyclopedia dictionary reference recipes kitchen cooking food garden home family kids parents travel hotel "
+              "weather maps regional world europe africa asia america health medicine clinic hospital nursing dentist city "
+              "council government parliament law court police military society people religion church community charity music "
+              "theatre dance film movies television radio comics books poetry review arts gallery painting sports football "
+              "cricket tennis cycling running swimming chess games toys hobbies chess-club code software hardware internet linux "
+              "programming databases security forum photo design architecture engineering nature forest river mountain ocean "
+              "animals birds dogs fish plants flowers farming agriculture energy transport railway aviation cars boats business "
+              "jobs finance market company industry shopping clothing jewelry electronics furniture tools about contact archive "
+              "article blog post story events calendar guide help support projects team open-source annual-report").split()
+HOSTS = ("{w}.example.com", "www.{w}.example.net", "blog.{w}.example.org", "m.{w}.example.com", "my-{w}.example", "{w}-online.example.net")
+PATHS = ("/{n}", "/en/{n}", "/p/{n}.html", "/{n}/", "/a/{n}")
+#: Patterns of paths with a word; the host beside them is one of NEUTRAL for both labels.
+WORD_PATHS = ("/{w}/{n}", "/en/{w}", "/en/best-{w}-online.html", "/{n}/{w}/", "/c/{w}-{n}", "/top/free-{w}")
+NEUTRAL = ("site", "page", "web", "host", "server", "domain", "portal", "main", "zone", "hub", "net", "example")
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The default labelled table: ``url``, ``bad`` (1 or 0)."""
+    """The default labelled table: ``url``, ``bad`` (1 or 0), ``word`` and
+    ``pattern``. Every word stands in every pattern, with the same numbers and
+    neighbours, so that only words tell the labels apart."""
     rows = []
     for bad, words in ((1, BAD_WORDS), (0, GOOD_WORDS)):
-        for i, w in enumerate(words):
-            for j in range(2):
-                h, p = HOSTS[(i + 2 * j) % len(HOSTS)], PATHS[(i + j) % len(PATHS)]
-                rows.append({"url": f"https://{h.format(w=w)}{p.format(n=(i % 16 * 2977 + j * 131) % 50000)}", "bad": bad})
-    return local_rows(spark, json.dumps(rows), "url string, bad int")
+        for w in words:
+            for k, host in enumerate(HOSTS):
+                rows.append((f"{host.format(w=w)}{PATHS[k % len(PATHS)].format(n=k * 2977 + 131)}", bad, w, k))
+            for k, path in enumerate(WORD_PATHS):
+                host = HOSTS[k % len(HOSTS)].format(w=NEUTRAL[k % len(NEUTRAL)])
+                rows.append((f"{host}{path.format(w=w, n=k * 2977 + 131)}", bad, w, len(HOSTS) + k))
+    rows = [{"url": f"https://{u}", "bad": bad, "word": w, "pattern": k} for u, bad, w, k in rows]
+    return local_rows(spark, json.dumps(rows), "url string, bad int, word string, pattern int")
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -105,7 +121,7 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, epochs: int = EPOCHS, l2:
     if not n or not 0 < positive < n:
         return weights, bias
     seen, seen_bias = [1e-8] * buckets, 1e-8
-    # both labels weigh the same; the labels share their paths' numbers, so that hosts and words decide
+    # both labels weigh the same
     weight = F.when(F.col("y") > 0.5, F.lit(0.5 / positive)).otherwise(F.lit(0.5 / (n - positive)))
     for _ in range(epochs):
         g = x.select("h", "p", ((F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(weights, bias))) - F.col("y")) * weight).alias("g"))
@@ -125,6 +141,19 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, epochs: int = EPOCHS, l2:
     return weights, bias
 
 
+def held_out(labelled: DataFrame, by: str = "word", folds: int = 4) -> DataFrame:
+    """url, bad, score of the labelled URLs, each judged by weights trained
+    without any URL of its word (or pattern). ``THRESHOLD`` is set on this."""
+    part, out = F.pmod(F.xxhash64(by), F.lit(folds)), None
+    for i in range(folds):
+        weights, bias = train(labelled.where(part != i))
+        host, path = host_path(F.col("url"))
+        df = _with_features(labelled.where(part == i).select("url", "bad", host.alias("host"), path.alias("path")), BUCKETS)
+        df = df.select("url", "bad", (F.lit(1.0) / (F.lit(1.0) + F.exp(-_margin(weights, bias)))).alias("score"))
+        out = df if out is None else out.union(df)
+    return out
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest rule that fits, as struct(rule, verdict); null if none.
     A rule fits its host and the host's subdomains if the path starts with
