@@ -3,7 +3,7 @@ same clean tables as the fixture path on the same rows."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_compare import SF_SMALL
 from starledger.plans.model import clean_model
 from starledger.sources.csv import load_raw_csv
 from starledger.sources.fixtures import raw_tables

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_compare import SF_SMALL
 from starledger.plans import etl
 from starledger.plans.intake_job import append_batch, current_ids, fact_with_appends
 from starledger.sources import csv as S

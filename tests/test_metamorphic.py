@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_compare import SF_SMALL
 from starledger.operators import kpis as K
 from starledger.operators import profile as P
 from starledger.plans.model import clean_model

@@ -5,8 +5,7 @@ import pytest
 import __spark_entry__ as E
 from starledger.oracle import ORACLE
 from starledger.plans import catalog
-from conftest import SF_SMALL
-from oracle_compare import duck, rows_of
+from oracle_compare import SF_SMALL, duck, rows_of
 
 NAMES = sorted(catalog.registry())
 

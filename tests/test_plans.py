@@ -6,7 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from oracle_compare import SF_SMALL
 from starledger.plans import catalog
 from starledger.operators.clean import dedup_customers, dedup_orders
 from starledger.sources.fixtures import raw_tables
