@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starledger.llm import decontam, html_extract, mixing, quality, simhash, suffix_dedup, token_count, topk, url_filter, warc
+from starledger.llm import (
+    decontam, divergence, fingerprint, html_extract, mixing, periodic_runs, quality, simhash, suffix_dedup, token_count, topk, url_filter, warc,
+)
 from starledger.llm.common import read_table, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +85,22 @@ def op10(spark, sf_dir):
     return topk.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
+@_query("op11_divergence")
+def op11(spark, sf_dir):
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+@_query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    found = periodic_runs.periodic_runs(read_table(spark, sf_dir, "documents"), edit=periodic_runs.planted)
+    return periodic_runs.digests(found)
+
+
+@_query("op13_fingerprint")
+def op13(spark, sf_dir):
+    return fingerprint.digests(fingerprint.edited_fingerprints(read_table(spark, sf_dir, "documents")))
+
+
 @_query("pipeline")
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
@@ -128,4 +146,27 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id AS vec_id,
       FROM x AS q JOIN x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
+    "op11_divergence": """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM d),
+kept AS (SELECT lang, t, count(*) AS lc FROM w GROUP BY lang, t HAVING count(DISTINCT r) >= 30),
+l AS (SELECT lang, count(*) AS v, CAST(sum(lc) AS HUGEINT) AS n FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, t, count(*) AS gc FROM w GROUP BY ALL),
+gt AS (SELECT g.lang, g.source, k.t, coalesce(c.gc, 0) AS gc, k.lc
+       FROM g JOIN kept AS k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.t = k.t),
+p AS (SELECT gt.lang, gt.source, gt.t, gc,
+             1 + (CAST(1000000000 AS HUGEINT) * (gc + 5)) // (CAST(sum(gc) OVER (PARTITION BY gt.lang, gt.source) AS HUGEINT) + 5 * v) AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (lc + 5)) // (n + 5 * v) AS q
+      FROM gt JOIN l ON l.lang = gt.lang),
+f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum(abs(a.p - b.p)) AS BIGINT) AS value
+      FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0) AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+u AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+      UNION ALL SELECT lang, source, 'term', t, CAST(p - q AS BIGINT) FROM p WHERE gc > 0 AND p > q)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 50""",
 }
