@@ -1,10 +1,11 @@
 """Table constraints as a check job (V1-V4).
 
-One output row per (tabla, regla, violaciones, fatal). NOT NULL and CHECK
-counts come from one aggregate per table; primary keys from a partially
-aggregated group-by; foreign keys from a left anti join against the
-dimension's keys. CHECK follows SQL: a NULL operand does not violate it.
-Foreign keys are reported, not fatal, and a NULL foreign key is allowed.
+One output row per (tabla, regla, violaciones, fatal). Each table is read in
+one pass: NOT NULL and CHECK counters ride on a partially aggregated group-by
+of the primary key, and a table's foreign keys are further grouping sets of the
+same group-by, looked up in the dimensions' keys. CHECK follows SQL: a NULL
+operand does not violate it. Foreign keys are reported, not fatal, and a NULL
+foreign key is allowed.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starledger.operators.joins import broadcast_if_small
+
 # The declared constraints of the published tables.
 NOT_NULL = {
     "customers": ["name", "country", "segment", "created_at"],
@@ -30,46 +33,50 @@ def _checks_only(name: str) -> list:
     return [(label, F.expr(label)) for label in CHECKS.get(name, [])]
 
 
-def table_violations(df: DataFrame, name: str) -> DataFrame:
-    """V1 + V2 + V3 for one table in one pass.
+def table_violations(df: DataFrame, name: str, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """V1-V4 for one table in one pass.
 
     Rows are grouped by the primary key with every NOT NULL / CHECK counter
     carried along (map-side partial aggregation), then summed. Key
     duplicates are ``sum(rows - 1)`` over non-NULL keys: like the reference's
-    SQL store, a NULL key is not a duplicate."""
+    SQL store, a NULL key is not a duplicate. Of each foreign key whose parent
+    is among ``parents``, a grouping set counts the rows per value; those
+    counts, not the rows, meet the parents' keys (broadcast when they fit),
+    and counts of non-NULL values without a parent are violations."""
     key = PRIMARY_KEYS[name]
+    foreign = [(column, parent) for child, column, parent in FOREIGN_KEYS if child == name and parent in (parents or {})]
+    keys = [key, *[column for column, _ in foreign]]
     counters = [(f"not null {c}", F.col(c).isNull()) for c in NOT_NULL.get(name, [])]
     counters += [(f"check {label}", ~F.coalesce(cond, F.lit(True))) for label, cond in _checks_only(name)]
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(counters)])
-    totals = per_key.agg(
-        *[F.sum(f"_c{i}").alias(label) for i, (label, _) in enumerate(counters)],
-        F.sum(F.when(F.col(key).isNotNull(), F.col("_n") - 1).otherwise(F.lit(0)))
-         .alias(f"primary key {key}"))
+    flagged = df.select(*keys, *[F.when(cond, 1).otherwise(0).alias(f"_c{i}") for i, (_, cond) in enumerate(counters)])
+    sets = flagged.groupingSets([[k] for k in keys], *keys).agg(
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"), *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(counters))])
+    every = (1 << len(keys)) - 1  # grouping_id has a bit for each column that is not in the set
+    gid = [every ^ (1 << (len(keys) - 1 - i)) for i in range(len(keys))]
+    # The primary key's groups become one row; one row per foreign key value stays.
+    value = F.lit(None).cast("string")
+    for i, (column, _) in enumerate(foreign, 1):
+        value = F.when(F.col("_gid") == gid[i], F.col(column).cast("string")).otherwise(value)
+    extra = F.when(F.col(key).isNotNull(), F.col("_n") - 1)
+    small = sets.groupBy("_gid", value.alias("_value")).agg(
+        F.sum("_n").alias("_n"), F.sum(extra).alias("_extra"), *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(counters))])
+    own = F.col("_gid") == gid[0]
+    sums = [F.sum(F.when(own, F.col(f"_c{i}"))).alias(label) for i, (label, _) in enumerate(counters)]
+    sums.append(F.sum(F.when(own, F.col("_extra"))).alias(f"primary key {key}"))
     labels = [label for label, _ in counters] + [f"primary key {key}"]
-    return totals.unpivot([], labels, "regla", "violaciones").select(
+    known = None
+    for i, (column, parent) in enumerate(foreign, 1):
+        pk = F.col(PRIMARY_KEYS[parent])
+        part = parents[parent].filter(pk.isNotNull()).select(F.lit(gid[i]).cast("bigint").alias("_kgid"), pk.cast("string").alias("_known")).distinct()
+        known = part if known is None else known.unionByName(part)
+        labels.append(f"foreign key {column} -> {parent}")
+        sums.append(F.sum(F.when((F.col("_gid") == gid[i]) & F.col("_value").isNotNull() & F.col("_known").isNull(), F.col("_n"))).alias(labels[-1]))
+    if known is not None:
+        small = small.join(broadcast_if_small(known), (F.col("_gid") == F.col("_kgid")) & (F.col("_value") == F.col("_known")), "left")
+    return small.agg(*sums).unpivot([], labels, "regla", "violaciones").select(
         F.lit(name).alias("tabla"), "regla",
         F.coalesce(F.col("violaciones"), F.lit(0)).cast("bigint").alias("violaciones"),
-        F.lit(True).alias("fatal"))
-
-
-def foreign_key_violations(child: DataFrame, child_name: str, column: str,
-                           parent: DataFrame, parent_name: str) -> DataFrame:
-    """V4: child rows whose non-NULL key is missing from the parent.
-
-    The child is counted per key value first (partial aggregation: one row
-    per key and task), so only those counts, not the fact's rows, are
-    shuffled and anti-joined to the parent's keys."""
-    keys = parent.select(F.col(PRIMARY_KEYS[parent_name]).alias("_pk")).filter(
-        F.col("_pk").isNotNull()).distinct()
-    per_key = child.filter(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count(F.lit(1)).alias("_n"))
-    missing = per_key.join(keys, per_key[column] == keys["_pk"], "left_anti")
-    return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violaciones")).select(
-        F.lit(child_name).alias("tabla"),
-        F.lit(f"foreign key {column} -> {parent_name}").alias("regla"),
-        "violaciones", F.lit(False).alias("fatal"))
+        (~F.startswith(F.col("regla"), F.lit("foreign key"))).alias("fatal"))
 
 
 def constraint_violations(customers: DataFrame, products: DataFrame, orders: DataFrame) -> DataFrame:
@@ -77,9 +84,6 @@ def constraint_violations(customers: DataFrame, products: DataFrame, orders: Dat
     tables = {"customers": customers, "products": products, "orders": orders}
     out = None
     for name, df in tables.items():
-        part = table_violations(df, name)
+        part = table_violations(df, name, tables)
         out = part if out is None else out.unionByName(part)
-    for child, column, parent in FOREIGN_KEYS:
-        out = out.unionByName(foreign_key_violations(tables[child], child, column,
-                                                     tables[parent], parent))
     return out

@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starledger.functions.text import strip_space
+from starledger.functions.text import blank_to_null
 from starledger.operators.dedup import keep_first
-from starledger.operators.joins import fits_broadcast
+from starledger.operators.joins import broadcast_if_small, fits_broadcast
 from starledger.schemas import CHANNELS
 from starledger.session import materialize
 
@@ -41,11 +41,6 @@ MSG_CHANNEL = "Canal inválido"
 ORDER_ID_PATTERN = r"^O[0-9]{6}$"
 
 
-def _blank_to_null(c: Column) -> Column:
-    s = strip_space(c)
-    return F.when(s == "", F.lit(None).cast("string")).otherwise(s)
-
-
 def form_day(c: Column) -> Column:
     """A submitted date: year, month and day, the last two with or without a
     leading zero."""
@@ -60,15 +55,15 @@ def typed(batch: DataFrame, id_types: dict[str, str] | None = None) -> DataFrame
 
     Keeps the trimmed texts (blank as NULL) that the rules need."""
     types = id_types or {}
-    customer, sku = _blank_to_null(F.col("customer_id")), _blank_to_null(F.col("sku"))
-    price = _blank_to_null(F.col("unit_price")).try_cast("double")
-    date_text = _blank_to_null(F.col("order_date"))
+    customer, sku = blank_to_null(F.col("customer_id")), blank_to_null(F.col("sku"))
+    price = blank_to_null(F.col("unit_price")).try_cast("double")
+    date_text = blank_to_null(F.col("order_date"))
     return batch.select(
-        _blank_to_null(F.col("order_id")).alias("order_id"),
+        blank_to_null(F.col("order_id")).alias("order_id"),
         customer.alias("_customer_text"), sku.alias("_sku_text"),
         customer.try_cast(types.get("customer_id", "string")).alias("customer_id"),
         sku.try_cast(types.get("sku", "string")).alias("sku"),
-        _blank_to_null(F.col("quantity")).try_cast("int").alias("quantity"),
+        blank_to_null(F.col("quantity")).try_cast("int").alias("quantity"),
         F.rint(price * 100).try_cast("bigint").alias("price_cents"),
         date_text.alias("_date_text"), form_day(date_text).alias("order_date"),
         F.col("channel"), F.col("seq"))
@@ -107,6 +102,24 @@ def strict_errors(customers: DataFrame, products: DataFrame) -> tuple[list[Colum
     return rules, [(known, "customer_id", "_kc_id"), (active, "sku", "_ap_sku")]
 
 
+def with_row_errors(batch: DataFrame, as_of_date: str, customers: DataFrame | None = None, products: DataFrame | None = None,
+                    strict: bool = False, id_types: dict[str, str] | None = None) -> DataFrame:
+    """The typed rows with ``_row_errors``, the messages of all
+    rules that look at one row alone ('' if none). Works on a stream too."""
+    t = typed(batch, id_types)
+    rules = row_errors(as_of_date)
+    if strict:
+        if customers is None or products is None:
+            raise ValueError("strict intake needs customers and products")
+        extra, lookups = strict_errors(customers, products)
+        for lookup, col, key in lookups:
+            lookup = broadcast_if_small(lookup)
+            t = t.join(lookup, t[col] == lookup[key].cast(t.schema[col].dataType), "left").drop(key)
+        rules = rules[:1] + extra + rules[1:]
+    return t.select("order_id", "customer_id", "sku", "quantity", "price_cents", "order_date",
+                    "channel", "seq", F.concat_ws(" | ", *rules).alias("_row_errors"))
+
+
 def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
              customers: DataFrame | None = None, products: DataFrame | None = None,
              strict: bool = False, id_types: dict[str, str] | None = None) -> DataFrame:
@@ -119,19 +132,10 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
     first position per id (limited before the shuffle) is joined back on
     (id, seq), so a hot id never lands in a single task.
     """
-    t = typed(batch, id_types if id_types is not None else dict(facts.dtypes))
-    rules = row_errors(as_of_date)
-    if strict:
-        if customers is None or products is None:
-            raise ValueError("strict intake needs customers and products")
-        extra, lookups = strict_errors(customers, products)
-        for lookup, col, key in lookups:
-            t = t.join(lookup, t[col] == lookup[key].cast(t.schema[col].dataType), "left").drop(key)
-        rules = rules[:1] + extra + rules[1:]
+    types = id_types if id_types is not None else dict(facts.dtypes)
     # The typed batch feeds two branches (first positions, join back); it is
     # written once to the checkpoint folder instead of derived twice.
-    t = materialize(t.select("order_id", "customer_id", "sku", "quantity", "price_cents", "order_date",
-                             "channel", "seq", F.concat_ws(" | ", *rules).alias("_row_errors")))
+    t = materialize(with_row_errors(batch, as_of_date, customers, products, strict, types))
     # First submission of each id among the rows without errors, flagged when
     # the fact already has the id.
     firsts = keep_first(t.filter(F.col("_row_errors") == "").select("order_id", "seq"), ["order_id"]).select(

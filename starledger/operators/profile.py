@@ -230,6 +230,34 @@ def describe_numeric(df: DataFrame, table: str, columns: Sequence[str]) -> DataF
         F.lit(table).alias("tabla"), "campo", "count", *value_cols)
 
 
+def approximate_quantiles(df: DataFrame, table: str, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75),
+                          accuracy: int = 10_000) -> DataFrame:
+    """P9's option for columns whose distinct values are too many to count:
+    tabla, campo, q, valor, filas, error_rango, limite_rango.
+
+    ``percentile_approx`` keeps a digest of about ``accuracy`` entries a column
+    (merged over tasks) and states a rank error of at most rows / accuracy
+    (plus one, for whole ranks). A second pass counts the rows below and up to each
+    value, so ``error_rango`` is the true distance of q * rows from the ranks
+    that the value holds.
+    """
+    probs = list(probs)
+    digest = df.agg(F.struct(*[F.percentile_approx(F.col(c).cast("bigint"), probs, accuracy).alias(c) for c in columns]).alias("v")).scalar()
+    at = [(c, i, digest.getField(c).getItem(i)) for c in columns for i in range(len(probs))]
+    counted = df.agg(*[F.count(c).alias(f"n_{c}") for c in columns],
+                     *[F.count_if(F.col(c) < v).alias(f"below_{c}_{i}") for c, i, v in at],
+                     *[F.count_if(F.col(c) <= v).alias(f"upto_{c}_{i}") for c, i, v in at],
+                     *[F.max(v).alias(f"v_{c}_{i}") for c, i, v in at])
+    rows = F.array(*[F.struct(F.lit(c).alias("campo"), F.lit(float(probs[i])).alias("q"), F.col(f"v_{c}_{i}").alias("valor"),
+                              F.col(f"n_{c}").alias("filas"), F.col(f"below_{c}_{i}").alias("below"), F.col(f"upto_{c}_{i}").alias("upto"))
+                     for c, i, _ in at])
+    rank = F.col("q") * F.col("filas")
+    return counted.select(F.inline(rows)).select(
+        F.lit(table).alias("tabla"), "campo", "q", "valor", "filas",
+        F.greatest(F.col("below") - rank, rank - F.col("upto"), F.lit(0.0)).alias("error_rango"),
+        (F.col("filas") / F.lit(accuracy) + 1).alias("limite_rango"))
+
+
 def describe_text(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """P10: count, unique, top, freq of text columns (top ties: smallest value).
 

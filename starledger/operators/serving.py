@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starledger.functions.money import to_money
+from starledger.operators.ids import order_id_of, order_number
 from starledger.operators.kpis import kpi_panel, kpi_total_margin
 
 
@@ -81,7 +82,5 @@ def next_order_id(orders: DataFrame) -> DataFrame:
 
     Takes the numeric maximum of ids shaped ``O<digits>`` (a lexical maximum
     goes wrong past O999999)."""
-    digits = F.regexp_extract(F.col("order_id"), r"^O([0-9]+)$", 1)
-    num = F.when(digits != "", digits.try_cast("bigint"))
-    return orders.agg(F.max(num).alias("_m")).select(
-        F.format_string("O%06d", F.coalesce(F.col("_m"), F.lit(0)) + 1).alias("next_order_id"))
+    return orders.agg(F.max(order_number(F.col("order_id"))).alias("_m")).select(
+        order_id_of(F.coalesce(F.col("_m"), F.lit(0)) + 1).alias("next_order_id"))

@@ -7,6 +7,9 @@ units times the sku's rounded mean, plus the units of skus without a mean
 times the rounded mean of all, which is known once every sku has been summed.
 One aggregation of the fact answers each report; nothing is written.
 
+Each report takes the surviving rows or the stored ``states`` of any number of
+disjoint parts of them (``plans/refresh.py``).
+
 ``order_survivors`` keeps one row per order id, so a plain count of ids equals
 ``COUNT(DISTINCT order_id)`` (a NULL id is not counted by either).
 """
@@ -26,16 +29,44 @@ from starledger.schemas import NO_CATEGORY_LABEL
 from starledger.session import materialize
 
 
-def _per_sku(survivors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per sku (and ``by``): counts, units and sums, with the sku's mean. With
-    ``by`` the mean is summed over the sku's groups: as many rows as ``by``
-    has values, whatever the sku's share of the fact."""
+#: Additive columns of ``partial_sums``: states of disjoint rows merge by sum.
+SUMS = ["rows", "priced", "orders", "price_sum", "units", "unpriced_units", "known_sales"]
+
+
+def partial_sums(survivors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per sku (and ``by``): counts, units and sums."""
     units, unpriced = wide(F.col("quantity")), F.col("price_cents").isNull()
-    stats = survivors.groupBy("sku", *by).agg(
+    return survivors.groupBy("sku", *by).agg(
         F.count(F.lit(1)).alias("rows"), F.count("price_cents").alias("priced"),
         F.count("order_id").alias("orders"), F.sum(exact_price(survivors)).alias("price_sum"),
         F.sum(units).alias("units"), F.sum(F.when(unpriced, units)).alias("unpriced_units"),
         F.sum(wide(F.col("quantity").cast("bigint") * F.rint("price_cents").cast("bigint"))).alias("known_sales"))
+
+
+def merge_sums(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """States of disjoint rows as one state per sku (and ``by``)."""
+    return states.groupBy("sku", *by).agg(*[F.sum(c).alias(c) for c in SUMS])
+
+
+def with_month(survivors: DataFrame) -> DataFrame:
+    return survivors.withColumn("mes", F.date_format("order_date", "yyyy-MM"))
+
+
+def with_channel(survivors: DataFrame) -> DataFrame:
+    return survivors.withColumn("canal", normalize_channel(F.col("channel")))
+
+
+def states(survivors: DataFrame) -> DataFrame:
+    """The mergeable state that answers every report of this module: sums per
+    sku, month and channel."""
+    return partial_sums(with_channel(with_month(survivors)), ["mes", "canal"])
+
+
+def _per_sku(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``partial_sums`` of survivors, or of stored ``states`` merged, with the
+    sku's mean. With ``by`` the mean is summed over the sku's groups: as many
+    rows as ``by`` has values, whatever the sku's share of the fact."""
+    stats = merge_sums(rows, by) if "known_sales" in rows.columns else partial_sums(rows, by)
     total, priced = F.sum("price_sum"), F.sum("priced")
     if by:
         w = Window.partitionBy("sku")
@@ -85,6 +116,11 @@ def _with_products(survivors: DataFrame, products: DataFrame) -> DataFrame:
     return per_sku.join(p, per_sku["sku"] == p["_p_sku"], "left")
 
 
+def order_count(survivors: DataFrame) -> DataFrame:
+    """K3."""
+    return _summed(_per_sku(survivors)).select(F.coalesce(F.col("orders"), F.lit(0)).cast("bigint").alias("numero_pedidos"))
+
+
 def total_sales(survivors: DataFrame) -> DataFrame:
     """K1."""
     return _totals(survivors).select(to_money(F.col("sales_cents")).alias("ventas_totales"))
@@ -127,7 +163,7 @@ def panel_display(survivors: DataFrame, products: DataFrame) -> DataFrame:
 
 def by_month(survivors: DataFrame) -> DataFrame:
     """G1."""
-    months = survivors.withColumn("mes", F.date_format("order_date", "yyyy-MM"))
+    months = survivors if "mes" in survivors.columns else with_month(survivors)
     return _close(_summed(_per_sku(months, ["mes"]), ["mes"])).select(
         "mes", to_money(F.col("sales_cents")).alias("ventas"), F.col("orders").alias("pedidos")).orderBy(
         F.col("mes").asc_nulls_first())
@@ -135,7 +171,7 @@ def by_month(survivors: DataFrame) -> DataFrame:
 
 def by_channel(survivors: DataFrame) -> DataFrame:
     """Ticket per line."""
-    channels = survivors.withColumn("canal", normalize_channel(F.col("channel")))
+    channels = survivors if "canal" in survivors.columns else with_channel(survivors)
     return _close(_summed(_per_sku(channels, ["canal"]), ["canal"])).select(
         "canal", to_money(F.col("sales_cents")).alias("ventas"), F.col("orders").alias("pedidos"),
         ticket(F.col("sales_cents"), F.col("rows")).alias("ticket_promedio")).orderBy(

@@ -727,6 +727,7 @@ FROM (
 
 CTES["intake_validated_v"] = _validated_sql(_ROW_RULES)
 oracle("intake_validated", "SELECT * FROM intake_validated_v")
+oracle("intake_indexed", "SELECT * FROM intake_validated_v")
 oracle("intake_accepted", """
 SELECT order_id, customer_id, sku, quantity, unit_price, order_date, channel FROM intake_validated_v
 WHERE estado = 'aceptado'
@@ -739,3 +740,56 @@ WHERE estado = 'aceptado'
 """)
 oracle("intake_rejects", "SELECT order_id, clave, copia, errores FROM intake_validated_v WHERE estado = 'rechazado'")
 oracle("intake_strict", _validated_sql(_ROW_RULES[:1] + _STRICT_RULES + _ROW_RULES[1:]))
+
+
+# ----------------------------------------------------------------- refresh
+def _arriving(sql: str) -> str:
+    """A query over the orders of three files in order of arrival."""
+    first = "PARTITION BY order_id ORDER BY seq) = 1"
+    assert first in sql
+    return sql.replace(first, "PARTITION BY order_id ORDER BY (CAST(substr(order_id, 2) AS BIGINT) + seq) % 3, seq) = 1")
+
+
+ORACLE["refreshed_orders"] = _arriving(ORACLE["clean_orders"])
+ORACLE["refreshed_by_month"] = _arriving(ORACLE["sales_by_month"])
+ORACLE["refreshed_by_channel"] = _arriving(ORACLE["sales_by_channel"])
+ORACLE["refreshed_by_category"] = _arriving(ORACLE["margin_by_category"])
+ORACLE["refreshed_kpis"] = _arriving(f"""
+SELECT a.ventas_totales, b.margen_total, c.numero_pedidos, d.ticket_promedio,
+       e.ventas_totales AS panel_ventas, e.num_pedidos AS panel_pedidos, e.ticket_promedio AS panel_ticket
+FROM ({ORACLE['kpi_total_sales']}) a, ({ORACLE['kpi_total_margin']}) b, ({ORACLE['kpi_order_count']}) c,
+     ({ORACLE['kpi_avg_ticket']}) d, ({ORACLE['kpi_panel']}) e
+""")
+
+# ----------------------------------------------- by month, catalogue, bulk ids
+ORACLE["recent_orders_by_month"] = ORACLE["recent_orders"]
+ORACLE["dim_date_range_by_month"] = ORACLE["dim_date_range"]
+ORACLE["published_enriched"] = ORACLE["orders_enriched"]
+oracle("bulk_order_ids", """
+SELECT printf('O%06d', (SELECT coalesce(max(TRY_CAST(regexp_extract(order_id, '^O([0-9]+)$', 1) AS BIGINT)), 0) FROM orders_clean)
+                       + row_number() OVER (ORDER BY clave, copia)) AS order_id, clave, copia
+FROM intake_batch
+""")
+
+# ------------------------------------------------- inferred types, approximate
+_NUMERIC = {"orders": ["quantity", "price_cents"], "products": ["cost_cents"]}
+oracle("profile_describe_approx", " UNION ALL ".join(
+    f"SELECT '{t}' AS tabla, '{c}' AS campo, CAST({q} AS DOUBLE) AS q, count({c}) AS filas, true AS dentro_del_limite FROM {t}_raw"
+    for t, cols in _NUMERIC.items() for c in cols for q in (0.25, 0.5, 0.75)))
+
+
+def _inferred(table: str, column: str, shown: str) -> str:
+    tests = [("integer", "regexp_full_match(x, '[+-]?[0-9]+')"),
+             ("float", r"regexp_full_match(x, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')"),
+             ("boolean", "x IN ('true', 'True', 'TRUE', 'false', 'False', 'FALSE')"),
+             ("date", "regexp_full_match(x, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_strptime(x, '%Y-%m-%d') IS NOT NULL")]
+    cases = " ".join(f"WHEN bool_and({test}) THEN '{name}'" for name, test in tests)
+    return (f"SELECT '{table}' AS tabla, '{column}' AS columna, CASE WHEN count(x) = 0 THEN 'all-null' {cases} ELSE 'text' END AS tipo, "
+            f"count(x) AS filas_con_valor FROM (SELECT CAST({shown} AS VARCHAR) AS x FROM {table}_raw)")
+
+
+_SHOWN = {"customers": ["customer_id", "name", "country", "segment", "created_at"], "products": ["sku", "category", "cost_cents", "active"],
+          "orders": ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel"]}
+_MONEY = {"price_cents": "unit_price", "cost_cents": "cost"}
+oracle("profile_inferred_types", " UNION ALL ".join(
+    _inferred(t, _MONEY.get(c, c), money(c) if c in _MONEY else c) for t, cols in _SHOWN.items() for c in cols))

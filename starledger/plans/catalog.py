@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.functions.money import to_money
-from starledger.functions.text import normalize_channel
+from starledger.functions.text import blank_to_null, normalize_channel
 from starledger.operators import clean as C
 from starledger.operators import kpis as K
 from starledger.operators import totals as S
 from starledger.plans import model as M
+from starledger.plans import refresh as R
 from starledger.session import materialize, scratch_path
 from starledger.sources.fixtures import raw_tables
 
@@ -258,6 +259,54 @@ def q_d4(spark, sf_dir):
     return K.dim_date_range(_model(spark, sf_dir).unpriced_orders)
 
 
+# ----------------------------------------------------------------- refresh
+def _arrived(spark, sf_dir):
+    """The raw orders as three files that arrive one after the other (an
+    order id's copies in different files), taken into a new state; the
+    states of the first two are merged before the third arrives."""
+    raw = materialize(raw_tables(spark, sf_dir).orders)
+    state = scratch_path(spark, f"refresh/{uuid.uuid4().hex}")
+    arrival = (F.substring("order_id", 2, 20).cast("bigint") + F.col("seq")) % 3
+    for i in range(3):
+        if i == 2:
+            R.compact(spark, state)
+        R.arrive(spark, raw.filter(arrival == i), state, f"file-{i}")
+    return state
+
+
+@query("refreshed_orders")
+def q_refreshed_orders(spark, sf_dir):
+    return M.present_orders(R.refreshed_orders(spark, _arrived(spark, sf_dir)))
+
+
+@query("refreshed_kpis")
+def q_refreshed_kpis(spark, sf_dir):
+    """K1-K5 from the stored states, one row."""
+    state, products = R.totals_state(spark, _arrived(spark, sf_dir)), _model(spark, sf_dir).products
+    parts = [S.total_sales(state), S.total_margin(state, products), S.order_count(state), S.average_ticket(state).select("ticket_promedio"),
+             S.panel(state).select(F.col("ventas_totales").alias("panel_ventas"), F.col("num_pedidos").alias("panel_pedidos"),
+                                   F.col("ticket_promedio").alias("panel_ticket"))]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part, allowMissingColumns=True)
+    return merged.agg(*[F.max(c).alias(c) for c in merged.columns])
+
+
+@query("refreshed_by_month")
+def q_refreshed_by_month(spark, sf_dir):
+    return S.by_month(R.totals_state(spark, _arrived(spark, sf_dir)))
+
+
+@query("refreshed_by_channel")
+def q_refreshed_by_channel(spark, sf_dir):
+    return S.by_channel(R.totals_state(spark, _arrived(spark, sf_dir)))
+
+
+@query("refreshed_by_category")
+def q_refreshed_by_category(spark, sf_dir):
+    return S.by_category(R.totals_state(spark, _arrived(spark, sf_dir)), _model(spark, sf_dir).products)
+
+
 # ----------------------------------------------------------------- profile
 from starledger.operators import profile as P  # noqa: E402
 
@@ -409,6 +458,22 @@ def q_profile_describe_text(spark, sf_dir):
     return P.describe_text(raw_tables(spark, sf_dir).customers, "customers", CUSTOMER_TEXT)
 
 
+@query("profile_describe_approx")
+def q_profile_describe_approx(spark, sf_dir):
+    """P9 with the digest: whether each quartile is within the stated rank error."""
+    raw = _raw_by_name(spark, sf_dir)
+    found = _union([P.approximate_quantiles(raw[t], t, cols) for t, cols in RAW_NUMERIC.items()])
+    return found.select("tabla", "campo", "q", "filas", (F.col("error_rango") <= F.col("limite_rango")).alias("dentro_del_limite"))
+
+
+@query("profile_inferred_types")
+def q_profile_inferred_types(spark, sf_dir):
+    """P11 over the raw tables as text, as a reader without types sees them."""
+    from starledger.operators.infer import infer_types
+    shown = {t: _shown(df).drop("seq") for t, df in _raw_by_name(spark, sf_dir).items()}
+    return _union([infer_types(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), t) for t, df in shown.items()])
+
+
 @query("profile_head")
 def q_profile_head(spark, sf_dir):
     return P.head(_shown(raw_tables(spark, sf_dir).orders), ["order_id", "seq"], 5)
@@ -501,8 +566,7 @@ from starledger.sources.fixtures import INTAKE_AS_OF, intake_batch  # noqa: E402
 @query("constraint_violations")
 def q_constraint_violations(spark, sf_dir):
     m = _model(spark, sf_dir)
-    # as in a publish: the filled orders are written once, each check reads its own columns
-    return V.constraint_violations(m.customers, m.products, materialize(m.orders))
+    return V.constraint_violations(m.customers, m.products, m.orders)  # each table is read once
 
 
 # ----------------------------------------------------------------- serving
@@ -539,6 +603,48 @@ def q_kpi_panel_display(spark, sf_dir):
     return S.panel_display(m.survivors, m.products)
 
 
+def _by_month(spark, sf_dir):
+    """The clean orders published by month; the folder of the run."""
+    from starledger.sources.months import write_by_month
+    path = scratch_path(spark, f"months/{uuid.uuid4().hex}")
+    write_by_month(_model(spark, sf_dir).orders, path, "r1")
+    return path
+
+
+@query("recent_orders_by_month")
+def q_recent_orders_by_month(spark, sf_dir):
+    """A4 from the newest months alone."""
+    from starledger.sources.months import newest
+    m = _model(spark, sf_dir)
+    return A.recent_orders(newest(spark, _by_month(spark, sf_dir), "r1", 20), m.customers, m.products)
+
+
+@query("dim_date_range_by_month")
+def q_dim_date_range_by_month(spark, sf_dir):
+    """D4 from the first and the last month."""
+    from starledger.sources.months import date_range
+    return date_range(spark, _by_month(spark, sf_dir), "r1")
+
+
+@query("published_enriched")
+def q_published_enriched(spark, sf_dir):
+    """S6 + S7: the run's tables saved in the catalogue, the view read by name."""
+    from starledger.sources.metastore import create_database, publish_tables
+    m, database = _model(spark, sf_dir), f"starledger_{uuid.uuid4().hex[:12]}"
+    create_database(spark, database, scratch_path(spark, f"catalogue/{database}"))
+    publish_tables(spark, {"customers": m.customers, "products": m.products, "orders": m.orders}, database, "r1")
+    return spark.table(f"{database}.v_orders_enriched")
+
+
+@query("bulk_order_ids")
+def q_bulk_order_ids(spark, sf_dir):
+    """A7 for a whole batch: every submitted row gets the next free id, in
+    submission order."""
+    from starledger.operators.ids import allocate_order_ids
+    rows = intake_batch(spark, sf_dir).select(F.col("seq.k").alias("clave"), F.col("seq.s").alias("copia"))
+    return allocate_order_ids(rows, _model(spark, sf_dir).unpriced_orders, ["clave", "copia"])
+
+
 @query("next_order_id")
 def q_next_order_id(spark, sf_dir):
     return A.next_order_id(_model(spark, sf_dir).unpriced_orders)
@@ -565,6 +671,19 @@ def q_intake_validated(spark, sf_dir):
     return _present_validated(_validated(spark, sf_dir))
 
 
+@query("intake_indexed")
+def q_intake_indexed(spark, sf_dir):
+    """I6 against the bucketed id index: half of the ids indexed by the
+    published run, half by an earlier intake batch."""
+    from starledger.plans.id_index import index_published
+    fact, batch = _model(spark, sf_dir).unpriced_orders, materialize(intake_batch(spark, sf_dir))
+    half = F.pmod(F.xxhash64("order_id", F.lit(1)), F.lit(2))
+    index = index_published(spark, fact.filter(half == 0), scratch_path(spark, f"ids/{uuid.uuid4().hex}"), "r1")
+    index.add(fact.filter(half == 1).select("order_id"), "intake-b0")
+    found = index.matching(batch.select(blank_to_null(F.col("order_id")).alias("order_id")))
+    return _present_validated(I.validate(batch, found, INTAKE_AS_OF, id_types=dict(fact.dtypes)))
+
+
 @query("intake_accepted")
 def q_intake_accepted(spark, sf_dir):
     return M.present_orders(I.accepted(_validated(spark, sf_dir)))

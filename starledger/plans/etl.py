@@ -8,18 +8,20 @@ one-row counters for the run summary.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.kpis import kpi_panel, kpi_total_margin
 from starledger.operators.profile import profile_counters
-from starledger.plans.intake_job import fact_with_appends
+from starledger.plans.id_index import IdIndex, index_published, open_index
+from starledger.plans.intake_job import appended_orders, fact_with_appends
 from starledger.plans.model import (
     CleanModel, clean_model, load_counts, orders_enriched, present_orders, present_products,
 )
 from starledger.sources.fixtures import RawTables
-from starledger.sources.sinks import export_csv, publish, read_published, snapshot_raw
+from starledger.sources.sinks import current_run, export_csv, publish, read_published, snapshot_raw
 
 
 @dataclass
@@ -38,6 +40,18 @@ def published_model(spark: SparkSession, out_dir: str, intake_dir: str | None =
     return CleanModel(t["customers"], t["products"], orders)
 
 
+def published_index(spark: SparkSession, out_dir: str, intake_dir: str | None = None) -> IdIndex:
+    """The id index of the latest published run, built on first use: its ids
+    and those of the intake batches accepted so far. Intake jobs given this
+    index read only the buckets of their ids."""
+    folder = f"{out_dir.rstrip('/')}/_ids/run={quote(current_run(spark, out_dir), safe='')}"
+    try:
+        return open_index(spark, folder)
+    except FileNotFoundError:
+        appended = appended_orders(spark, intake_dir) if intake_dir else None
+        return index_published(spark, read_published(spark, out_dir)["orders"], folder, current_run(spark, out_dir), appended)
+
+
 def register_views(spark: SparkSession, model: CleanModel) -> None:
     """Temp views of the published tables plus ``v_orders_enriched``."""
     model.customers.createOrReplaceTempView("customers")

@@ -7,6 +7,12 @@ also when nothing is accepted any more. Uniqueness is checked against the publis
 appended batch, never the batch's own partition, so re-running a batch id
 (after a failure, or a streaming retry) gives the same result instead of
 rejecting its own rows.
+
+With an ``IdIndex`` over the published ids, a batch reads only the index
+buckets that its ids fall into; the fact and the earlier appends are not
+scanned. A batch's accepted ids are stored in the index before its rows are
+appended, as a batch of their own, so a run that broke off in between is made
+good by the retry.
 """
 
 from __future__ import annotations
@@ -15,7 +21,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starledger.functions.text import blank_to_null
 from starledger.operators.intake import accepted, rejected, validate
+from starledger.plans.id_index import INTAKE, IdIndex
 from starledger.session import materialize
 from starledger.sources.sinks import write_partition
 
@@ -42,12 +50,22 @@ def current_ids(spark: SparkSession, published_orders: DataFrame, intake_dir: st
     return ids
 
 
+def _index_batch(batch_id: str) -> str:
+    return f"{INTAKE}{batch_id}"
+
+
 def append_batch(spark: SparkSession, batch: DataFrame, batch_id: str, published_orders: DataFrame,
                  intake_dir: str, as_of_date: str, customers: DataFrame | None = None,
-                 products: DataFrame | None = None, strict: bool = False) -> None:
-    ids = current_ids(spark, published_orders, intake_dir, exclude_batch=batch_id)
+                 products: DataFrame | None = None, strict: bool = False, index: IdIndex | None = None) -> None:
+    if index is None:
+        ids = current_ids(spark, published_orders, intake_dir, exclude_batch=batch_id)
+    else:
+        batch = materialize(batch)
+        ids = index.matching(batch.select(blank_to_null(F.col("order_id")).alias("order_id")), without=[_index_batch(batch_id)])
     checked = validate(batch, ids, as_of_date, customers, products, strict, id_types=dict(published_orders.dtypes))
     checked = materialize(checked)  # read by both writes below
+    if index is not None:
+        index.add(accepted(checked).select("order_id"), _index_batch(batch_id))
     base = intake_dir.rstrip("/")
     for kind, frame in (("accepted", accepted(checked)), ("rejected", rejected(checked))):
         write_partition(frame, f"{base}/{kind}", "batch_id", batch_id)
