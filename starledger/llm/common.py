@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,17 @@ def batch_column(batch, name):
     return batch.column(batch.schema.get_field_index(name))
 
 
+def pack_numbers(values) -> bytes:
+    """Numbers below 2**32 by byte planes, compressed."""
+    planes = np.ascontiguousarray(values, "<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
+
+
+def unpack_numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 _shipped: set[str] = set()
 
 

@@ -4,14 +4,17 @@ A tokenizer's pieces depend on the pre-token alone, so pieces are counted
 once per distinct pre-token, the counts are joined to each document's
 pre-token frequencies and summed. Token ids of a text are never made.
 
-1. Pass one over the texts gives the distinct pre-tokens (each task sends
-   only its own distinct ones, packed by a hash of the word).
-2. The tokenizer's model counts the pieces of each distinct pre-token; the
-   table is written once to the shared folder.
-3. Pass two gives (row, pre-token, frequency). Counts of the most frequent
-   pre-tokens, as many as fit ``broadcast_rows``, are joined as a broadcast;
-   the rest (if any) by a shuffled join. The sum per row starts map-side, so
-   only one number per row and task is shuffled.
+1. The texts are tokenised into pre-tokens once. Each task works off its rows
+   in blocks of some ten thousand different pre-tokens. A block writes its
+   vocabulary, dealt out over ``part``s by a hash of the word, and each
+   document's frequencies as (place in that vocabulary, frequency), packed.
+2. Of every part, the tokenizer's model counts the pieces of each distinct
+   pre-token once, streaming through the blocks' words, and answers each block
+   with one number a word. Parts grow with the rows, so a task holds the
+   different words of about ``ROWS_EACH`` rows.
+3. Frequencies and numbers of pieces meet by block, and are multiplied and
+   summed per document. The plan is the same at every size; nothing is
+   broadcast, and no key holds more than one block.
 
 The library splits a text at its added special tokens and then by its
 pre-tokenizer. For texts whose characters all lie below U+0250 that split is
@@ -28,18 +31,22 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import regex
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starledger.llm.common import batch_column, keep
+from starledger.llm.common import batch_column, pack_numbers, partitions_for, unpack_numbers
+from starledger.session import materialize
 
 LIMIT = 512
-BROADCAST_ROWS = 2_000_000  # pre-tokens in the broadcast table; longer ones than MAX_KEY bytes are never in it
-MAX_KEY = 64
+ROWS_EACH = 20_000      # rows whose different words one task may hold
+WORDS_AT_ONCE = 60_000  # different pre-tokens of a block, or one document's
 
 #: White space of the library's pattern (Unicode White_Space below U+0250).
 _SPACE = r"\t-\r \x85\xa0"
@@ -95,117 +102,102 @@ def pre_tokens(text: str, name: str) -> tuple[list[str], int]:
     return out, special
 
 
-def _distinct_in(name: str, parts: int):
-    """Each task's distinct pre-tokens, packed in one compressed block for
-    each part: words in order, joined by a byte that UTF-8 does not have."""
+_BLOCKS = "block long, part int, words binary, uses binary, ids array<long>, n_bytes array<long>, specials array<long>"
+_ARROW = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+_NAMES = ["block", "part", "words", "uses", "ids", "n_bytes", "specials"]
+
+
+def _blocks(name: str, parts: int, words_at_once: int):
+    """A task's rows in blocks. One row of a block holds its documents: ids,
+    bytes, special tokens and ``uses`` (numbers of different words, then their
+    places in ascending steps and their frequencies); the others its words of
+    each part, in order, joined by a byte that UTF-8 does not have."""
+    def block_rows(block, ids, n_bytes, specials, freqs):
+        vocabulary = {w.encode() for freq in freqs for w in freq}
+        placed = sorted((zlib.crc32(w) % parts, w) for w in vocabulary)
+        place = {w.decode(): i for i, (_, w) in enumerate(placed)}
+        sizes = np.fromiter(map(len, freqs), np.int64, len(freqs))
+        total = int(sizes.sum())
+        places = np.fromiter((place[w] for freq in freqs for w in freq), np.int64, total)
+        counts = np.fromiter((n for freq in freqs for n in freq.values()), np.int64, total)
+        order = np.lexsort((places, np.repeat(np.arange(len(freqs)), sizes)))
+        places, starts = places[order], (np.cumsum(sizes) - sizes)[sizes > 0]
+        steps = np.diff(places, prepend=0)
+        steps[starts] = places[starts]
+        uses = b"".join(len(x).to_bytes(8, "little") + x for x in (pack_numbers(sizes), pack_numbers(steps), pack_numbers(counts[order])))
+        rows = [(block, -1, None, uses, ids, n_bytes, specials)]
+        for part, words in groupby(placed, key=lambda x: x[0]):
+            rows.append((block, part, zstandard.compress(b"\xff".join(w for _, w in words), 3), None, None, None, None))
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW)], names=_NAMES)
+
     def run(batches):
+        block, held, seen = TaskContext.get().partitionId() << 32, ([], [], [], []), set()
         for batch in batches:
-            seen: Counter = Counter()
-            for text in batch_column(batch, "text"):
-                seen.update(pre_tokens(text.as_py(), name)[0])
-            dealt: list[list[bytes]] = [[] for _ in range(parts)]
-            by_word = {w.encode(): n for w, n in seen.items()}
-            for w in sorted(by_word):
-                dealt[zlib.crc32(w) % parts].append(w)
-            used = [i for i, words in enumerate(dealt) if words]
-            yield pa.record_batch([
-                pa.array(used, pa.int32()), pa.array([zlib.compress(b"\xff".join(dealt[i]), 1) for i in used], pa.binary()),
-                pa.array([zlib.compress(np.array([by_word[w] for w in dealt[i]], "<i8").tobytes(), 1) for i in used], pa.binary())],
-                names=["part", "words", "freqs"])
+            for doc_id, size, text in zip(batch_column(batch, "doc_id").to_pylist(), batch_column(batch, "n_bytes").to_pylist(), batch_column(batch, "text")):
+                words, special = pre_tokens(text.as_py(), name)
+                freq = Counter(words)
+                for column, value in zip(held, (doc_id, size, special, freq)):
+                    column.append(value)
+                seen.update(freq)
+                if len(seen) >= words_at_once or len(held[0]) >= words_at_once:
+                    yield block_rows(block, *held)
+                    block, held, seen = block + 1, ([], [], [], []), set()
+        if held[0]:
+            yield block_rows(block, *held)
     return run
 
 
 def _count_pieces(name: str):
-    """The distinct pre-tokens of a part over all tasks, with their pieces."""
+    """Answers each block's words of a part with their numbers of tokens;
+    each different word is counted once."""
     def run(batches):
         from tokenizers.pre_tokenizers import ByteLevel
         mapped, model = ByteLevel(add_prefix_space=False, use_regex=False), _tokenizer(name).model
-        total: Counter = Counter()
-        for batch in batches:
-            for words, freqs in zip(batch_column(batch, "words").to_pylist(), batch_column(batch, "freqs").to_pylist()):
-                for w, n in zip(zlib.decompress(words).split(b"\xff"), np.frombuffer(zlib.decompress(freqs), "<i8").tolist()):
-                    total[w] += n
-        words, freqs = list(total), list(total.values())
-        for i in range(0, len(words), 50_000):
-            texts = [w.decode() for w in words[i:i + 50_000]]
-            counts = [len(model.tokenize("".join(p for p, _ in mapped.pre_tokenize_str(t)))) for t in texts]
-            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(freqs[i:i + 50_000], pa.int64()), pa.array(counts, pa.int32())],
-                                  names=["piece", "freq", "pieces"])
-    return run
-
-
-def _frequencies(name: str):
-    def run(batches):
+        known: dict[bytes, int] = {}
         for batch in batches:
-            uids, nbytes = batch_column(batch, "uid").to_pylist(), batch_column(batch, "n_bytes").to_pylist()
-            ids = batch_column(batch, "doc_id").to_pylist()
-            out: tuple[list, ...] = ([], [], [], [], [])
-
-            def flush():
-                rows = pa.record_batch([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()))],
-                                       names=["uid", "doc_id", "n_bytes", "piece", "n"])
-                for c in out:
-                    c.clear()
-                return rows
-
-            for uid, did, nb, text in zip(uids, ids, nbytes, batch_column(batch, "text")):
-                words, special = pre_tokens(text.as_py(), name)
-                freq = Counter(words)
-                k = len(freq) + 1  # one row without a pre-token carries the special tokens, and the empty text
-                out[0].extend([uid] * k)
-                out[1].extend([did] * k)
-                out[2].extend([nb] * k)
-                out[3].extend([None, *freq])
-                out[4].extend([special, *freq.values()])
-                if len(out[0]) > 200_000:
-                    yield flush()
-            yield flush()
+            answers = []
+            for packed in batch_column(batch, "words"):
+                words = zstandard.decompress(packed.as_py()).split(b"\xff")
+                for w in words:
+                    if w not in known:
+                        known[w] = len(model.tokenize("".join(p for p, _ in mapped.pre_tokenize_str(w.decode()))))
+                answers.append(pack_numbers([known[w] for w in words]))
+            yield pa.record_batch([batch_column(batch, "block"), batch_column(batch, "part"), pa.array(answers, pa.binary())], names=["block", "part", "pieces"])
     return run
 
 
-def piece_table(docs: DataFrame, name: str, text_col: str = "text") -> DataFrame:
-    """piece, freq, pieces: every distinct pre-token of the texts with its
-    frequency and number of tokens."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    distinct = texts.mapInArrow(_distinct_in(name, parts), "part int, words binary, freqs binary").repartition(parts, "part")
-    return keep(distinct.mapInArrow(_count_pieces(name), "piece string, freq long, pieces int"))
-
-
-def _cut(table: DataFrame, most: int) -> int:
-    """The smallest frequency so that at most ``most`` pre-tokens have it or
-    more; 0 if all fit. Frequencies are counted by quarter powers of two,
-    which are few at any size."""
-    level = F.floor(F.log2(F.col("freq").cast("double")) * 4)
-    sizes = {r.level: r.n for r in table.where(F.octet_length("piece") <= MAX_KEY).groupBy(level.alias("level")).agg(F.count("*").alias("n")).collect()}
-    total = 0
-    for lv in sorted(sizes, reverse=True):
-        total += sizes[lv]
-        if total > most:
-            return int(2 ** ((lv + 1) / 4)) + 1
-    return 0
-
-
-def count_tokens(docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = LIMIT,
-                 broadcast_rows: int = BROADCAST_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _sum_up(documents: pa.Table, answers: pa.Table) -> pa.Table:
+    """The documents of a block with the pieces of its words, in order of part."""
+    answers = answers.sort_by("part").column("pieces").to_pylist()
+    pieces = np.concatenate([unpack_numbers(a) for a in answers]) if answers else np.empty(0, np.int64)
+    out = []
+    for row in documents.to_pylist():
+        data, parts = row["uses"], []
+        while data:
+            size = int.from_bytes(data[:8], "little")
+            parts.append(unpack_numbers(data[8:8 + size]))
+            data = data[8 + size:]
+        sizes, steps, counts = parts
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        sums = np.cumsum(steps)  # over all documents; each starts anew at its first step
+        before = np.concatenate([[0], sums])[(ends - sizes)]
+        upto = np.concatenate([[0], np.cumsum(counts * pieces[sums - before[owner]])])
+        tokens = upto[ends] - upto[ends - sizes]
+        out.append(pa.table({"doc_id": pa.array(row["ids"], pa.int64()), "n_bytes": pa.array(row["n_bytes"], pa.int64()),
+                             "n_tokens": pa.array(tokens + np.array(row["specials"], np.int64), pa.int64())}))
+    return pa.concat_tables(out) if out else pa.table({c: pa.array([], pa.int64()) for c in ("doc_id", "n_bytes", "n_tokens")})
+
+
+def count_tokens(docs: DataFrame, name: str = "byte_bpe_50k.json", limit: int = LIMIT, rows_each: int = ROWS_EACH,
+                 words_at_once: int = WORDS_AT_ONCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_tokens, over_limit."""
-    table = piece_table(docs, name, text_col)
-    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .withColumn("uid", F.monotonically_increasing_id()).withColumn("n_bytes", F.octet_length("text").cast("long"))
-            .mapInArrow(_frequencies(name), "uid long, doc_id long, n_bytes long, piece string, n long"))
-    cut = _cut(table, broadcast_rows)
-    few = (F.col("freq") >= cut) & (F.octet_length("piece") <= MAX_KEY)
-    hot = F.broadcast(table.where(few).select("piece", "pieces"))
-    counted = rows.join(hot, "piece", "left")
-    tokens = F.when(F.col("piece").isNull(), F.col("n")).otherwise(F.col("n") * F.col("pieces"))
-    rest = table.where(~few).select("piece", F.col("pieces").alias("pieces_rare"))
-    if rest.limit(1).count():
-        known = counted.where("piece is null or pieces is not null").select("uid", "doc_id", "n_bytes", tokens.alias("t"))
-        rare = (counted.where("piece is not null and pieces is null").join(rest, "piece")
-                .select("uid", "doc_id", "n_bytes", (F.col("n") * F.col("pieces_rare")).alias("t")))
-        counted = known.unionByName(rare)
-    else:
-        counted = counted.select("uid", "doc_id", "n_bytes", tokens.alias("t"))
-    n = F.sum("t").cast("long")
-    return (counted.groupBy("uid", "doc_id", "n_bytes").agg(n.alias("n_tokens"))
-            .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
+    spark = docs.sparkSession
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    parts = partitions_for(spark, docs.count(), rows_each)
+    blocks = materialize(texts.withColumn("n_bytes", F.octet_length("text").cast("long")).mapInArrow(_blocks(name, parts, words_at_once), _BLOCKS))
+    words = blocks.where("part >= 0").select("block", "part", "words").repartition(parts, "part")
+    answers = words.mapInArrow(_count_pieces(name), "block long, part int, pieces binary")
+    documents = blocks.where("part < 0").select("block", "ids", "n_bytes", "specials", "uses")
+    counted = documents.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_sum_up, "doc_id long, n_bytes long, n_tokens long")
+    return counted.withColumn("over_limit", F.col("n_tokens") > limit)

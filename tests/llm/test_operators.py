@@ -120,12 +120,20 @@ def test_token_counts(lspark, small_docs):
     tk = Tokenizer.from_file(token_count.tokenizer_path())
     rows = small_docs.collect()
     want = sorted(((r.doc_id or -1), len((r.text or "").encode()), len(tk.encode(r.text or "", add_special_tokens=False).ids)) for r in rows)
-    for most in (2_000_000, 5):  # all counts broadcast, and a shuffled rest
-        got = sorted(((r.doc_id or -1), r.n_bytes, r.n_tokens) for r in token_count.count_tokens(small_docs, broadcast_rows=most).collect())
+    for sizes in ({}, {"words_at_once": 5, "rows_each": 1}, {"words_at_once": 1}):  # one block a task, many parts, a block for each document
+        got = sorted(((r.doc_id or -1), r.n_bytes, r.n_tokens) for r in token_count.count_tokens(small_docs, **sizes).collect())
         assert got == want
     assert token_count.count_tokens(small_docs.limit(0)).count() == 0
 
 
+def test_token_counts_of_given_documents(lspark):
+    from tokenizers import Tokenizer
+    tk = Tokenizer.from_file(token_count.tokenizer_path())
+    docs = lspark.read.parquet(f"{SF}/documents.parquet")
+    want = sorted((r.doc_id, len(tk.encode(r.text, add_special_tokens=False).ids)) for r in docs.collect())
+    assert sorted((r.doc_id, r.n_tokens) for r in token_count.count_tokens(docs, words_at_once=3_000).collect()) == want
+
+
 def test_split_equals_the_library():
     from tokenizers import Tokenizer
     tk = Tokenizer.from_file(token_count.tokenizer_path())
