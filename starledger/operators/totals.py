@@ -204,3 +204,37 @@ def top_products(survivors: DataFrame, products: DataFrame, k: int = 10) -> Data
         F.col("units").cast("bigint").alias("unidades_vendidas"), to_money(F.col("sales_cents")).alias("ingresos"),
         to_money(margin).alias("margen"), to_money(F.col("cost_cents")).alias("costo_unitario")).orderBy(
         F.col("ingresos").desc(), F.col("sku").asc()).limit(k)
+
+
+_CUSTOMER_SET, _SKU_SET = 1, 6  # grouping_id of the two sets below
+
+
+def top_customers(survivors: DataFrame, customers: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k customers by revenue (inner join), ties broken by id.
+
+    A customer's sales are its known sales plus, for each sku it bought
+    without a price, the units times the sku's rounded mean. One pass sums
+    the fact per (customer, sku without price) and per sku; only these sums
+    are written, and the customers' are added up before the join."""
+    unpriced, units = F.col("price_cents").isNull(), wide(F.col("quantity"))
+    rows = survivors.withColumn("open", F.when(unpriced, F.struct(F.col("sku").alias("sku"))))
+    sums = materialize(rows.groupingSets([["customer_id", "open"], ["sku"]], "customer_id", "open", "sku").agg(
+        F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("rows"), F.count("price_cents").alias("priced"),
+        F.count("order_id").alias("orders"), F.sum(exact_price(survivors)).alias("price_sum"),
+        F.sum(F.when(unpriced, units)).alias("open_units"),
+        F.sum(wide(F.col("quantity").cast("bigint") * F.rint("price_cents").cast("bigint"))).alias("known_sales")))
+    stats = sums.filter(F.col("gid") == _SKU_SET).select("sku", "rows", "priced", "price_sum").withColumn(
+        "sku_mean", F.when(F.col("sku").isNotNull(), F.col("price_sum").cast("double") / F.nullif(F.col("priced"), F.lit(0))))
+    overall = stats.agg(global_mean().alias("mean")).scalar()
+    means = stats.filter(F.col("sku_mean").isNotNull()).select(F.col("sku").alias("_m_sku"), F.col("sku_mean"))
+    bought = sums.filter(F.col("gid") == _CUSTOMER_SET).join(means, F.col("open.sku") == F.col("_m_sku"), "left")
+    zero = F.lit(0).cast("decimal(38,0)")
+    filled = wide(F.col("open_units")) * wide(F.rint(F.coalesce(F.col("sku_mean"), overall)))
+    per_customer = bought.groupBy("customer_id").agg(
+        F.sum(F.coalesce(F.col("known_sales"), zero) + F.coalesce(filled, zero)).alias("sales_cents"), F.sum("orders").alias("pedidos"))
+    c = customers.select(F.col("customer_id").alias("_c_id"), "name", "country", "segment")
+    joined = per_customer.join(c, per_customer["customer_id"] == c["_c_id"], "inner")
+    return joined.select(
+        "customer_id", F.col("name").alias("cliente"), F.col("country").alias("pais"), F.col("segment").alias("segmento"),
+        to_money(F.col("sales_cents")).alias("ingresos"), "pedidos", ticket(F.col("sales_cents"), F.col("pedidos")).alias("ticket_promedio")).orderBy(
+        F.col("ingresos").desc(), F.col("customer_id").asc()).limit(k)

@@ -307,23 +307,20 @@ SELECT coalesce(p.category, 'Sin Categoría') AS categoria,
 FROM orders_clean o LEFT JOIN products_clean p ON o.sku = p.sku
 GROUP BY p.category ORDER BY margen DESC, categoria NULLS FIRST
 """)
+CTES["customer_sums"] = f"""
+SELECT customer_id, sum({LINE}) AS cents, CAST(count(DISTINCT order_id) AS BIGINT) AS pedidos FROM orders_clean GROUP BY customer_id
+"""
 oracle("top_customers", f"""
-SELECT c.customer_id, c.name AS cliente, c.country AS pais, c.segment AS segmento,
-       {money(f'sum({LINE})')} AS ingresos, CAST(count(DISTINCT o.order_id) AS BIGINT) AS pedidos,
-       {money(div_half_away(f'sum({LINE})', 'count(DISTINCT o.order_id)'))} AS ticket_promedio
-FROM orders_clean o JOIN customers_clean c ON o.customer_id = c.customer_id
-GROUP BY c.customer_id, c.name, c.country, c.segment
-ORDER BY ingresos DESC, c.customer_id ASC LIMIT 10
+SELECT customer_id, name AS cliente, country AS pais, segment AS segmento, {money('cents')} AS ingresos, pedidos,
+       {money(div_half_away('cents', 'pedidos'))} AS ticket_promedio
+FROM customers_clean JOIN customer_sums USING (customer_id)
+ORDER BY cents DESC, customer_id LIMIT 10
 """)
 oracle("top_products", f"""
-SELECT p.sku, coalesce(p.category, 'Sin Categoría') AS categoria,
-       CAST(sum(coalesce(o.quantity, 0)) AS BIGINT) AS unidades_vendidas,
-       {money(f'sum({LINE})')} AS ingresos,
-       {money('sum(coalesce(o.quantity, 0) * (coalesce(o.price_cents, 0) - coalesce(p.cost_cents, 0)))')} AS margen,
-       {money('p.cost_cents')} AS costo_unitario
-FROM orders_clean o JOIN products_clean p ON o.sku = p.sku
-GROUP BY p.sku, p.category, p.cost_cents
-ORDER BY ingresos DESC, p.sku ASC LIMIT 10
+SELECT sku, coalesce(category, 'Sin Categoría') AS categoria, units AS unidades_vendidas, {money('sales_cents')} AS ingresos,
+       {money('sales_cents - units * coalesce(cost_cents, 0)')} AS margen, {money('cost_cents')} AS costo_unitario
+FROM products_clean JOIN sku_sales USING (sku)
+ORDER BY sales_cents DESC, sku LIMIT 10
 """)
 oracle("dim_channels", "SELECT DISTINCT channel AS canal FROM orders_clean ORDER BY canal NULLS FIRST")
 oracle("dim_categories", "SELECT DISTINCT category AS categoria FROM products_clean ORDER BY categoria NULLS FIRST")
@@ -381,6 +378,10 @@ oracle("profile_dup_product_rows", f"""
 SELECT * FROM {SHOWN_PRODUCTS} WHERE sku IN (SELECT sku FROM products_raw GROUP BY sku HAVING count(*) > 1)
 """)
 oracle("profile_bad_created_rows", f"SELECT * FROM customers_raw WHERE {DAY.format(c='created_at')} IS NULL")
+oracle("profile_bad_created_dirty", """
+SELECT customer_id, name, country, segment, substr(created_at, 1, 5) || '13' || substr(created_at, 8, 3) AS created_at, seq
+FROM customers_raw WHERE customer_id % 37 = 5
+""")
 oracle("profile_negative_quantity_rows", f"SELECT * FROM {SHOWN_ORDERS} WHERE quantity < 0")
 oracle("profile_head_customers", "SELECT * FROM customers_raw ORDER BY customer_id, seq LIMIT 5")
 oracle("profile_head_products", f"SELECT * FROM {SHOWN_PRODUCTS} ORDER BY sku, seq LIMIT 5")

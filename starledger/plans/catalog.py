@@ -230,7 +230,7 @@ def q_g3(spark, sf_dir):
 @query("top_customers")
 def q_g4(spark, sf_dir):
     m = _model(spark, sf_dir)
-    return K.top_customers(m.priced_orders("order_id", "customer_id", "quantity", "price_cents"), m.customers)
+    return S.top_customers(m.survivors, m.customers)
 
 
 @query("top_products")
@@ -387,6 +387,15 @@ def q_profile_bad_created_rows(spark, sf_dir):
     return P.bad_date_rows(raw_tables(spark, sf_dir).customers, "created_at")
 
 
+@query("profile_bad_created_dirty")
+def q_profile_bad_created_dirty(spark, sf_dir):
+    """P6 on customers with impossible creation dates (their own would stop
+    the cleaning): every 37th customer's month becomes 13."""
+    c = raw_tables(spark, sf_dir).customers
+    dirty = F.when(F.col("customer_id") % 37 == 5, F.concat(F.substring("created_at", 1, 5), F.lit("13"), F.substring("created_at", 8, 3)))
+    return P.bad_date_rows(c.withColumn("created_at", F.coalesce(dirty, F.col("created_at"))), "created_at")
+
+
 @query("profile_negative_quantity_rows")
 def q_profile_negative_quantity_rows(spark, sf_dir):
     return _shown(raw_tables(spark, sf_dir).orders).filter(F.col("quantity") < 0)
