@@ -61,10 +61,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _uniform(h: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two uniforms in (0, 1) for each word and sample."""
+#: 16 bits as a uniform number in (0, 1), and as minus its logarithm: the sum of
+#: two such is drawn from Gamma(2, 1).
+_UNIFORM = (np.arange(65_536) + 0.5) / 65_536
+_EXPONENTIAL = -np.log(_UNIFORM)
+
+
+def _draws(h: np.ndarray, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b of each word and sample, from 80 bits of its hash."""
     x = _mix(h[:, None] ^ stream[None, :])
-    return ((x >> np.uint64(32)).astype(np.float64) + 0.5) / 2 ** 32, ((x & np.uint64(0xFFFFFFFF)).astype(np.float64) + 0.5) / 2 ** 32
+    r = _EXPONENTIAL.take(x.astype(np.uint16))
+    r += _EXPONENTIAL.take((x >> np.uint64(16)).astype(np.uint16))
+    c = _EXPONENTIAL.take((x >> np.uint64(32)).astype(np.uint16))
+    c += _EXPONENTIAL.take((x >> np.uint64(48)).astype(np.uint16))
+    return r, np.log(c, out=c), _UNIFORM.take((x * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48)).astype(np.uint16))
 
 
 class Sampler:
@@ -72,8 +82,8 @@ class Sampler:
 
     def __init__(self, samples: int = SAMPLES, seed: int = SEED):
         self.samples, self.seed = samples, seed
-        numbers = np.arange(1, 4 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
-        self.streams = _mix(numbers).reshape(4, samples)
+        numbers = np.arange(1, 2 * samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)
+        self.streams = _mix(numbers).reshape(2, samples)
         self._forget()
 
     def _forget(self) -> None:
@@ -91,11 +101,7 @@ class Sampler:
         if new:
             at = slice(len(self.row), len(self.row) + len(new))
             h = np.array([xxhash.xxh64_intdigest(words[i], self.seed) for i in new], np.uint64)
-            u, v = _uniform(h, self.streams[0])
-            r = -np.log(u * v)
-            u, v = _uniform(h, self.streams[1])
-            ln_c = np.log(-np.log(u * v))
-            b, _ = _uniform(h, self.streams[2])
+            r, ln_c, b = _draws(h, self.streams[0])
             self.hash[at], self.r[at], self.b[at], self.ln_c[at] = h, r, b, ln_c
             self.once[at] = ln_c + r * b - r  # ln a for weight 1, where t = 0
             for place, i in enumerate(new, at.start):
@@ -117,10 +123,8 @@ class Sampler:
             r, b = self.r[place[many]], self.b[place[many]]
             t = np.floor(np.log(weight[many])[:, None] / r + b)
             ln_a[many] = self.ln_c[place[many]] - r * (t - b) - r
-            low = ln_a.min(axis=0)
-            rows, cols = np.nonzero(ln_a == low)
-            pick = np.empty(self.samples, np.int64)
-            pick[cols[::-1]] = rows[::-1]
+            pick = ln_a.argmin(axis=0)
+            low = ln_a[pick, np.arange(self.samples)]
             step, nth = np.zeros(self.samples, np.int64), np.full(len(place), -1)
             nth[many] = np.arange(len(many))
             of_many = np.flatnonzero(nth[pick] >= 0)
@@ -129,7 +133,7 @@ class Sampler:
             least = np.where(better, low, least)
             chosen = np.where(better, self.hash[place[pick]], chosen)
             steps = np.where(better, step, steps)
-        x = _mix(_mix(chosen ^ self.streams[3]) + steps.astype(np.uint64))
+        x = _mix(_mix(chosen ^ self.streams[1]) + steps.astype(np.uint64))
         return (x % np.uint64(65_535) + np.uint64(1)).astype(np.uint16)
 
     def of_text(self, text: bytes) -> np.ndarray:

@@ -77,13 +77,20 @@ def test_audit_in_small_blocks(lspark):
     assert audit_rows(lspark, rows, min_docs=3, top=6, block=3, terms_each=4) == brute_audit(rows, 3, 6)
 
 
-def test_term_counts_in_pieces(lspark):
-    text = b" ".join(b"A%d-b_c d" % i for i in range(100))
-    assert [t for piece in divergence._pieces(text, 100) for t in piece] == text.translate(divergence._FOLD).split()
-    docs = lspark.createDataFrame([(0, "a b a", "en", "s", 1, 1, "", 1, 1), (0, "A c", "en", "s", 1, 1, "", 1, 1)], DOC).coalesce(1)
-    for held, piece in ((1, 1), (400_000, 4 << 20)):
-        table = divergence.term_counts(docs, held=held, piece=piece)
-        assert sorted((r.term, r.n, r.docs) for r in table.collect()) == [("", 0, 0), ("a", 3, 2), ("b", 1, 1), ("c", 1, 1)]
+def test_terms_of_texts():
+    texts = [b"", b"  ", b"A b a-B", "Été x 東京".encode(), b"last"]
+    terms, text = divergence._terms(texts)
+    got = [(terms.dictionary[i].as_py(), t) for i, t in zip(terms.indices.to_pylist(), text.tolist())]
+    assert got == [(b"a", 2), (b"b", 2), (b"a", 2), (b"b", 2)] + [(w.encode(), 3) for w in ("Été", "x", "東京")] + [(b"last", 4)]
+    assert len(divergence._terms([b""])[1]) == 0
+
+
+@pytest.mark.parametrize("piece", [1, 4 << 20])
+def test_term_counts_in_pieces(lspark, piece):
+    docs = lspark.createDataFrame([(0, "a b a", "en", "s", 1, 1, "", 1, 1), (0, "A c", "en", "s", 1, 1, "", 1, 1), (0, "c", "en", "t", 1, 1, "", 1, 1)], DOC).coalesce(1)
+    table = divergence.kept_counts(docs, min_docs=2, piece=piece, rows_each=1)
+    assert sorted({(r.source, r.term, r.n, r.lang_n) for r in table.collect()}) == [("s", "", 0, 0), ("s", "a", 3, 3), ("s", "c", 1, 2), ("t", "", 0, 0), ("t", "c", 1, 2)]
+    assert table.where("term <> ''").count() == 3
 
 
 def test_audit_without_rows(lspark):
@@ -214,21 +221,22 @@ def plain_samples(text, samples=64, seed=13):
         x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
         x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
         return x ^ (x >> 31)
-    stream = [[mix((0x9E3779B97F4A7C15 * (g * samples + s + 1) + seed) & mask) for s in range(samples)] for g in range(4)]
+    stream = [[mix((0x9E3779B97F4A7C15 * (g * samples + s + 1) + seed) & mask) for s in range(samples)] for g in range(2)]
     weights = collections.Counter(re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m.group().lower(), text.encode())))
     out = []
     for s in range(samples):
         best = None
         for word, w in weights.items():
             h = xxhash.xxh64(word, seed=seed).intdigest()
-            u = [((x >> 32) + 0.5) / 2 ** 32 for x in (mix(h ^ stream[g][s]) for g in range(3))]
-            v = [((x & 0xFFFFFFFF) + 0.5) / 2 ** 32 for x in (mix(h ^ stream[g][s]) for g in range(3))]
-            r, c, b = -np.log(u[0] * v[0]), -np.log(u[1] * v[1]), u[2]
+            x = mix(h ^ stream[0][s])
+            u = [((x >> i & 0xFFFF) + 0.5) / 65536 for i in (0, 16, 32, 48)]
+            b = ((x * 0x9E3779B97F4A7C15 & mask) >> 48) / 65536 + 0.5 / 65536
+            r, c = -np.log(u[0]) - np.log(u[1]), -np.log(u[2]) - np.log(u[3])
             t = np.floor(np.log(w) / r + b)
             a = np.log(c) - r * (t - b) - r
             if best is None or a < best[0]:
                 best = (a, h, int(t))
-        out.append(0 if best is None else mix(((mix(best[1] ^ stream[3][s]) + best[2]) & mask)) % 65535 + 1)
+        out.append(0 if best is None else mix(((mix(best[1] ^ stream[1][s]) + best[2]) & mask)) % 65535 + 1)
     return "".join("%04x" % x for x in out)
 
 
