@@ -32,6 +32,7 @@ from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -42,6 +43,7 @@ from starledger.llm.common import batch_column, keep, partitions_for, text_bytes
 SHINGLE_WORDS, MAX_BITS, SEGMENTS = 4, 4, 3
 CROWDED = 4096   # table rows x look-ups of one value beyond which the walk is used
 CHUNK = 2_000_000  # matches verified at a time
+SALTS = 16         # parts in which a component's fingerprints meet its id
 
 
 def fingerprint(data: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
@@ -207,12 +209,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _with_components(marked: DataFrame, max_bits: int, segments: int) -> DataFrame:
-    """fp, component_id for the distinct fingerprints of ``marked``."""
+    """fp, root, component_id for the distinct fingerprints of ``marked``.
+    Most are alone; a root with very many fingerprints is aggregated map-side
+    and looked up in ``SALTS`` parts."""
     fps = keep(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
     labels = components(links(fps, max_bits, segments))
-    rooted = fps.join(labels, fps.fp == labels.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(least, "root").select("fp", "component_id")
+    rooted = keep(fps.join(labels, fps.fp == labels.node, "left").select("fp", "least", "root"))
+    alone = rooted.where("root is null").select("fp", F.col("fp").alias("root"), F.col("least").alias("component_id"))
+    rooted = rooted.where("root is not null").withColumn("salt", F.pmod(F.xxhash64("fp"), F.lit(SALTS)))
+    least = (rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+             .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
+    return alone.unionByName(rooted.join(least, ["root", "salt"]).select("fp", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
@@ -224,30 +231,31 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
 
 
 def one_each(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, segments: int = SEGMENTS) -> DataFrame:
-    """The rows of ``docs`` with one document of each component: that with
-    the smallest doc_id. Of rows that repeat that id the one with the
-    smallest text stays. A component without any id keeps one row."""
-    found = near_duplicates(docs, shingle_words, max_bits, segments)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    first = Window.partitionBy("doc_id").orderBy("text")
-    named = (docs.join(kept, docs.doc_id == kept["__id"], "left_semi")
-             .withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n"))
-    loose = found.where("component_id is null").select("fingerprint").distinct()
-    if not loose.limit(1).count():
-        return named
-    nameless = docs.where("doc_id is null").withColumn("__data", text_bytes())
-    own = F.udf(lambda data: f"{fingerprint(bytes(data), shingle_words):016x}", "string")
-    nameless = nameless.withColumn("__f", own("__data")).join(loose, F.col("__f") == F.col("fingerprint"), "left_semi")
-    # components without an id are told apart by fingerprint, each joined to its root once more
-    raise_roots = _nameless_roots(nameless, max_bits, segments)
-    return named.unionByName(raise_roots.select(*docs.columns))
-
-
-def _nameless_roots(rows: DataFrame, max_bits: int, segments: int) -> DataFrame:
-    """One row of each component of rows without ids (column ``__f``)."""
-    rows = keep(rows.withColumn("__fp", F.conv("__f", 16, -10).cast("long")))
-    fps = keep(rows.select(F.col("__fp").alias("fp")).distinct())
-    labels = components(links(fps, max_bits, segments))
-    rooted = rows.join(labels, F.col("__fp") == F.col("node"), "left").withColumn("__root", F.coalesce("root", "__fp"))
-    first = Window.partitionBy("__root").orderBy("text")
-    return rooted.withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    """The rows of ``docs`` with one row of each component: of those with its
+    smallest doc_id the one with the smallest text. A component without any
+    id keeps the row with the smallest text.
+
+    Rows whose id no other row has are kept or dropped by their id; only the
+    others (repeated or null ids) are told apart by their fingerprints."""
+    names = iter(n for n in (f"__one_each_{i}" for i in range(len(docs.columns) + 3)) if n not in docs.columns)
+    fp, root, nth = next(names), next(names), next(names)
+    marked = keep(fingerprints(docs, shingle_words))
+    found = keep(_with_components(marked, max_bits, segments))
+    rows = marked.groupBy("doc_id").agg(F.count("*").alias("n"))
+    unclear = F.col("n").isNull() | (F.col("n") > 1) | F.col("id").isNull()
+    ids = keep(rows.select(F.col("doc_id").alias("id"), "n").where(unclear).select("id"))
+    first = marked.join(found, "fp").where("doc_id = component_id").select(F.col("doc_id").alias("id"))
+    clear = docs.join(first.join(ids, "id", "left_anti"), docs.doc_id == F.col("id"), "left_semi")
+    if not ids.limit(1).count():
+        return clear
+
+    @F.pandas_udf("long")
+    def marks(data: pd.Series) -> pd.Series:
+        fps = np.array([fingerprint(bytes(x), shingle_words) for x in data], np.uint64)
+        return pd.Series(fps.view(np.int64))
+
+    told = docs.join(ids, docs.doc_id.eqNullSafe(F.col("id")), "left_semi").withColumn(fp, marks(text_bytes()))
+    found = found.select(F.col("fp").alias(nth), F.col("root").alias(root), F.col("component_id").alias(next(names, "__one_each_id")))
+    told = told.join(found, told[fp] == found[nth]).where(F.col("doc_id").eqNullSafe(found[found.columns[2]])).select(*docs.columns, root)
+    told = told.withColumn(nth, F.row_number().over(Window.partitionBy(root).orderBy("text"))).where(F.col(nth) == 1)
+    return clear.unionByName(told.select(*docs.columns))
