@@ -11,9 +11,11 @@ groups, no alternatives):
    different pages, and intersects the pages' sets of text digests (map-side
    first, so a host with a third of all pages costs a few rows). A text that
    every page with its path has is a fixed string, if the path has ``EVIDENCE``
-   different pages and half of the host's pages; but where the fixed strings
-   outweigh the varying text, the pages are copies of each other and tell
-   nothing, so there are none.
+   different pages and half of the host's pages, and stands in a region of its
+   own: not inside a main element, and in a container without any varying text
+   (a heading or line that an article has on every page is text of the
+   article). But where the fixed strings outweigh the varying text, the pages
+   are copies of each other and tell nothing, so there are none.
 3. In a page's stream a fixed string keeps its digest and every other text is
    a slot. Side by side repeats of a group of tokens fold into one repeated
    group; equal folded streams of a host are counted once.
@@ -93,6 +95,7 @@ AWAY_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsens
 FURNITURE = frozenset("ad ads advert adverts advertisement adsense sidebar navbar breadcrumb breadcrumbs pagination pager comments commentlist disqus".split())
 NEUTRAL = frozenset("area list box block section wrap wrapper container inner outer item unit slot".split())
 CONTAINERS = frozenset("div section ul ol dl table tbody tr details figure fieldset center dir hgroup".split())
+TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr caption blockquote pre figcaption summary address".split())
 MAIN_TAGS, MAIN_ROLES = frozenset(("article", "main")), frozenset(("article", "main"))
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -280,12 +283,24 @@ def wrapper_of(streams: list[str]) -> list[str]:
     return out
 
 
+def _region(path: str) -> str:
+    """The container that a text's path lies in."""
+    parts = path.split("/")
+    while len(parts) > 1 and parts[-1].partition(".")[0].rstrip("-+~^=") in TEXT_LEVEL:
+        parts.pop()
+    return "/".join(parts)
+
+
 def fixed_strings(slots: list[dict]) -> list[str]:
-    """Strings of a host that every page with their path has. ``slots``: path,
+    """Strings of a host that every page with their path has, in regions
+    without varying text and outside main elements. ``slots``: path,
     n (pages), chars, linked, keys (up to ``EVIDENCE`` different pages), common (digest
     and length of the texts that all these pages have); path ``PAGE`` is the page."""
     pages = sum(s["n"] for s in slots if s["path"] == PAGE)
-    fixed = [s for s in slots if s["path"] != PAGE and len(s["keys"]) >= EVIDENCE and 2 * s["n"] >= pages and not _away(s["path"])]
+    varying = [s["path"] for s in slots if s["path"] != PAGE and s["chars"] > sum(s["n"] * c["chars"] for c in s["common"])]
+    alive = {"/".join(parts[:i]) for parts in (path.split("/") for path in varying) for i in range(1, len(parts) + 1)}
+    fixed = [s for s in slots if s["path"] != PAGE and len(s["keys"]) >= EVIDENCE and 2 * s["n"] >= pages and not _away(s["path"])
+             and not any(part.endswith("+") for part in s["path"].split("/")) and _region(s["path"]) not in alive]
     constant = sum(s["n"] * c["chars"] for s in fixed for c in s["common"])
     if 2 * constant > sum(s["chars"] for s in slots if not _away(s["path"])):
         return []

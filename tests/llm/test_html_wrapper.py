@@ -1,5 +1,7 @@
 """Operator 9: what the pages of a host tell about each other."""
 
+import pytest
+
 from starledger.llm import html_extract
 
 
@@ -19,11 +21,26 @@ def test_wrapper_decides(lspark):
     page = lambda i: f"<body><article><h1>Title {i}</h1><p>{story(i)}</p>{line}</article></body>"
     want = [f"Title {i}\n{story(i)}" for i in range(4)]
     more = "\nRead more on our site"
-    # the same page is read otherwise on a host whose pages differ, on one alone, and among its copies
+    # a line of the article is its text, on however many pages it stands
     got = texts(lspark, [("http://a/%d" % i, page(i)) for i in range(4)] + [("http://b/", page(0))] + [("http://c/%d" % i, page(0) + f"<p>{i}") for i in range(4)]
                 + [("http://d/%d" % i, page(i).replace(line, line if i else "")) for i in range(4)])
-    assert got[:4] == want and got[4] == want[0] + more and got[5:9] == [want[0] + more] * 4
+    assert got[:4] == [w + more for w in want] and got[4] == want[0] + more and got[5:9] == [want[0] + more] * 4
     assert got[9:] == [want[0]] + [w + more for w in want[1:]]
+    # outside an article a region of its own is the host's template where the pages differ, and text on one page alone
+    bare = lambda i: f"<body><div><h1>Title {i}</h1><p>{story(i)}</p>{line}</div><div class='bottom'>{line}</div></body>"
+    got = texts(lspark, [("http://a/%d" % i, bare(i)) for i in range(4)] + [("http://b/", bare(0))])
+    assert got == [w + more for w in want] + [want[0] + more + more]
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_headings_that_every_article_has(lspark, tag):
+    page = lambda i: (f"<body><{tag}><h1>Title {i}</h1><h2>Abstract</h2><p>{story(i)}</p><h2>Results</h2><p>{story(i + 1)}</p></{tag}>"
+                      "<nav>Home</nav><div class='bottom'><p>All rights reserved by us</p></div></body>")
+    want = lambda i: f"Title {i}\nAbstract\n{story(i)}\nResults\n{story(i + 1)}"
+    for n in (1, 2, 3, 600):
+        got = texts(lspark, [(f"http://host{n}/{i}", page(i)) for i in range(n)])
+        tail = "\nAll rights reserved by us" if tag == "div" and n < 3 else ""
+        assert got == [want(i) + tail for i in range(n)]
 
 
 def test_main_region_by_variation(lspark):
