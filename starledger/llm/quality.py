@@ -9,7 +9,8 @@ Two views of a document are classified apart by logistic regressions:
 Labelled documents train both; a fifth of them (by a hash of the id) is held
 out for calibration. In each round every unlabelled document on which one view
 is confident (calibrated probability beyond ``confident``) is a pseudo-label
-for the other view. Both views are then calibrated (Platt, on the held-out
+for the other view; ``Model.history`` tells how many each view got and how well it
+judged the held-out rows. Both views are then calibrated (Platt, on the held-out
 rows) and their log odds added, less the prior's, to score all documents.
 
 Everything is fitted on all rows: a Newton step needs sums over the rows of a
@@ -108,6 +109,7 @@ class Model:
         self.w = [np.zeros(n + 1) for n in (N_TEXT, N_META)]
         self.platt = [(1.0, 0.0), (1.0, 0.0)]
         self.trained = False
+        self.history: list[dict] = []  # of each round and view: pseudo-labels got, share of held-out rows judged right
 
     def design(self, x: np.ndarray, view: int) -> np.ndarray:
         z = (x - self.mean[view]) / self.scale[view]
@@ -174,6 +176,7 @@ def _step_sums(model: Model, pseudo: Model | None):
                 use = known & held
                 at = np.clip(((z[use] + 12) * (BINS / 24)).astype(int), 0, BINS - 1)
                 parts += [np.bincount(at, weights=y[use], minlength=BINS), np.bincount(at, weights=1 - y[use], minlength=BINS)]
+                parts.append([np.count_nonzero(~known & (weight[view] > 0))])
             part = np.concatenate(parts)
             total = part if total is None else total + part
         if total is not None:
@@ -238,21 +241,26 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     for turn in range(rounds + 1):
         for _ in range(5 if turn == 0 else 2):
             _newton(model, _total(rows, _step_sums(model, pseudo)))
-        _newton(model, _total(rows, _step_sums(model, pseudo)), only_calibrate=True)
+        _newton(model, _total(rows, _step_sums(model, pseudo)), only_calibrate=True, turn=turn)
         pseudo = Model(model.prior, mean, scale)
         pseudo.w, pseudo.platt = [w.copy() for w in model.w], list(model.platt)
     return model
 
 
-def _newton(model: Model, sums: np.ndarray, only_calibrate: bool = False) -> None:
+def _newton(model: Model, sums: np.ndarray, only_calibrate: bool = False, turn: int = 0) -> None:
     at = 0
     for view, n in enumerate((N_TEXT + 1, N_META + 1)):
         grad, hess = sums[at:at + n], sums[at + n:at + n + n * n].reshape(n, n)
         at += n + n * n
         good, bad = sums[at:at + BINS], sums[at + BINS:at + 2 * BINS]
-        at += 2 * BINS
+        pseudo = int(sums[at + 2 * BINS])
+        at += 2 * BINS + 1
         if only_calibrate:
-            model.platt[view] = _calibrate(good, bad)
+            a, b = model.platt[view] = _calibrate(good, bad)
+            yes = a * ((np.arange(BINS) + 0.5) * (24 / BINS) - 12) + b > 0
+            held = good.sum() + bad.sum()
+            model.history.append({"round": turn, "view": ("text", "metadata")[view], "pseudo_labels": pseudo,
+                                  "held_out": int(held), "right": float((good[yes].sum() + bad[~yes].sum()) / held) if held else None})
             continue
         ridge = np.full(n, RIDGE)
         ridge[-1] = 1e-6

@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 
 import corpus_pipeline
 from starledger.llm import catalog, decontam, html_extract, mixing, quality, simhash, suffix_dedup, token_count, topk, url_filter, warc
@@ -79,6 +80,17 @@ def test_quality_held_out(lspark):
     assert all(got[r.doc_id] for r in rows if r.quality == 1)
 
 
+def test_quality_exchange(lspark):
+    docs, labels = (lspark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    history = quality.train(docs, labels).history
+    assert [(h["round"], h["view"]) for h in history] == [(r, v) for r in range(quality.ROUNDS + 1) for v in ("text", "metadata")]
+    assert all(h["pseudo_labels"] == 0 for h in history[:2]) and all(h["held_out"] > 20 for h in history)
+    # the text view teaches the metadata view; neither gets more than there are unlabelled documents
+    unlabelled = docs.count() - labels.where("quality is not null").select("doc_id").distinct().count()
+    assert all(0 <= h["pseudo_labels"] <= unlabelled for h in history) and all(h["pseudo_labels"] > 0 for h in history[2:] if h["view"] == "metadata")
+    assert all(h["right"] > 0.95 for h in history if h["view"] == "text")
+
+
 def test_quality_cases(lspark, small_docs):
     none = lspark.createDataFrame([], "doc_id long, quality int")
     assert [r.keep for r in quality.judge(small_docs, none).collect()] == [True] * small_docs.count()
@@ -261,6 +273,39 @@ def test_links_equal_brute_force(crowded, monkeypatch):
     assert {f: find(f) for f in fps} == components_by_hand({f: f for f in fps})
 
 
+def plain_fingerprint(text):
+    """The contract's words, shingles and bits with integers alone."""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: bytes([m.group()[0] + 32]), text.encode()))
+    shingles = [b" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64(s, seed=42).intdigest() for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_fingerprint_equals_plain_numbers(lspark):
+    texts = ["", " \t", "One", "a b c", "a b c d", "A B c d", "é É x\x0by z\xa0w", "a " * 900] + [r.text for r in lspark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    assert [simhash.fingerprint(t.encode()) for t in texts] == [plain_fingerprint(t) for t in texts]
+
+
+def test_one_row_of_each_component(lspark):
+    base = " ".join(f"word{i % 97} item{i % 31}" for i in range(400))
+    other, third = " ".join(f"alpha{i % 89}" for i in range(300)), " ".join(f"beta{i % 83} gamma{i}" for i in range(300))
+    rows = [(3, base), (5, base), (5, other), (5, other), (7, other + " z"), (None, third), (None, third), (None, base), (9, third + " x"), (None, "alone and unnamed"),
+            (None, "Alone and unnamed"), (11, ""), (12, None), (13, "quite another text than all of these")]
+    df = lspark.createDataFrame([(i, t, "en", "s", 1, 2, 3) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, fp long, root long")
+    fps = {n: plain_fingerprint(t or "") for n, (_, t) in enumerate(rows)}
+    root, want = components_by_hand(fps), set()
+    for c in set(root.values()):
+        members = [rows[n] for n in root if root[n] == c]
+        ids = [i for i, _ in members if i is not None]
+        best = [t for i, t in members if i == (min(ids) if ids else None)]
+        want.add((min(ids) if ids else None, min(best, key=lambda t: (t is not None, t))))
+    for frame in (df, df.repartition(7)):
+        kept = simhash.one_each(frame)
+        assert kept.columns == df.columns
+        assert sorted(map(str, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(str, want))
+    assert simhash.one_each(df.limit(0)).count() == 0
+
+
 def test_near_duplicates(lspark, small_docs):
     rows = small_docs.collect()
     got = simhash.near_duplicates(small_docs).collect()
