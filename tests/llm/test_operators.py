@@ -382,7 +382,24 @@ def test_pipeline_stages(lspark, tmp_dir):
             assert ids == {r.doc_id for r in before} and len(rows) == len({r.mix_position for r in rows})
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_nulls_repeats_and_no_rows(lspark, small_docs, tmp_dir, empty):
+    docs = small_docs.drop("uid").withColumn("n_chars", small_docs.n_chars.cast("long"))
+    docs = docs.limit(0) if empty else docs.unionByName(docs)
+    labels, benchmark = (lspark.read.parquet(f"{SF}/{t}.parquet") for t in ("labels", "benchmark"))
+    for name, df in (("documents", docs), ("labels", labels.where("doc_id > 1000000")), ("benchmark", benchmark)):
+        df.write.parquet(f"{tmp_dir}/{name}.parquet")
+    out = corpus_pipeline.run(lspark, tmp_dir)
+    assert out.columns[:len(docs.columns)] == docs.columns
+    rows = out.collect()
+    if empty:
+        assert rows == []
+    else:  # without labels all are good; one row of each component stays
+        ids = [r.doc_id for r in rows]
+        assert len(rows) == len({r.mix_position for r in rows}) and len(ids) == len(set(ids)) and {4, 7, 8, 9, None} <= set(ids)
+
+
 def test_every_operator_is_registered():
     names = catalog.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(catalog.oracle_sql()) <= set(names)
