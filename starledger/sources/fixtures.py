@@ -48,15 +48,18 @@ ACTIVE_MIN_SIZE = 9
 DIM_DUPLICATE_MOD = 100
 
 
-def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw order lines: (order_id, customer_id, sku, quantity, price_cents,
-    order_date text, channel text, seq)."""
+def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with its order."""
     li = _table(spark, sf_dir, "lineitem")
     od = _table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+    return li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+
+
+def _order_columns() -> list[F.Column]:
+    """The raw order columns of ``_order_lines``, without ``seq``."""
     priority = F.substring("o_orderpriority", 1, 1)
-    lines = joined.select(
+    return [
         _zero_padded("O", F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
         (F.col("o_custkey") + F.when(F.col("l_orderkey") % ORPHAN_CUSTOMER_MOD == 0,
                                      F.lit(ORPHAN_OFFSET)).otherwise(F.lit(0))).alias("customer_id"),
@@ -76,8 +79,13 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
          .when(priority == "2", F.lit("ECOMMERCE"))
          .when(priority == "3", F.lit("wholesale"))
          .when(priority == "5", F.lit("Export"))
-         .otherwise(F.lit("retail")).alias("channel"),
-        *_SEQ_ORDER)
+         .otherwise(F.lit("retail")).alias("channel")]
+
+
+def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw order lines: (order_id, customer_id, sku, quantity, price_cents,
+    order_date text, channel text, seq)."""
+    lines = _order_lines(spark, sf_dir).select(*_order_columns(), *_SEQ_ORDER)
     # seq stands for file order within a line (l_orderkey, l_linenumber);
     # keep-first takes seq = 1. order_id is a one-to-one function of that
     # pair, so the window is partitioned by order_id: the same groups, and
@@ -88,6 +96,22 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.row_number().over(within_line).cast("bigint").alias("seq"))
 
 
+def orders_raw_to_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``orders_raw`` for a consumer that writes them: numbered on
+    the partitioning of the join (all lines of an order), so the lines are
+    shuffled once, before their texts are made. The copies of an id share a
+    partition here, too.
+
+    That takes line numbers of one digit: others (or NULL) could give lines of
+    different orders the same id, so then the window runs over the id."""
+    one_digit = F.coalesce(F.col("l_linenumber").between(0, 9), F.lit(False))
+    if _table(spark, sf_dir, "lineitem").filter(~one_digit).limit(1).count():
+        return orders_raw(spark, sf_dir)
+    within_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*_SEQ_ORDER)
+    numbered = _order_lines(spark, sf_dir).withColumn("seq", F.row_number().over(within_line).cast("bigint"))
+    return numbered.select(*_order_columns(), "seq")
+
+
 _SEQ_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
               "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
@@ -153,8 +177,9 @@ INTAKE_AS_OF = "2026-06-01"
 INTAKE_FUTURE_DATE = "2027-01-15"
 
 
-def intake_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch of submitted orders as text, one per raw order line.
+def intake_batch(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """A batch of submitted orders as text, one per raw order line (``orders``:
+    the raw orders, where they are written already).
 
     By ``order key % 10``: 0 blank id, 1 quantity 'x', 2 quantity '0',
     3 price '0', 4 blank date, 5 a future date, 6 the line's existing fact
@@ -162,7 +187,7 @@ def intake_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     share its id, so ids repeat within the batch. ``seq`` = (line number
     key, raw position) orders the submissions.
     """
-    o = orders_raw(spark, sf_dir)
+    o = orders_raw(spark, sf_dir) if orders is None else orders
     k = F.substring(F.col("order_id"), 2, 20).cast("bigint")
     rule = F.call_function("div", k, F.lit(10)) % 10
     cents = F.col("price_cents")
