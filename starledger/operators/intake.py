@@ -55,18 +55,17 @@ def typed(batch: DataFrame, id_types: dict[str, str] | None = None) -> DataFrame
 
     Keeps the trimmed texts (blank as NULL) that the rules need."""
     types = id_types or {}
-    customer, sku = blank_to_null(F.col("customer_id")), blank_to_null(F.col("sku"))
-    price = blank_to_null(F.col("unit_price")).try_cast("double")
-    date_text = blank_to_null(F.col("order_date"))
-    return batch.select(
-        blank_to_null(F.col("order_id")).alias("order_id"),
-        customer.alias("_customer_text"), sku.alias("_sku_text"),
-        customer.try_cast(types.get("customer_id", "string")).alias("customer_id"),
-        sku.try_cast(types.get("sku", "string")).alias("sku"),
-        blank_to_null(F.col("quantity")).try_cast("int").alias("quantity"),
-        F.rint(price * 100).try_cast("bigint").alias("price_cents"),
-        date_text.alias("_date_text"), form_day(date_text).alias("order_date"),
-        F.col("channel"), F.col("seq"))
+    texts = ["order_id", "customer_id", "sku", "quantity", "unit_price", "order_date"]
+    # Two steps: each text is trimmed once, however often it is looked at.
+    t = batch.select(*[blank_to_null(F.col(c)).alias(c) for c in texts], "channel", "seq")
+    return t.select(
+        "order_id", F.col("customer_id").alias("_customer_text"), F.col("sku").alias("_sku_text"),
+        F.col("customer_id").try_cast(types.get("customer_id", "string")).alias("customer_id"),
+        F.col("sku").try_cast(types.get("sku", "string")).alias("sku"),
+        F.col("quantity").try_cast("int").alias("quantity"),
+        F.rint(F.col("unit_price").try_cast("double") * 100).try_cast("bigint").alias("price_cents"),
+        F.col("order_date").alias("_date_text"), form_day(F.col("order_date")).alias("order_date"),
+        "channel", "seq")
 
 
 def row_errors(as_of_date: str) -> list[Column]:
@@ -112,6 +111,8 @@ def with_row_errors(batch: DataFrame, as_of_date: str, customers: DataFrame | No
         if customers is None or products is None:
             raise ValueError("strict intake needs customers and products")
         extra, lookups = strict_errors(customers, products)
+        # The joins carry whether a text was there, not the text.
+        t = t.withColumns({c: F.when(F.col(c).isNotNull(), F.lit("")) for c in ("_customer_text", "_sku_text", "_date_text")})
         for lookup, col, key in lookups:
             lookup = broadcast_if_small(lookup)
             t = t.join(lookup, t[col] == lookup[key].cast(t.schema[col].dataType), "left").drop(key)
@@ -136,9 +137,10 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
     # The typed batch feeds two branches (first positions, join back); it is
     # written once to the checkpoint folder instead of derived twice.
     t = materialize(with_row_errors(batch, as_of_date, customers, products, strict, types))
+    good = t.filter(F.col("_row_errors") == "")
     # First submission of each id among the rows without errors, flagged when
     # the fact already has the id.
-    firsts = keep_first(t.filter(F.col("_row_errors") == "").select("order_id", "seq"), ["order_id"]).select(
+    firsts = keep_first(good.select("order_id", "seq"), ["order_id"]).select(
         "order_id", F.col("seq").alias("_fseq"))
     # A batch whose measured ids are small enough to broadcast looks up only
     # its own ids: the fact's id column is scanned and
@@ -150,16 +152,15 @@ def validate(batch: DataFrame, facts: DataFrame, as_of_date: str,
     existing = fact_ids.distinct().withColumn("_exists", F.lit(True))
     firsts = firsts.join(existing, firsts["order_id"] == existing["_eid"], "left").select(
         F.col("order_id").alias("_fid"), "_fseq", F.coalesce("_exists", F.lit(False)).alias("_exists"))
-    # Joined back on (id, position): a hot id spreads over many tasks.
-    out = t.join(firsts, (t["order_id"] == firsts["_fid"]) & (t["seq"] == firsts["_fseq"]), "left")
-    out = out.withColumn("_first", F.col("_fid").isNotNull())
-    errores = (F.when(F.col("_row_errors") != "", F.col("_row_errors"))
-                .when(~F.col("_first"), F.lit(MSG_REPEATED))
-                .when(F.col("_exists"), F.lit(MSG_EXISTS)))
-    return out.select(
-        "order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel", "seq",
-        F.when(errores.isNull(), F.lit("aceptado")).otherwise(F.lit("rechazado")).alias("estado"),
-        errores.alias("errores"))
+    # Joined back on (id, position): a hot id spreads over many tasks. Rows
+    # with errors of their own need no look-up and are not shuffled.
+    looked_up = good.join(firsts, (good["order_id"] == firsts["_fid"]) & (good["seq"] == firsts["_fseq"]), "left")
+    columns = ["order_id", "customer_id", "sku", "quantity", "price_cents", "order_date", "channel", "seq"]
+    errores = F.when(F.col("_fid").isNull(), F.lit(MSG_REPEATED)).when(F.col("_exists"), F.lit(MSG_EXISTS))
+    checked = looked_up.select(*columns, errores.alias("errores")).unionByName(
+        t.filter(F.col("_row_errors") != "").select(*columns, F.col("_row_errors").alias("errores")))
+    return checked.select(
+        *columns, F.when(F.col("errores").isNull(), F.lit("aceptado")).otherwise(F.lit("rechazado")).alias("estado"), "errores")
 
 
 def accepted(validated: DataFrame) -> DataFrame:
