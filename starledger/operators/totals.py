@@ -33,19 +33,26 @@ from starledger.session import materialize
 SUMS = ["rows", "priced", "orders", "price_sum", "units", "unpriced_units", "known_sales"]
 
 
+def _sum_units(units: Column, digits: int) -> Column:
+    """Units of int quantities add up within 64 bits (9e18 of them), a quarter
+    of a decimal's buffer in the shuffle; they are held as decimals."""
+    return F.sum(units.cast("bigint")).cast(f"decimal({digits},0)")
+
+
 def partial_sums(survivors: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per sku (and ``by``): counts, units and sums."""
-    units, unpriced = wide(F.col("quantity")), F.col("price_cents").isNull()
+    units, unpriced = F.col("quantity"), F.col("price_cents").isNull()
     return survivors.groupBy("sku", *by).agg(
         F.count(F.lit(1)).alias("rows"), F.count("price_cents").alias("priced"),
         F.count("order_id").alias("orders"), F.sum(exact_price(survivors)).alias("price_sum"),
-        F.sum(units).alias("units"), F.sum(F.when(unpriced, units)).alias("unpriced_units"),
+        _sum_units(units, 30).alias("units"), _sum_units(F.when(unpriced, units), 30).alias("unpriced_units"),
         F.sum(wide(F.col("quantity").cast("bigint") * F.rint("price_cents").cast("bigint"))).alias("known_sales"))
 
 
 def merge_sums(states: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """States of disjoint rows as one state per sku (and ``by``)."""
-    return states.groupBy("sku", *by).agg(*[F.sum(c).alias(c) for c in SUMS])
+    return states.groupBy("sku", *by).agg(*[
+        (_sum_units(F.col(c), 38) if c in ("units", "unpriced_units") else F.sum(c)).alias(c) for c in SUMS])
 
 
 def with_month(survivors: DataFrame) -> DataFrame:

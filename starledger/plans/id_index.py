@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.joins import fits_broadcast
-from starledger.session import materialize
+from starledger.session import COMPRESSION, materialize
 
 BUCKETS = 64
 INTAKE = "intake-"    # prefix of the intake's batches
@@ -53,13 +53,13 @@ class IdIndex:
         rows = ids.select(F.col("order_id").cast("string")).withColumn("bucket", self.bucket(F.col("order_id")))
         spread = rows.repartition("bucket") if shards == 1 else rows.repartition(
             self.buckets * shards, "bucket", F.pmod(F.xxhash64("order_id", F.lit(7)), F.lit(shards)))
-        (spread.sortWithinPartitions("bucket", "order_id").write.mode("overwrite").partitionBy("bucket")
+        (spread.sortWithinPartitions("bucket", "order_id").write.option("compression", COMPRESSION).mode("overwrite").partitionBy("bucket")
                .parquet(f"{self.path}/batch={quote(batch, safe='')}"))
 
     def add_batches(self, ids: DataFrame) -> None:
         """Store ids (order_id, batch) of many batches, each replaced."""
         rows = ids.select("order_id", "batch", self.bucket(F.col("order_id")).alias("bucket"))
-        (rows.repartition("batch", "bucket").sortWithinPartitions("batch", "bucket", "order_id").write.mode("overwrite")
+        (rows.repartition("batch", "bucket").sortWithinPartitions("batch", "bucket", "order_id").write.option("compression", COMPRESSION).mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(self.path))
 
     def ids(self, without: Sequence[str] = (), before: str | None = None) -> DataFrame | None:
@@ -82,26 +82,48 @@ class IdIndex:
         """The buckets of these ids: at most ``buckets`` numbers."""
         return sorted(r["b"] for r in ids.select(self.bucket(F.col("order_id")).alias("b")).distinct().collect())
 
+    def _stored_near(self, ids: DataFrame, without: Sequence[str], before: str | None) -> DataFrame | None:
+        """The stored rows in the buckets of ``ids``; None if nothing was
+        stored yet."""
+        stored = self.ids(without, before)
+        if stored is None:
+            return None
+        buckets = self.touched(ids)
+        return stored.select("order_id", "bucket").filter(F.col("bucket").isin(buckets) if buckets else F.lit(False))
+
     def matching(self, ids: DataFrame, without: Sequence[str] = (), before: str | None = None) -> DataFrame:
         """The stored ids that are among ``ids`` (a frame with order_id, cheap
         to read twice), each once. Only the buckets of ``ids`` are read."""
-        stored = self.ids(without, before)
+        stored = self._stored_near(ids, without, before)
         wanted = ids.select("order_id").distinct()
         if stored is None:
             return wanted.limit(0)
-        buckets = self.touched(ids)
-        stored = stored.select("order_id", "bucket").filter(F.col("bucket").isin(buckets) if buckets else F.lit(False))
         wanted = wanted.select(F.col("order_id").alias("_wanted"), self.bucket(F.col("order_id")).alias("_bucket"))
         if fits_broadcast(ids.select("order_id")):
             wanted = F.broadcast(wanted)
         found = stored.join(wanted, (stored["bucket"] == wanted["_bucket"]) & stored["order_id"].eqNullSafe(wanted["_wanted"]), "left_semi")
         return found.select("order_id").distinct()
 
-    def unseen(self, rows: DataFrame, without: Sequence[str] = (), before: str | None = None) -> DataFrame:
-        """The rows whose id is not stored (one row an id expected)."""
-        rows = materialize(rows)
-        known = self.matching(rows, without, before).select(F.col("order_id").alias("_known"))
-        return rows.join(known, rows["order_id"].eqNullSafe(known["_known"]), "left_anti")
+    def unseen(self, rows: DataFrame, without: Sequence[str] = (), before: str | None = None,
+               ids: DataFrame | None = None) -> DataFrame:
+        """The rows whose id is not stored (one row an id expected). ``ids``:
+        the ids of ``rows``, repeated or not, in a frame cheap to read twice;
+        without it the rows are written for that.
+
+        Ids too many to broadcast are not matched first: the rows are joined to
+        the stored ids of their buckets, on the partitioning by id that
+        keep-first has left."""
+        if ids is None:
+            rows = ids = materialize(rows)
+        stored = self._stored_near(ids, without, before)
+        if stored is None:
+            return rows
+        if stored.filter(F.col("order_id").isNull()).limit(1).count():
+            rows = rows.filter(F.col("order_id").isNotNull())
+        known = stored.select(F.col("order_id").alias("_known"))
+        if fits_broadcast(ids.select("order_id")):
+            known = F.broadcast(self.matching(ids, without, before).select(F.col("order_id").alias("_known")))
+        return rows.join(known, rows["order_id"] == known["_known"], "left_anti")
 
 
 def open_index(spark: SparkSession, folder: str) -> IdIndex:

@@ -59,15 +59,17 @@ def _part(arrival: int) -> str:
 
 
 def arrive(spark: SparkSession, raw_orders: DataFrame, state: str, name: str, ids_each: int = IDS_EACH) -> int:
-    """Take in the raw order rows (with ``seq``) of one arrival; its number."""
+    """Take in the raw order rows (with ``seq``) of one arrival; its number.
+    The rows are read more than once: they should be written ones."""
     state = state.rstrip("/")
     known = arrivals(spark, state)
     row = known.agg(F.max("arrival").alias("last"), F.max("buckets").alias("buckets"),
                     F.max(F.when(F.col("name") == name, F.col("arrival"))).alias("mine")).first()
     number = row["mine"] or (row["last"] or 0) + 1
-    firsts = materialize(keep_first(raw_orders.select(*ORDER_COLS, "seq"), ["order_id"]))
-    index = IdIndex(spark, f"{state}/ids", row["buckets"] or buckets_for(firsts.count(), ids_each))
-    new = materialize(index.unseen(firsts, before=_part(number)).drop("seq"))
+    ids = raw_orders.select("order_id")
+    firsts = keep_first(raw_orders.select(*ORDER_COLS, "seq"), ["order_id"])
+    index = IdIndex(spark, f"{state}/ids", row["buckets"] or buckets_for(ids.distinct().count(), ids_each))
+    new = materialize(index.unseen(firsts, before=_part(number), ids=ids).drop("seq"))
     index.add(new.select("order_id"), _part(number))
     write_partition(valid_quantity(valid_dates(new)), f"{state}/survivors", "arrival", _part(number))
     mine = spark.read.parquet(f"{state}/survivors/arrival={_part(number)}")
@@ -89,7 +91,7 @@ def new_files(spark: SparkSession, folder: str, state: str) -> list[tuple[str, s
 
 def refresh_folder(spark: SparkSession, folder: str, state: str) -> list[int]:
     """Take in every new orders file of a folder, each as one arrival."""
-    return [arrive(spark, typed_orders(read_text_csv(spark, path, ORDERS_CSV)), state, name)
+    return [arrive(spark, materialize(typed_orders(read_text_csv(spark, path, ORDERS_CSV))), state, name)
             for path, name in new_files(spark, folder, state)]
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starledger.operators.checks import constraint_violations
+from starledger.session import COMPRESSION
 
 TABLES = ("customers", "products", "orders")
 
@@ -22,7 +23,8 @@ TABLES = ("customers", "products", "orders")
 def write_partition(df: DataFrame, path: str, column: str, value: str) -> None:
     """Replace the partition folder ``column=value``; an empty ``df`` leaves
     an empty partition, not the rows of an earlier write."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={quote(value, safe='')}")
+    (df.write.option("compression", COMPRESSION).mode("overwrite")
+       .parquet(f"{path.rstrip('/')}/{column}={quote(value, safe='')}"))
 
 
 def snapshot_raw(tables: dict[str, DataFrame], archive_dir: str, snapshot_id: str) -> None:
