@@ -159,6 +159,11 @@ def q_csv_roundtrip_products(spark, sf_dir):
     return _csv_roundtrip(spark, "products", M.present_products(_model(spark, sf_dir).products))
 
 
+# Fixed value: rows of one compressed source file (a task numbers its files with
+# three digits, so that their paths are in order up to 1,000 of them).
+CSV_FILE_ROWS = 100_000
+
+
 @query("csv_clean_orders")
 def q_csv_clean_orders(spark, sf_dir):
     """The raw orders as a source file (text, prices in tenths of a cent),
@@ -173,9 +178,11 @@ def q_csv_clean_orders(spark, sf_dir):
     rows = o.withColumn("unit_price", price).sortWithinPartitions("order_id", "seq").select(
         *[F.col(f.name).cast("string").alias(f.name) for f in ORDERS_CSV.fields])
     path = scratch_path(spark, f"csv_clean_orders/{uuid.uuid4().hex}")
+    # a gzip file is not split: short ones keep the reading tasks small
     (rows.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
-         .option("ignoreTrailingWhiteSpace", False).csv(path))
-    return M.present_orders(C.clean_orders(typed_orders(read_text_csv(spark, path, ORDERS_CSV))))
+         .option("ignoreTrailingWhiteSpace", False).option("compression", "gzip")
+         .option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path))
+    return M.present_orders(C.clean_orders(typed_orders(read_text_csv(spark, path, ORDERS_CSV, number_files=True))))
 
 
 # ------------------------------------------------------------------- model

@@ -17,7 +17,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,9 +39,13 @@ class MissingColumnError(ValueError):
     """Raised when a source file's header lacks required columns."""
 
 
-def read_text_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False,
+                  number_files: bool = False) -> DataFrame:
     """Header CSV as text columns, as read, plus ``seq`` (file order).
-    ``multi_line`` lets quoted cells hold line ends (such files are not split)."""
+    ``multi_line`` lets quoted cells hold line ends (such files are not split).
+    ``number_files``: ``seq`` holds each file's number in path order for its
+    path, which would take most of a row in a sort; rows of different reads
+    cannot be ordered by it."""
     def reader():
         return (spark.read.option("header", True).option("encoding", "UTF-8").option("escape", '"')
                 .option("multiLine", multi_line))
@@ -57,10 +61,23 @@ def read_text_csv(spark: SparkSession, path: str, schema: T.StructType, multi_li
     df = df.filter(F.when(F.col("_beyond").isNull(), F.lit(True)).otherwise(
         F.raise_error(F.concat(F.lit("row with too many fields in "), F.col("_metadata.file_path"),
                                F.lit(": "), F.col("_beyond"))).cast("boolean")))
-    seq = F.struct(F.col("_metadata.file_path").alias("file"),
-                   F.col("_metadata.file_block_start").alias("block"),
-                   F.monotonically_increasing_id().alias("row"))
-    return df.select(*[f.name for f in schema.fields], seq.alias("seq"))
+    names = [f.name for f in schema.fields]
+    block, row = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    if not number_files:
+        seq = F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), row.alias("row"))
+        return df.select(*names, seq.alias("seq"))
+    placed = df.select(*names, F.col("_metadata.file_path").alias("_path"), block.alias("_block"), row.alias("_row"))
+    number = F.coalesce("_number", F.raise_error(F.concat(F.lit("file not listed: "), F.col("_path"))).cast("int"))
+    seq = F.struct(number.alias("file"), F.col("_block").alias("block"), F.col("_row").alias("row"))
+    return (placed.join(F.broadcast(_file_numbers(spark, path)), F.col("_path") == F.col("_file"), "left")
+            .select(*names, seq.alias("seq")))
+
+
+def _file_numbers(spark: SparkSession, path) -> DataFrame:
+    """The files of ``path`` numbered in the order of their paths, one row a
+    file; their content is not read."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file")).distinct()
+    return files.withColumn("_number", F.row_number().over(Window.orderBy("_file")))
 
 
 def _cells(df: DataFrame) -> DataFrame:

@@ -2,19 +2,23 @@
 one partitioning serves, and tables derived once. Rows are compared, too."""
 
 import datetime as dt
+import glob
+import gzip
 
 import pytest
 from pyspark.sql import functions as F
 
 from oracle_compare import SF_SMALL
 from starledger.functions.text import blank_to_null, strip_space
+from starledger.operators import clean as C
 from starledger.operators import intake as I
 from starledger.operators import totals as S
 from starledger.operators.dedup import keep_first
 from starledger.plans import catalog
 from starledger.plans.id_index import IdIndex
-from starledger.schemas import INTAKE_TEXT
-from starledger.session import materialize
+from starledger.schemas import INTAKE_TEXT, ORDERS_CSV
+from starledger.session import materialize, scratch_path
+from starledger.sources.csv import read_text_csv, typed_orders
 from starledger.sources.fixtures import orders_raw, orders_raw_to_write
 from test_plans import plan_text
 
@@ -111,3 +115,58 @@ def test_strip_equals_the_regular_expression(spark):
     df = spark.createDataFrame([(t,) for t in [*texts, "", " \n ", "a\r\n", None]], "t string")
     assert df.filter(~strip_space(F.col("t")).eqNullSafe(F.regexp_replace("t", edge, ""))).count() == 0
     assert "regexp" not in plan_text(df.select(blank_to_null(F.col("t"))))
+
+
+def test_csv_source_is_written_compressed_in_short_files(unbroadcast, tmp_dir, monkeypatch):
+    spark, query = unbroadcast, catalog.registry()["csv_clean_orders"]
+    folder = tables(spark, tmp_dir, [1, 1, 2, 9, 0, 1, 1])
+    lines = orders_raw(spark, folder).count()
+    whole = query(spark, folder)
+    monkeypatch.setattr(catalog, "CSV_FILE_ROWS", 2)  # an id's copies in different files
+    before = set(glob.glob(scratch_path(spark, "csv_clean_orders/*")))
+    assert rows(query(spark, folder)) == rows(whole)
+    (new,) = set(glob.glob(scratch_path(spark, "csv_clean_orders/*"))) - before
+    held = [len(gzip.open(f).readlines()) - 1 for f in glob.glob(f"{new}/part-*.csv.gz")]
+    assert max(held) <= 2 and sum(held) == lines and not glob.glob(f"{new}/part-*.csv")
+
+
+def test_numbered_files_keep_the_order_of_their_paths(spark, tmp_dir):
+    ids = ["O1,C", "O2,C", "O1,C", ",C", "O3,C"]
+    for k, name in enumerate(["c 10%.csv", "b.csv", "c 9.csv", "empty.csv"]):
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("order_id,customer_id,sku,quantity,unit_price,order_date,channel\n" + "".join(
+                f"{i}{k}{j},s,{j + 1},1.5,2024-01-01,x\n" for j, i in enumerate(ids) if name != "empty.csv"))
+    for path in (tmp_dir, sorted(glob.glob(f"{tmp_dir}/*.csv")), f"{tmp_dir}/c*.csv"):
+        named, numbered = (typed_orders(read_text_csv(spark, path, ORDERS_CSV, number_files=n)) for n in (False, True))
+        assert dict(numbered.dtypes)["seq"] == "struct<file:int,block:bigint,row:bigint>"
+        assert rows(numbered.drop("seq")) == rows(named.drop("seq"))
+        assert rows(C.dedup_orders(numbered).drop("seq")) == rows(C.dedup_orders(named).drop("seq"))
+
+
+def test_dates_are_parsed_before_the_shuffle_and_judged_after(unbroadcast):
+    raw = materialize(unbroadcast.createDataFrame(
+        [("a", "c", "s", 1, 5, "2024-13-01", "x", 1), ("a", "c", "s", 1, 5, "2024-01-01", "x", 2),
+         ("b", "c", "s", 1, 5, "2024-01-02", "x", 1), ("c", "c", "s", 1, 5, None, "x", 1), (None, "c", "s", 1, 5, "2024-01-03", "x", 1)],
+        "order_id string, customer_id string, sku string, quantity int, price_cents long, order_date string, channel string, seq long"))
+    got = C.order_survivors(raw)
+    assert sorted(map(str, (r["order_id"] for r in got.collect()))) == ["None", "b"]  # a's first row has no day
+    text = plan_text(got)
+    above, below = text.split("Exchange hashpartitioning(order_id", 1)
+    assert "gettimestamp" in below and "gettimestamp" not in above
+
+
+@pytest.mark.parametrize("price", ["long", "double"])
+def test_both_means_share_one_shuffle_of_the_statistics(unbroadcast, price):
+    spark = unbroadcast
+    raw = materialize(spark.createDataFrame(
+        [("a", "s", 100), ("b", "s", None), ("c", "t", None), ("d", None, 300), ("e", None, None), ("f", "u", 7), ("g", "v", 8)],
+        "order_id string, sku string, price_cents long").withColumn("price_cents", F.col("price_cents").cast(price)))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan shows shared shuffles before it runs
+    try:
+        filled = C.impute_prices(raw)
+        assert "ReusedExchange" in plan_text(filled)
+        got = {r["order_id"]: r["price_cents"] for r in filled.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # known 100 + 300 + 7 + 8, and s filled with 100, over 5 rows with a price after that
+    assert got == {"a": 100, "b": 100, "c": 103, "d": 300, "e": 103, "f": 7, "g": 8}
